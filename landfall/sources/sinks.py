@@ -1,0 +1,31 @@
+"""Parquet sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+PARTITION_COLUMNS = ("arrival_year", "arrival_month")
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Replace a table."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def write_fact(df: DataFrame, path: str, replace_all: bool = False, rebalance: bool = False) -> None:
+    """Write fact rows by year and month.
+
+    Only the months present in ``df`` are replaced, each as a whole; the others
+    stay. A load must therefore bring all rows of its months. ``replace_all``
+    clears the other months as well. ``rebalance`` shuffles rows to their month
+    first, with large months split over several tasks, for input whose files mix
+    many months and would otherwise leave many small files.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *PARTITION_COLUMNS)
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+        .partitionBy(*PARTITION_COLUMNS)
+        .parquet(path)
+    )
