@@ -1,4 +1,8 @@
-"""The four dimensions."""
+"""The four dimensions.
+
+Each comes in two steps: its rows, and the stored table, which numbers them.
+Reports that need no id start from the rows.
+"""
 
 from __future__ import annotations
 
@@ -10,11 +14,15 @@ from landfall.operators.keys import dense_id
 from landfall.operators.lookup import state_coordinates
 
 
-def build_date_dim(fact: DataFrame) -> DataFrame:
+def arrival_dates(fact: DataFrame) -> DataFrame:
     """One row per arrival date, a null date included. Dates are deduplicated before
     their parts are derived, so one 4-byte column is all that is shuffled."""
     distinct = fact.select("arrival_date").distinct()
-    return dense_id(distinct.withColumns(dates.calendar_parts("arrival_date")), "arrival_date")
+    return distinct.withColumns(dates.calendar_parts("arrival_date"))
+
+
+def build_date_dim(fact: DataFrame) -> DataFrame:
+    return dense_id(arrival_dates(fact), "arrival_date")
 
 
 def one_reading_each(
@@ -31,16 +39,21 @@ def one_reading_each(
     )
 
 
-def build_temperature_dim(
+def country_temperatures(
     df: DataFrame, key=("dt", "City", "Country"), tie_break: str | None = None
 ) -> DataFrame:
     """Mean temperature per country over its deduplicated readings."""
-    means = (
+    return (
         one_reading_each(df, key, tie_break)
         .groupBy(F.col("Country").alias("country"))
         .agg(F.avg("AverageTemperature").alias("average_temperature"))
     )
-    return dense_id(means, "country")
+
+
+def build_temperature_dim(
+    df: DataFrame, key=("dt", "City", "Country"), tie_break: str | None = None
+) -> DataFrame:
+    return dense_id(country_temperatures(df, key, tie_break), "country")
 
 
 _MEASURES = {
@@ -52,7 +65,7 @@ _MEASURES = {
 }
 
 
-def build_demographics_dim(
+def state_populations(
     df: DataFrame, coordinates: DataFrame, dedupe_on: list[str] | None = None
 ) -> DataFrame:
     """Population sums per state with the state's coordinates.
@@ -66,17 +79,22 @@ def build_demographics_dim(
     sums = df.groupBy(F.col("State Code").alias("state_code")).agg(
         *[F.sum(c).alias(name) for c, name in _MEASURES.items()]
     )
-    located = state_coordinates(sums, coordinates).fillna(
+    return state_coordinates(sums, coordinates).fillna(
         0, subset=["number_of_veterans", "foreign_born"]
     )
-    return dense_id(located, "state_code")
 
 
-def build_airports_dim(df: DataFrame, order: str = "lat,lon") -> DataFrame:
+def build_demographics_dim(
+    df: DataFrame, coordinates: DataFrame, dedupe_on: list[str] | None = None
+) -> DataFrame:
+    return dense_id(state_populations(df, coordinates, dedupe_on), "state_code")
+
+
+def us_airports(df: DataFrame, order: str = "lat,lon") -> DataFrame:
     """US airports with a code. ``order`` names the two numbers of the coordinates column."""
     place = {part: i for i, part in enumerate(order.split(","))}
     listed = df.where("iso_country = 'US'").where(F.col("iata_code").isNotNull())
-    airports = listed.select(
+    return listed.select(
         "ident",
         "name",
         "iata_code",
@@ -84,4 +102,7 @@ def build_airports_dim(df: DataFrame, order: str = "lat,lon") -> DataFrame:
         text.coordinate("coordinates", place["lat"]).alias("latitude"),
         text.coordinate("coordinates", place["lon"]).alias("longitude"),
     )
-    return dense_id(airports, "ident", unique=False)
+
+
+def build_airports_dim(df: DataFrame, order: str = "lat,lon") -> DataFrame:
+    return dense_id(us_airports(df, order), "ident", unique=False)

@@ -11,7 +11,7 @@ from landfall.operators.lookup import country_names, decode_country, hint_small
 
 def add_countries(df: DataFrame, codebook: DataFrame) -> DataFrame:
     """Add country and country_of_residence from the two country codes."""
-    names = hint_small(country_names(codebook))
+    names = hint_small(country_names(codebook), measure=codebook)
     coded = df.withColumns(
         {"_cit": codes.whole_code("i94cit"), "_res": codes.whole_code("i94res")}
     )

@@ -13,21 +13,28 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def hint_small(
+def is_small(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Mark ``df`` for broadcast if its measured size is within both bounds.
-
-    One aggregate job measures it. A larger table comes back as it is, and the
-    join is left to Catalyst, with hot keys split by adaptive execution.
-    """
-    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(1)) for c in df.columns]
+) -> bool:
+    """Whether the table, measured by one aggregate job, is within both bounds."""
+    widths = [
+        F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(1)) for c in df.columns
+    ]
     size = df.agg(
         F.count("*").alias("n_rows"),
         F.sum(reduce(lambda a, b: a + b, widths).cast("long")).alias("n_bytes"),
     ).first()
-    fits = size["n_rows"] <= max_rows and (size["n_bytes"] or 0) <= max_bytes
-    return F.broadcast(df) if fits else df
+    return size["n_rows"] <= max_rows and (size["n_bytes"] or 0) <= max_bytes
+
+
+def hint_small(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast if it is small.
+
+    ``measure`` is measured in its stead when it is cheaper to read and no
+    smaller. A larger table comes back as it is, and the join is left to
+    Catalyst, with hot keys split by adaptive execution.
+    """
+    return F.broadcast(df) if is_small(df if measure is None else measure) else df
 
 
 def country_names(codebook: DataFrame) -> DataFrame:

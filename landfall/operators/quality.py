@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -69,23 +70,64 @@ def orphans(
     return used.where(F.col("key").isNotNull()).join(known, "key", "left_anti")
 
 
-def orphan_report(references: dict[str, tuple]) -> DataFrame:
-    """reference, orphan keys, orphan rows and passed.
+@dataclass(frozen=True)
+class Reference:
+    """A column of the fact that must name a row of ``parent``."""
 
-    ``references`` maps a name to the arguments of ``orphans``.
+    column: str
+    parent: DataFrame
+    key: str
+    spelling: Callable[[str], Column] | None = None
+
+    def spelled(self, key: str) -> Column:
+        return self.spelling(key) if self.spelling else F.col(key)
+
+
+def orphan_report(child: DataFrame, references: dict[str, Reference]) -> DataFrame:
+    """reference, orphan keys, orphan rows and passed, from one pass over ``child``.
+
+    Each row is counted once per reference and key, on the map side first. The
+    counts then meet the known keys of all parents in a single join.
     """
-    return _union([
-        orphans(*reference).agg(
-            F.count("*").alias("orphan_keys"),
-            F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows"),
-        ).select(
-            F.lit(name).alias("reference"),
-            "orphan_keys",
-            "orphan_rows",
-            (F.col("orphan_keys") == 0).alias("passed"),
-        )
-        for name, reference in references.items()
+    uses = [
+        F.struct(F.lit(name).alias("reference"), F.col(r.column).cast("string").alias("key"))
+        for name, r in references.items()
+    ]
+    counted = (
+        child.select(F.inline(F.array(*uses)))
+        .where(F.col("key").isNotNull())
+        .groupBy("reference", "key")
+        .agg(F.count("*").alias("row_count"))
+    )
+    spelled = reduce(
+        lambda other, item: F.when(F.col("reference") == item[0], item[1].spelled("key"))
+        .otherwise(other),
+        [(name, r) for name, r in references.items() if r.spelling],
+        F.col("key"),
+    )
+    used = counted.groupBy("reference", spelled.alias("key")).agg(
+        F.sum("row_count").alias("row_count")
+    )
+    known = _union([
+        r.parent.select(
+            F.lit(name).alias("reference"), r.spelled(r.key).cast("string").alias("key")
+        ).distinct()
+        for name, r in references.items()
     ])
+    missing = (
+        used.join(known, ["reference", "key"], "left_anti")
+        .groupBy("reference")
+        .agg(F.count("*").alias("_keys"), F.sum("row_count").alias("_rows"))
+    )
+    names = child.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, references))).alias("reference")
+    )
+    return names.join(missing, "reference", "left").select(
+        "reference",
+        F.coalesce("_keys", F.lit(0)).alias("orphan_keys"),
+        F.coalesce("_rows", F.lit(0)).alias("orphan_rows"),
+        F.col("_keys").isNull().alias("passed"),
+    )
 
 
 def partition_report(fact: DataFrame) -> DataFrame:

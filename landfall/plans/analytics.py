@@ -109,11 +109,20 @@ def state_hotspots(fact: DataFrame, demographics: DataFrame, airports: DataFrame
 
 
 def business_ports(fact: DataFrame, airports: DataFrame, k: int = 10) -> DataFrame:
-    """Ports of entry most used on business, with their airport where one has the code."""
+    """Ports of entry most used on business, with their airport where one has the code.
+
+    The k port codes filter the airports before those are grouped by code.
+    """
     ports = top_k(
         counts_by(fact.where("visa_category = 'Business'"), "port_of_entry"), k, "port_of_entry"
     )
-    return star.join_airports(ports, airports).orderBy(F.desc("arrivals"), "port_of_entry")
+    named = F.broadcast(ports.select(F.col("port_of_entry").alias("iata_code")))
+    codes = star.airports_by_code(airports.join(named, "iata_code", "left_semi"))
+    return (
+        ports.join(codes, ports["port_of_entry"] == codes["iata_code"], "left")
+        .drop("iata_code")
+        .orderBy(F.desc("arrivals"), "port_of_entry")
+    )
 
 
 CUBE_DIMENSIONS = ("travel_mode", "visa_category", "arrival_year")

@@ -40,31 +40,28 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.build_fact(clean(spark, sf_dir), bindings.country_codes(spark, sf_dir))
 
 
-def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.build_date_dim(fact(spark, sf_dir))
-
+def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.country_temperatures(bindings.temperature(spark, sf_dir), tie_break="event_id")
 
-def country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.build_temperature_dim(bindings.temperature(spark, sf_dir), tie_break="event_id")
 
-
-def demographics_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.build_demographics_dim(
+def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.state_populations(
         bindings.demographics(spark, sf_dir), bindings.state_coordinates(spark, sf_dir)
     )
 
 
-def airports_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.build_airports_dim(bindings.airports(spark, sf_dir))
+def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.us_airports(bindings.airports(spark, sf_dir))
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    rows = fact(spark, sf_dir)
     return {
-        "immigration_fact": fact(spark, sf_dir),
-        "arrival_time": date_dim(spark, sf_dir),
-        "country": country_dim(spark, sf_dir),
-        "us_population_demographics": demographics_dim(spark, sf_dir),
-        "us_airports": airports_dim(spark, sf_dir),
+        "immigration_fact": rows,
+        "arrival_time": dims.arrival_dates(rows),
+        "country": countries(spark, sf_dir),
+        "us_population_demographics": state_rows(spark, sf_dir),
+        "us_airports": airports(spark, sf_dir),
     }
 
 
@@ -133,11 +130,26 @@ def state_other_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("cicid", "i94addr", "state_name")
 
 
-# Dimensions, with measures rounded for comparison.
+# Stored dimensions, with measures rounded for comparison.
+
+
+def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.build_date_dim(fact(spark, sf_dir))
 
 
 def temperature_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(country_dim(spark, sf_dir), "average_temperature")
+    stored = dims.build_temperature_dim(bindings.temperature(spark, sf_dir), tie_break="event_id")
+    return _rounded(stored, "average_temperature")
+
+
+def demographics_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.build_demographics_dim(
+        bindings.demographics(spark, sf_dir), bindings.state_coordinates(spark, sf_dir)
+    )
+
+
+def airports_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.build_airports_dim(bindings.airports(spark, sf_dir))
 
 
 def demographics_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +166,7 @@ def demographics_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_join_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = star.join_country(fact(spark, sf_dir), country_dim(spark, sf_dir))
+    joined = star.join_country(fact(spark, sf_dir), countries(spark, sf_dir))
     return _rounded(
         joined.select("immigration_id", "country_of_residence", "average_temperature"),
         "average_temperature",
@@ -162,12 +174,12 @@ def star_join_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_join_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = star.join_demographics(fact(spark, sf_dir), demographics_dim(spark, sf_dir))
+    joined = star.join_demographics(fact(spark, sf_dir), state_rows(spark, sf_dir))
     return joined.select("immigration_id", "destination_state", "total_population", "foreign_born")
 
 
 def star_join_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = star.join_airports(fact(spark, sf_dir), airports_dim(spark, sf_dir))
+    joined = star.join_airports(fact(spark, sf_dir), airports(spark, sf_dir))
     return joined.select(
         "immigration_id", "port_of_entry", "airport_name", "airport_state", "airports_with_code"
     )
@@ -181,7 +193,7 @@ def star_join_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_join_state_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = star.join_state_airports(
-        demographics_dim(spark, sf_dir), airports_dim(spark, sf_dir)
+        state_rows(spark, sf_dir), airports(spark, sf_dir)
     )
     return joined.select("state_code", "total_population", "airports")
 
@@ -198,12 +210,12 @@ def q2_top_visa_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q3_weather_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = analytics.weather_correlation(fact(spark, sf_dir), country_dim(spark, sf_dir))
+    report = analytics.weather_correlation(fact(spark, sf_dir), countries(spark, sf_dir))
     return _rounded(report, "correlation")
 
 
 def q3_arrivals_and_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = analytics.arrivals_and_temperature(fact(spark, sf_dir), country_dim(spark, sf_dir))
+    report = analytics.arrivals_and_temperature(fact(spark, sf_dir), countries(spark, sf_dir))
     return _rounded(report, "average_temperature")
 
 
@@ -229,13 +241,13 @@ def q6_air_business_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q7_state_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = analytics.state_hotspots(
-        fact(spark, sf_dir), demographics_dim(spark, sf_dir), airports_dim(spark, sf_dir)
+        fact(spark, sf_dir), state_rows(spark, sf_dir), airports(spark, sf_dir)
     )
     return _rounded(report, "arrivals_per_100k", "foreign_born_share")
 
 
 def q8_business_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.business_ports(fact(spark, sf_dir), airports_dim(spark, sf_dir))
+    return analytics.business_ports(fact(spark, sf_dir), airports(spark, sf_dir))
 
 
 def q9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +291,7 @@ def quality_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.orphans(
-        fact(spark, sf_dir), "port_of_entry", airports_dim(spark, sf_dir), "iata_code"
+        fact(spark, sf_dir), "port_of_entry", airports(spark, sf_dir), "iata_code"
     )
 
 
@@ -288,7 +300,7 @@ def quality_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_shared_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.shared_coordinates(demographics_dim(spark, sf_dir))
+    return quality.shared_coordinates(state_rows(spark, sf_dir))
 
 
 # Sources and sinks: write below the scratch root, read back.

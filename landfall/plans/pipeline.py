@@ -10,6 +10,7 @@ from landfall.functions import text
 from landfall.operators import dims, quality
 from landfall.operators.clean import clean_arrivals, null_audit
 from landfall.operators.fact import build_fact
+from landfall.operators.quality import Reference
 from landfall.sources import readers, sinks
 from landfall.sources.paths import Inputs, Warehouse
 
@@ -83,16 +84,17 @@ def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def reference_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Orphans of every documented foreign key."""
-    fact, countries = tables["immigration_fact"], tables["country"]
-    states, airports = tables["us_population_demographics"], tables["us_airports"]
-    return quality.orphan_report({
-        "country": (fact, "country", countries, "country", text.name_key),
-        "country_of_residence": (
-            fact, "country_of_residence", countries, "country", text.name_key,
+    """Orphans of every documented foreign key of the fact."""
+    countries, airports = tables["country"], tables["us_airports"]
+    return quality.orphan_report(tables["immigration_fact"], {
+        "country": Reference("country", countries, "country", text.name_key),
+        "country_of_residence": Reference(
+            "country_of_residence", countries, "country", text.name_key
         ),
-        "destination_state": (fact, "destination_state", states, "state_code"),
-        "destination_state airports": (fact, "destination_state", airports, "state_code"),
-        "port_of_entry": (fact, "port_of_entry", airports, "iata_code"),
-        "arrival_date": (fact, "arrival_date", tables["arrival_time"], "arrival_date"),
+        "destination_state": Reference(
+            "destination_state", tables["us_population_demographics"], "state_code"
+        ),
+        "destination_state airports": Reference("destination_state", airports, "state_code"),
+        "port_of_entry": Reference("port_of_entry", airports, "iata_code"),
+        "arrival_date": Reference("arrival_date", tables["arrival_time"], "arrival_date"),
     })
