@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import codes
-from landfall.operators.lookup import hint_small
+from landfall.operators.lookup import lookup_join
 
 
 def label_rows(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -40,7 +40,9 @@ def decode_ports(labels: DataFrame, states: DataFrame) -> DataFrame:
     Two closing capitals are a state only if ``states`` (code, label) lists
     them. Without a state the whole place stands as the city.
     """
-    listed = hint_small(states.select(F.col("code").alias("_state")).distinct())
+    listed = states.select(
+        F.col("code").alias("_listed"), F.col("code").alias("_state")
+    ).distinct()
     ports = labels.select(
         "code",
         F.trim("label").alias("label"),
@@ -48,7 +50,7 @@ def decode_ports(labels: DataFrame, states: DataFrame) -> DataFrame:
         codes.port_city_candidate("label").alias("_city"),
         codes.port_state_candidate("label").alias("_candidate"),
     )
-    return ports.join(listed, F.col("_candidate") == F.col("_state"), "left").select(
+    return lookup_join(ports, listed, "_candidate", "_listed").select(
         "code",
         "label",
         F.when(F.col("_state").isNotNull(), F.col("_city")).otherwise(F.col("_place")).alias("city"),
@@ -57,19 +59,16 @@ def decode_ports(labels: DataFrame, states: DataFrame) -> DataFrame:
 
 
 def resolve_port_aliases(labels: DataFrame) -> DataFrame:
-    """code and label of each port, with a collapsed port's target code and label.
-
-    Every port joins, a plain one to itself, so the many ports without a target
-    spread over their own codes instead of meeting under one null key.
-    """
+    """code and label of each port, with a collapsed port's target code and label."""
     ports = labels.select(
         "code", F.trim("label").alias("label"), codes.port_alias_target("label").alias("target_code")
     )
-    targets = labels.groupBy(F.col("code").alias("_target")).agg(
+    wanted = ports.where(F.col("target_code").isNotNull()).select("target_code").distinct()
+    known = labels.groupBy(F.col("code").alias("_target")).agg(
         F.min(F.trim("label")).alias("_target_label")
     )
-    resolved = ports.join(targets, F.coalesce("target_code", "code") == F.col("_target"), "left")
-    return resolved.select(
+    targets = known.join(wanted, known["_target"] == wanted["target_code"], "left_semi")
+    return lookup_join(ports, targets, "target_code", "_target").select(
         "code",
         "label",
         "target_code",
@@ -81,11 +80,11 @@ def resolve_port_aliases(labels: DataFrame) -> DataFrame:
 
 def decode_states(df: DataFrame, states: DataFrame, code: str, name: str) -> DataFrame:
     """Add state name ``name`` for ``code``; codes outside the list fall under one label."""
-    listed = hint_small(
-        states.groupBy(F.col("code").alias("_state")).agg(F.min(F.trim("label")).alias("_label"))
+    listed = states.groupBy(F.col("code").alias("_state")).agg(
+        F.min(F.trim("label")).alias("_label")
     )
     return (
-        df.join(listed, df[code] == listed["_state"], "left")
+        lookup_join(df, listed, code, "_state")
         .withColumn(name, F.coalesce("_label", F.lit(codes.OTHER_STATE)))
-        .drop("_state", "_label")
+        .drop("_label")
     )

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import codes, dates
-from landfall.operators.lookup import country_names, decode_country, hint_small
+from landfall.operators.lookup import country_names, decode_country, is_small
 
 
 def add_countries(df: DataFrame, codebook: DataFrame) -> DataFrame:
     """Add country and country_of_residence from the two country codes."""
-    names = hint_small(country_names(codebook), measure=codebook)
+    names, small = country_names(codebook), is_small(codebook)
     coded = df.withColumns(
         {"_cit": codes.whole_code("i94cit"), "_res": codes.whole_code("i94res")}
     )
     return (
-        coded.transform(decode_country, names, "_cit", "country")
-        .transform(decode_country, names, "_res", "country_of_residence")
+        coded.transform(decode_country, names, "_cit", "country", small)
+        .transform(decode_country, names, "_res", "country_of_residence", small)
         .drop("_cit", "_res")
     )
 

@@ -11,6 +11,7 @@ from landfall.functions import text
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+SALTS = 16
 
 
 def is_small(
@@ -27,14 +28,33 @@ def is_small(
     return size["n_rows"] <= max_rows and (size["n_bytes"] or 0) <= max_bytes
 
 
-def hint_small(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast if it is small.
-
-    ``measure`` is measured in its stead when it is cheaper to read and no
-    smaller. A larger table comes back as it is, and the join is left to
-    Catalyst, with hot keys split by adaptive execution.
+def lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    lookup_key: str,
+    how: str = "left",
+    small: bool | None = None,
+) -> DataFrame:
+    """Join ``df`` to a lookup that has one row per key, and drop the lookup's key.
+
+    A lookup measured as small is broadcast. A larger one is joined by a shuffle
+    in which the rows of each key, missing keys included, go to ``SALTS``
+    partitions by the input partition they come from, so that a key with a large
+    share of the rows does not end up in one task.
     """
-    return F.broadcast(df) if is_small(df if measure is None else measure) else df
+    if small is None:
+        small = is_small(lookup)
+    if small:
+        joined = df.join(F.broadcast(lookup), df[key] == lookup[lookup_key], how)
+    else:
+        left = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        right = lookup.withColumn(
+            "_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        )
+        same = (left[key] == right[lookup_key]) & (left["_salt"] == right["_lookup_salt"])
+        joined = left.join(right, same, how).drop("_salt", "_lookup_salt")
+    return joined.drop(lookup[lookup_key])
 
 
 def country_names(codebook: DataFrame) -> DataFrame:
@@ -46,17 +66,24 @@ def country_names(codebook: DataFrame) -> DataFrame:
     return codebook.groupBy("code").agg(F.min(text.display_name("description")).alias("name"))
 
 
-def decode_country(df: DataFrame, names: DataFrame, code: str, name: str) -> DataFrame:
+def decode_country(
+    df: DataFrame, names: DataFrame, code: str, name: str, small: bool | None = None
+) -> DataFrame:
     """Add ``name`` for country code column ``code``; null for an unknown code."""
-    right = names.select(F.col("code").alias(f"_{name}_code"), F.col("name").alias(name))
-    return df.join(right, df[code] == right[f"_{name}_code"], "left").drop(f"_{name}_code")
+    named = names.select(F.col("code").alias("_code"), F.col("name").alias(name))
+    return lookup_join(df, named, code, "_code", small=small)
+
 
+def state_coordinates(states: DataFrame, coordinates: DataFrame) -> DataFrame:
+    """Add latitude and longitude to rows by state; null for a state without them.
 
-def state_coordinates(df: DataFrame, coordinates: DataFrame) -> DataFrame:
-    """Add latitude and longitude by state_code; null for a state without them."""
-    right = coordinates.select(
-        F.col("State").alias("_state"),
-        F.col("Latitude").alias("latitude"),
-        F.col("Longitude").alias("longitude"),
+    Both sides have one row per state by then, so the join needs no hint.
+    """
+    places = coordinates.groupBy(F.col("State").alias("_state")).agg(
+        F.min(F.struct("Latitude", "Longitude")).alias("_place")
+    )
+    return states.join(places, states["state_code"] == places["_state"], "left").select(
+        *states.columns,
+        F.col("_place.Latitude").alias("latitude"),
+        F.col("_place.Longitude").alias("longitude"),
     )
-    return df.join(right, df["state_code"] == right["_state"], "left").drop("_state")

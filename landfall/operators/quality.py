@@ -67,7 +67,7 @@ def orphans(
     if spelling:
         used = used.groupBy(spelling("key").alias("key")).agg(F.sum("row_count").alias("row_count"))
         known = known.select(spelling("key").alias("key"))
-    return used.where(F.col("key").isNotNull()).join(known, "key", "left_anti")
+    return used.where(F.col("key").isNotNull()).join(known.distinct(), "key", "left_anti")
 
 
 @dataclass(frozen=True)
@@ -108,11 +108,15 @@ def orphan_report(child: DataFrame, references: dict[str, Reference]) -> DataFra
     used = counted.groupBy("reference", spelled.alias("key")).agg(
         F.sum("row_count").alias("row_count")
     )
+    serves: dict[tuple, list[str]] = {}
+    for name, r in references.items():
+        serves.setdefault((id(r.parent), r.key, r.spelling), []).append(name)
     known = _union([
-        r.parent.select(
-            F.lit(name).alias("reference"), r.spelled(r.key).cast("string").alias("key")
-        ).distinct()
-        for name, r in references.items()
+        references[names[0]]
+        .parent.select(references[names[0]].spelled(key).cast("string").alias("key"))
+        .distinct()
+        .select(F.explode(F.array(*map(F.lit, names))).alias("reference"), "key")
+        for (_, key, _), names in serves.items()
     ])
     missing = (
         used.join(known, ["reference", "key"], "left_anti")

@@ -1,7 +1,7 @@
 """Row-level joins of the fact to its dimensions.
 
-Each join keeps one row per fact row: the dimension side is first reduced to
-one row per join key. The analyst queries aggregate before they join and need
+Each join keeps one row per fact row: the dimension side has, or is first
+reduced to, one row per join key. The analyst queries aggregate before they join and need
 these only for row-level work.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import text
-from landfall.operators.lookup import hint_small
+from landfall.operators.lookup import lookup_join
 
 
 def temperature_by_name_key(country_dim: DataFrame) -> DataFrame:
@@ -38,36 +38,25 @@ def join_country(
     fact: DataFrame, country_dim: DataFrame, name: str = "country_of_residence"
 ) -> DataFrame:
     """Fact rows with average_temperature of the named country."""
-    by_key = hint_small(temperature_by_name_key(country_dim))
-    return (
-        fact.withColumn("_key", text.name_key(name))
-        .join(by_key, F.col("_key") == by_key["name_key"], "left")
-        .drop("_key", "name_key")
-    )
+    keyed = fact.withColumn("_key", text.name_key(name))
+    return lookup_join(keyed, temperature_by_name_key(country_dim), "_key", "name_key").drop("_key")
 
 
 def join_demographics(fact: DataFrame, demographics: DataFrame) -> DataFrame:
     """Fact rows with the population of their destination state."""
-    states = hint_small(
-        demographics.select("state_code", "total_population", "foreign_born")
-    )
-    return fact.join(
-        states, fact["destination_state"] == states["state_code"], "left"
-    ).drop("state_code")
+    states = demographics.select("state_code", "total_population", "foreign_born")
+    return lookup_join(fact, states, "destination_state", "state_code")
 
 
 def join_airports(fact: DataFrame, airports: DataFrame) -> DataFrame:
     """Fact rows with the airport of their port of entry."""
-    by_code = hint_small(airports_by_code(airports))
-    return fact.join(by_code, fact["port_of_entry"] == by_code["iata_code"], "left").drop(
-        "iata_code"
-    )
+    return lookup_join(fact, airports_by_code(airports), "port_of_entry", "iata_code")
 
 
 def join_dates(fact: DataFrame, arrival_time: DataFrame) -> DataFrame:
     """Fact rows that have an arrival date, with its calendar parts and date id."""
-    dates = hint_small(arrival_time.withColumnRenamed("id", "date_id"))
-    return fact.join(dates, "arrival_date")
+    dates = arrival_time.withColumnsRenamed({"arrival_date": "_date", "id": "date_id"})
+    return lookup_join(fact, dates, "arrival_date", "_date", how="inner")
 
 
 def join_state_airports(demographics: DataFrame, airports: DataFrame) -> DataFrame:

@@ -308,7 +308,7 @@ def quality_shared_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark)
-    sinks.write_fact(fact(spark, sf_dir), path)
+    sinks.write_fact(fact(spark, sf_dir), path, rebalance=True)
     return analytics.arrivals_in_timeframe(
         readers.read_fact(spark, path), *TIMEFRAME, trust_partitions=True
     )
@@ -318,8 +318,9 @@ def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all months, then odd months once more without their sea arrivals."""
     path = scratch_folder(spark)
     rows = fact(spark, sf_dir)
-    sinks.write_fact(rows, path)
-    sinks.write_fact(rows.where("arrival_month % 2 = 1 and travel_mode <> 'Sea'"), path)
+    sinks.write_fact(rows, path, rebalance=True)
+    later = rows.where("arrival_month % 2 = 1 and travel_mode <> 'Sea'")
+    sinks.write_fact(later, path, rebalance=True)
     return counts_by(readers.read_fact(spark, path), "arrival_year", "arrival_month")
 
 
@@ -375,7 +376,11 @@ def write_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run from files to the stored star schema: rows per stored table."""
     run = pipeline.run_pipeline(
-        spark, write_inputs(spark, sf_dir), Warehouse(scratch_folder(spark)), strict=True
+        spark,
+        write_inputs(spark, sf_dir),
+        Warehouse(scratch_folder(spark)),
+        rebalance=True,
+        strict=True,
     )
     return run.nonempty
 
