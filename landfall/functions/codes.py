@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ COUNTRY_CLASSES = {
     "No Country Code": "No Country Code",
 }
 
+# Words that open a port label which is not a place.
+NOT_A_PLACE = ("Collapsed ", "No PORT Code")
+
 
 def _decode(code: Column, names: dict[int, str], other: str) -> Column:
     chain = F
@@ -86,8 +91,13 @@ _PLACE = r"^(.*?)(?:\s*,\s*|\s+)([A-Z]{2})$"
 
 
 def port_place(label: str) -> Column:
-    """Port label without padding and without the remarks after the state."""
-    return F.trim(F.regexp_replace(F.trim(F.col(label)), _REMARKS, ""))
+    """Port label without padding and without the remarks after the state.
+
+    Null for a collapsed or missing port, whose label names no place.
+    """
+    text = F.trim(F.col(label))
+    named = reduce(lambda a, b: a & b, [~text.startswith(opening) for opening in NOT_A_PLACE])
+    return F.when(named, F.trim(F.regexp_replace(text, _REMARKS, "")))
 
 
 def port_state_candidate(label: str) -> Column:

@@ -221,17 +221,13 @@ labels AS (
            ELSE 'PORT O''' || place END AS label,
          CASE form WHEN 5 THEN 'P' || cast(k // 2 AS varchar)
            WHEN 6 THEN 'P' || cast(k // 3 AS varchar) END AS target_code,
-         CASE WHEN form IN (0, 1, 2, 3, 4, 6) AND st <> 'MX' THEN st END AS state,
+         CASE WHEN form <= 4 AND st <> 'MX' THEN st END AS state,
          CASE WHEN form <= 4 THEN CASE
                 WHEN st <> 'MX' THEN place
                 WHEN form = 1 THEN place || ',' || st
                 WHEN form = 2 THEN place || ' ' || st
                 ELSE place || ', ' || st END
-              WHEN form = 5 THEN 'Collapsed (P' || cast(k // 2 AS varchar) || ') 06/15'
-              WHEN form = 6 THEN 'Collapsed into P' || cast(k // 3 AS varchar)
-                                 || CASE WHEN st = 'MX' THEN ', MX' ELSE '' END
-              WHEN form = 7 THEN 'No PORT Code'
-              ELSE 'PORT O''' || place END AS city
+              WHEN form = 8 THEN 'PORT O''' || place END AS city
   FROM ports
 )"""
 

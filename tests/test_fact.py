@@ -1,0 +1,73 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from landfall import schemas
+from landfall.operators import lookup, star
+from landfall.operators.clean import clean_arrivals
+from landfall.operators.fact import build_fact
+from tests.shapes import CHANGES, COUNTRY_CODES, arrivals
+
+
+def codebook(spark, *more):
+    return spark.createDataFrame([*COUNTRY_CODES[1:], *more], "code int, description string")
+
+
+def test_fact_rows(spark):
+    fact = build_fact(clean_arrivals(arrivals(spark, *CHANGES)), codebook(spark))
+    assert [(f.name, f.dataType) for f in fact.schema] == [
+        (f.name, f.dataType) for f in schemas.FACT
+    ]
+    rows = {(r["immigration_id"], r["port_of_entry"]): r for r in fact.collect()}
+    assert len(rows) == 10
+    assert tuple(rows[1, "NYC"]) == (
+        1, 2016, 4, "NYC", "Air", "NY", dt.date(2016, 4, 1), dt.date(2016, 4, 6),
+        "Northland", "South-isles", "B1", "Business", 1980, "F",
+    )
+    assert rows[2, "NYC"]["travel_mode"] == "Sea" and rows[2, "NYC"]["visa_category"] == "Pleasure"
+    assert rows[3, "NYC"]["travel_mode"] == "Land" and rows[3, "NYC"]["visa_category"] == "Student"
+    assert rows[4, "NYC"]["travel_mode"] == "Not Reported"
+    assert rows[4, "NYC"]["visa_category"] == "Unknown"
+    assert rows[5, "NYC"]["travel_mode"] == "Not Reported"
+    assert rows[5, "NYC"]["country"] is None and rows[5, "NYC"]["country_of_residence"] is None
+    assert rows[6, "NYC"]["arrival_date"] is None
+    assert rows[7, "NYC"]["arrival_date"] == dt.date(2016, 4, 2)
+    assert rows[8, "NYC"]["arrival_date"] is None
+
+
+def test_repeated_code_does_not_multiply_rows(spark):
+    clean = clean_arrivals(arrivals(spark, *CHANGES))
+    fact = build_fact(clean, codebook(spark, (582, "NORTHLAND"), (582, "OTHER")))
+    assert fact.count() == clean.count()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_salted_join_equals_broadcast_join(spark, how):
+    keys = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 != 0, F.col("id") % 50)
+    rows = spark.range(0, 3000, 1, 12).select("id", keys.alias("k"))
+    names = spark.range(30).selectExpr("id as code", "concat('n', id) as name")
+    broadcast = lookup.lookup_join(rows, names, "k", "code", how, small=True)
+    salted = lookup.lookup_join(rows, names, "k", "code", how, small=False)
+    assert broadcast.columns == salted.columns == ["id", "k", "name"]
+    assert sorted(map(tuple, broadcast.collect())) == sorted(map(tuple, salted.collect()))
+
+
+def test_size_check(spark):
+    df = spark.range(100).selectExpr("id", "repeat('x', 10) as s")
+    assert lookup.is_small(df)
+    assert not lookup.is_small(df, max_rows=99)
+    assert not lookup.is_small(df, max_bytes=1000)
+    assert lookup.is_small(df.where("id < 0"))
+
+
+def test_airport_join_keeps_one_row_per_arrival(spark):
+    fact = build_fact(clean_arrivals(arrivals(spark, *CHANGES)), codebook(spark))
+    airports = spark.createDataFrame(
+        [("K2", "Two", "NYC", "NY"), ("K1", "One", "NYC", "NJ")],
+        "ident string, name string, iata_code string, state_code string",
+    )
+    joined = star.join_airports(fact, airports)
+    assert joined.count() == fact.count()
+    row = joined.where("port_of_entry = 'NYC'").first()
+    assert (row["airport_name"], row["airport_state"], row["airports_with_code"]) == ("One", "NJ", 2)
