@@ -68,21 +68,27 @@ def country_class(label: str) -> Column:
 
 
 # `key = 'label'`, with an unquoted number or quoted text as key and '' as escaped quote.
-_LABEL_LINE = r"^\s*(?:'([^']*)'|(\d+))\s*=\s*'([^']*(?:''[^']*)*)'"
+_LABEL_LINE = r"(?s)^\s*(?:'([^']*)'|(\d+))\s*=\s*'([^']*(?:''[^']*)*)'.*$"
+_MARK = "\u0001"
 
 
-def label_code(line: str | Column) -> Column:
-    """Key of a label line, trimmed; null when the line defines no label."""
-    text = F.col(line) if isinstance(line, str) else line
-    key = F.concat(F.regexp_extract(text, _LABEL_LINE, 1), F.regexp_extract(text, _LABEL_LINE, 2))
-    return F.when(text.rlike(_LABEL_LINE), F.trim(key))
+def is_label(line: str) -> Column:
+    return F.col(line).rlike(_LABEL_LINE)
 
 
-def label_text(line: str | Column) -> Column:
-    """Label of a label line with quotes unescaped and padding kept."""
-    text = F.col(line) if isinstance(line, str) else line
-    label = F.replace(F.regexp_extract(text, _LABEL_LINE, 3), F.lit("''"), F.lit("'"))
-    return F.when(text.rlike(_LABEL_LINE), label)
+def label_parts(line: str) -> Column:
+    """Key and label text of a label line, found by one match: read them with the next two."""
+    return F.split(F.regexp_replace(F.col(line), _LABEL_LINE, f"$1$2{_MARK}$3"), _MARK, 2)
+
+
+def label_code(parts: str) -> Column:
+    """Trimmed key."""
+    return F.trim(F.get(F.col(parts), F.lit(0)))
+
+
+def label_text(parts: str) -> Column:
+    """Label with quotes unescaped and padding kept."""
+    return F.replace(F.get(F.col(parts), F.lit(1)), F.lit("''"), F.lit("'"))
 
 
 # Remarks that may follow the state: `(BPS)`, `#ARPT`.
@@ -100,22 +106,17 @@ def port_place(label: str) -> Column:
     return F.when(named, F.trim(F.regexp_replace(text, _REMARKS, "")))
 
 
-def port_state_candidate(label: str) -> Column:
-    """Two capitals that end a port label; a state only if the state list has them."""
-    return F.nullif(F.regexp_extract(port_place(label), _PLACE, 2), F.lit(""))
-
-
-def port_city_candidate(label: str) -> Column:
-    """What stands before the two capitals."""
-    return F.nullif(F.regexp_extract(port_place(label), _PLACE, 1), F.lit(""))
+def port_parts(place: str) -> Column:
+    """City and the two capitals that end a place; the capitals are missing if there are none."""
+    return F.split(F.regexp_replace(F.col(place), _PLACE, f"$1{_MARK}$2"), _MARK, 2)
 
 
-_ALIAS = r"^Collapsed (?:\((\w+)\)|into (\w+))"
+_ALIAS = r"^Collapsed (?:\(|into )(\w+)"
 
 
 def port_alias_target(label: str) -> Column:
     """Code that a collapsed port points to; null for all other ports."""
     text = F.trim(F.col(label))
-    return F.nullif(
-        F.concat(F.regexp_extract(text, _ALIAS, 1), F.regexp_extract(text, _ALIAS, 2)), F.lit("")
+    return F.when(
+        text.startswith("Collapsed "), F.nullif(F.regexp_extract(text, _ALIAS, 1), F.lit(""))
     )

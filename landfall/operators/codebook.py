@@ -10,10 +10,17 @@ from landfall.operators.lookup import lookup_join
 
 
 def label_rows(lines: DataFrame, line: str = "line") -> DataFrame:
-    """(code, label) of every line that defines a label."""
-    return lines.select(
-        codes.label_code(line).alias("code"), codes.label_text(line).alias("label")
-    ).where(F.col("code").isNotNull())
+    """(code, label) of every line that defines a label; other columns stay in front."""
+    others = [c for c in lines.columns if c != line]
+    return (
+        lines.where(codes.is_label(line))
+        .select(*others, codes.label_parts(line).alias("_parts"))
+        .select(
+            *others,
+            codes.label_code("_parts").alias("code"),
+            codes.label_text("_parts").alias("label"),
+        )
+    )
 
 
 def decode_countries(labels: DataFrame) -> DataFrame:
@@ -43,23 +50,25 @@ def decode_ports(labels: DataFrame, states: DataFrame) -> DataFrame:
     listed = states.select(
         F.col("code").alias("_listed"), F.col("code").alias("_state")
     ).distinct()
-    ports = labels.select(
-        "code",
-        F.trim("label").alias("label"),
-        codes.port_place("label").alias("_place"),
-        codes.port_city_candidate("label").alias("_city"),
-        codes.port_state_candidate("label").alias("_candidate"),
+    ports = (
+        labels.select(
+            "code", F.trim("label").alias("label"), codes.port_place("label").alias("_place")
+        )
+        .withColumn("_parts", codes.port_parts("_place"))
+        .withColumn("_candidate", F.get("_parts", F.lit(1)))
     )
+    city = F.when(F.col("_state").isNotNull(), F.get("_parts", F.lit(0))).otherwise(F.col("_place"))
     return lookup_join(ports, listed, "_candidate", "_listed").select(
-        "code",
-        "label",
-        F.when(F.col("_state").isNotNull(), F.col("_city")).otherwise(F.col("_place")).alias("city"),
-        F.col("_state").alias("state"),
+        "code", "label", city.alias("city"), F.col("_state").alias("state")
     )
 
 
 def resolve_port_aliases(labels: DataFrame) -> DataFrame:
-    """code and label of each port, with a collapsed port's target code and label."""
+    """code and label of each port, with a collapsed port's target code and label.
+
+    Measuring the targets would cost as much as joining them, so the join is not
+    offered for broadcast.
+    """
     ports = labels.select(
         "code", F.trim("label").alias("label"), codes.port_alias_target("label").alias("target_code")
     )
@@ -68,7 +77,7 @@ def resolve_port_aliases(labels: DataFrame) -> DataFrame:
         F.min(F.trim("label")).alias("_target_label")
     )
     targets = known.join(wanted, known["_target"] == wanted["target_code"], "left_semi")
-    return lookup_join(ports, targets, "target_code", "_target").select(
+    return lookup_join(ports, targets, "target_code", "_target", small=False).select(
         "code",
         "label",
         "target_code",

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import text
+from landfall.operators.keys import scratch_root
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 
 def is_small(
@@ -38,23 +38,19 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``df`` to a lookup that has one row per key, and drop the lookup's key.
 
-    A lookup measured as small is broadcast. A larger one is joined by a shuffle
-    in which the rows of each key, missing keys included, go to ``SALTS``
-    partitions by the input partition they come from, so that a key with a large
-    share of the rows does not end up in one task.
+    A lookup measured as small is broadcast. A larger one is checkpointed and
+    joined by a shuffle of both sides. With the lookup's own aggregation cut off
+    before that shuffle, adaptive execution can split a hot key, or the missing
+    keys, over several tasks.
     """
     if small is None:
         small = is_small(lookup)
     if small:
-        joined = df.join(F.broadcast(lookup), df[key] == lookup[lookup_key], how)
+        lookup = F.broadcast(lookup)
     else:
-        left = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-        right = lookup.withColumn(
-            "_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        )
-        same = (left[key] == right[lookup_key]) & (left["_salt"] == right["_lookup_salt"])
-        joined = left.join(right, same, how).drop("_salt", "_lookup_salt")
-    return joined.drop(lookup[lookup_key])
+        scratch_root(df.sparkSession)
+        lookup = lookup.checkpoint()
+    return df.join(lookup, df[key] == lookup[lookup_key], how).drop(lookup[lookup_key])
 
 
 def country_names(codebook: DataFrame) -> DataFrame:

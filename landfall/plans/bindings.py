@@ -25,7 +25,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(month(o_orderdate) as double) as i94mon",
         "cast(c_nationkey as double) as i94cit",
         "cast((c_custkey * 7) % 30 as double) as i94res",
-        "concat('P', cast(o_orderkey % 40 as string)) as i94port",
+        "concat(if(o_orderkey % 40 < 35, 'P', 'Q'), cast(o_orderkey % 40 as string)) as i94port",
         f"""case when o_orderkey % 211 = 0 then null
                  when o_orderkey % 499 = 1 then 0.0D
                  when o_orderkey % 13 = 0 then {day} + 0.75D
@@ -124,9 +124,16 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lines(df: DataFrame, line: str) -> DataFrame:
+    """One text line per row. As with lines split off a file, what reads them
+    works on the finished line and does not repeat the expression that makes it."""
+    return df.select(F.explode(F.array(F.expr(line))).alias("line"))
+
+
 def country_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One country label line per customer."""
-    return table(spark, sf_dir, "customer").selectExpr(
+    return _lines(
+        table(spark, sf_dir, "customer"),
         """concat('   ', cast(c_custkey as string), ' =  ''',
             case c_custkey % 7
                 when 0 then concat('INVALID: ', c_mktsegment)
@@ -134,14 +141,15 @@ def country_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                 when 2 then concat('Collapsed ', c_mktsegment, ' (should not show)')
                 when 3 then concat(c_mktsegment, '''''S LAND ')
                 else concat(c_mktsegment, ' ', cast(c_nationkey as string)) end,
-            '''', case when c_custkey % 5 = 0 then ' ;' else '' end) as line"""
+            '''', case when c_custkey % 5 = 0 then ' ;' else '' end)""",
     )
 
 
 def port_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One port label line per part."""
     state = "array('AA', 'BB', 'MX', 'CC')[p_partkey % 4]"
-    return table(spark, sf_dir, "part").selectExpr(
+    return _lines(
+        table(spark, sf_dir, "part"),
         f"""concat('   ''P', cast(p_partkey as string), if(p_partkey % 4 = 3, ' ', ''), '''\t=\t''',
             case p_partkey % 9
                 when 0 then concat(upper(p_name), ', ', {state}, '      ')
@@ -153,7 +161,7 @@ def port_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                 when 6 then concat('Collapsed into P', cast(p_partkey div 3 as string), ', ', {state})
                 when 7 then concat('No PORT Code (P', cast(p_partkey as string), ')')
                 else concat('PORT O''''', upper(p_name), ' ') end,
-            '''') as line"""
+            '''')""",
     )
 
 

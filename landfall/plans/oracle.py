@@ -14,7 +14,7 @@ arrivals AS (
          cast(month(o_orderdate) AS double) AS i94mon,
          cast(c_nationkey AS double) AS i94cit,
          cast((c_custkey * 7) % 30 AS double) AS i94res,
-         'P' || cast(o_orderkey % 40 AS varchar) AS i94port,
+         CASE WHEN o_orderkey % 40 < 35 THEN 'P' ELSE 'Q' END || cast(o_orderkey % 40 AS varchar) AS i94port,
          CASE WHEN o_orderkey % 211 = 0 THEN NULL
               WHEN o_orderkey % 499 = 1 THEN cast(0 AS double)
               WHEN o_orderkey % 13 = 0 THEN cast(d AS double) + 0.75

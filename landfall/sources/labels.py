@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.functions import codes
+from landfall.operators.codebook import label_rows
 
 _COMMENT = r"(?s)/\*.*?\*/"
 _BLOCK_START = r"(?im)^\s*value\s+"
@@ -36,9 +36,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_extract("block", _BLOCK_NAME, 1).alias("format"),
         F.explode(_body("block")).alias("line"),
     )
-    return lines.select(
-        "format", codes.label_code("line").alias("code"), codes.label_text("line").alias("label")
-    ).where(F.col("code").isNotNull())
+    return label_rows(lines)
 
 
 def labels_of(labels: DataFrame, format: str) -> DataFrame:

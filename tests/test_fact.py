@@ -43,14 +43,14 @@ def test_repeated_code_does_not_multiply_rows(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_broadcast_join(spark, how):
+def test_shuffle_join_equals_broadcast_join(spark, how):
     keys = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 != 0, F.col("id") % 50)
     rows = spark.range(0, 3000, 1, 12).select("id", keys.alias("k"))
     names = spark.range(30).selectExpr("id as code", "concat('n', id) as name")
     broadcast = lookup.lookup_join(rows, names, "k", "code", how, small=True)
-    salted = lookup.lookup_join(rows, names, "k", "code", how, small=False)
-    assert broadcast.columns == salted.columns == ["id", "k", "name"]
-    assert sorted(map(tuple, broadcast.collect())) == sorted(map(tuple, salted.collect()))
+    shuffled = lookup.lookup_join(rows, names, "k", "code", how, small=False)
+    assert broadcast.columns == shuffled.columns == ["id", "k", "name"]
+    assert sorted(map(tuple, broadcast.collect())) == sorted(map(tuple, shuffled.collect()))
 
 
 def test_size_check(spark):

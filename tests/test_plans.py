@@ -5,8 +5,10 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from landfall.operators import lookup
 from landfall.plans import analytics, catalog
 from landfall.sources import readers, sinks
 
@@ -69,6 +71,34 @@ def test_months_are_pruned_and_dates_pushed_down(spark, tmp_path):
     assert re.search(r"ReadSchema: struct<arrival_date:date>", plan)
 
 
+def test_hot_key_of_a_large_lookup_is_split(spark):
+    """A third of the rows share a key and another third have none."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(0, 300_000, 1, 12).selectExpr(
+            "id", "case id % 3 when 0 then 7 when 1 then id end as k", "uuid() as filler"
+        )
+        names = (
+            spark.range(300_000).selectExpr("id as code").groupBy("code")
+            .agg(F.count("*").alias("n"))
+        )
+        joined = lookup.lookup_join(rows, names, "k", "code", small=False)
+        out = joined.select("id", "n", "filler")
+        assert out.agg(F.count("n"), F.count("*")).collect()[0][:] == (200_000, 300_000)
+        out.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(out)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["destination_state", "arrivals"] and df.count() == 10
