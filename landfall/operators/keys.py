@@ -35,7 +35,8 @@ def dense_id(df: DataFrame, *keys: str, unique: bool = True, name: str = "id") -
     task ever holds more than one range. Pass ``unique=False`` when rows may be
     exact copies of each other: their scan position then splits a large group
     of copies over several ranges. Copies are interchangeable, so the numbered
-    rows stay the same.
+    rows stay the same. Scan positions repeat on a retry only if ``df`` is a file
+    scan with row-local steps, so checkpoint anything else first.
     """
     scratch_root(df.sparkSession)
     columns = df.columns

@@ -30,6 +30,33 @@ def nonempty_report(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
+def source_report(
+    temperature: DataFrame, demographics: DataFrame, airports: DataFrame
+) -> DataFrame:
+    """source, rows read, rows that enter its dimension, and distinct keys they fall under.
+
+    One pass per source. Arrivals have their own audit.
+    """
+    is_us_airport = (F.col("iso_country") == "US") & F.col("iata_code").isNotNull()
+    has_reading = F.col("AverageTemperature").isNotNull() & ~F.isnan("AverageTemperature")
+    sources = {
+        "temperature": (temperature, has_reading, "Country"),
+        "demographics": (demographics, F.lit(True), "State Code"),
+        "airports": (airports, is_us_airport, "iata_code"),
+    }
+    return _union([
+        df.groupBy(F.when(kept, F.col(key)).alias("_key"))
+        .agg(F.count("*").alias("_read"), F.count_if(kept).alias("_kept"))
+        .agg(
+            F.coalesce(F.sum("_read"), F.lit(0)).alias("rows_read"),
+            F.coalesce(F.sum("_kept"), F.lit(0)).alias("rows_kept"),
+            F.count("_key").alias("keys_kept"),
+        )
+        .select(F.lit(name).alias("source"), "rows_read", "rows_kept", "keys_kept")
+        for name, (df, kept, key) in sources.items()
+    ])
+
+
 def key_report(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """table_name, keys that occur more than once, surplus rows and passed."""
     reports = []
@@ -86,18 +113,26 @@ class Reference:
 def orphan_report(child: DataFrame, references: dict[str, Reference]) -> DataFrame:
     """reference, orphan keys, orphan rows and passed, from one pass over ``child``.
 
-    Each row is counted once per reference and key, on the map side first. The
-    counts then meet the known keys of all parents in a single join.
+    Each row is counted once per referring column and key, on the map side
+    first. The counts then meet the known keys of all parents in a single join.
     """
+    by_column: dict[str, list[str]] = {}
+    for name, r in references.items():
+        by_column.setdefault(r.column, []).append(name)
     uses = [
-        F.struct(F.lit(name).alias("reference"), F.col(r.column).cast("string").alias("key"))
-        for name, r in references.items()
+        F.struct(F.lit(column).alias("column"), F.col(column).cast("string").alias("key"))
+        for column in by_column
     ]
+    names_of_column = F.coalesce(*[
+        F.when(F.col("column") == column, F.array(*map(F.lit, names)))
+        for column, names in by_column.items()
+    ])
     counted = (
         child.select(F.inline(F.array(*uses)))
         .where(F.col("key").isNotNull())
-        .groupBy("reference", "key")
+        .groupBy("column", "key")
         .agg(F.count("*").alias("row_count"))
+        .select(F.explode(names_of_column).alias("reference"), "key", "row_count")
     )
     spelled = reduce(
         lambda other, item: F.when(F.col("reference") == item[0], item[1].spelled("key"))

@@ -277,6 +277,14 @@ def age_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Quality.
 
 
+def quality_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.source_report(
+        bindings.temperature(spark, sf_dir),
+        bindings.demographics(spark, sf_dir),
+        bindings.airports(spark, sf_dir),
+    )
+
+
 def quality_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.nonempty_report(star_tables(spark, sf_dir))
 
@@ -435,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "q9_rollup": q9_rollup,
     "q9_grouping_sets": q9_grouping_sets,
     "weighted_count": weighted_count,
+    "quality_sources": quality_sources,
     "quality_nonempty": quality_nonempty,
     "quality_key_unique": quality_key_unique,
     "quality_orphans": quality_orphans,

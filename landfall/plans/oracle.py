@@ -440,6 +440,15 @@ def statements() -> dict[str, str]:
             SELECT cast(i94yr AS integer) AS arrival_year, cast(i94mon AS integer) AS arrival_month,
                    sum(count) AS weighted_arrivals, count(*) AS records
             FROM clean GROUP BY 1, 2""",
+        "quality_sources": f"""WITH {_TEMPERATURE},{_CITIES},{_AIRPORTS}
+            SELECT 'temperature' AS source, count(*) AS rows_read,
+                   count(AverageTemperature) AS rows_kept,
+                   count(DISTINCT CASE WHEN AverageTemperature IS NOT NULL THEN Country END)
+                     AS keys_kept FROM temperature
+            UNION ALL SELECT 'demographics', count(*), count(*), count(DISTINCT state_code) FROM cities
+            UNION ALL SELECT 'airports', count(*),
+                   (SELECT count(*) FROM airports), (SELECT count(DISTINCT iata_code) FROM airports)
+            FROM listed""",
         "quality_nonempty": f"WITH {_STAR} {_NONEMPTY}",
         "quality_key_unique": f"WITH {_STAR} " + " UNION ALL ".join([
             _keys("fact", "immigration_id", "immigration_fact"),

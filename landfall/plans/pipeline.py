@@ -21,6 +21,7 @@ class Run:
 
     tables: dict[str, DataFrame]
     audit: DataFrame
+    sources: DataFrame
     nonempty: DataFrame
 
 
@@ -52,14 +53,16 @@ def run_pipeline(
     fact_path = warehouse.path("immigration_fact")
     sinks.write_fact(build_fact(clean_arrivals(raw), codebook), fact_path, replace_all, rebalance)
 
+    temperature = readers.read_temperature(spark, inputs.temperature)
+    demographics = readers.read_demographics(spark, inputs.demographics)
+    airports = readers.read_airports(spark, inputs.airports)
     built = {
         "arrival_time": dims.build_date_dim(readers.read_fact(spark, fact_path)),
-        "country": dims.build_temperature_dim(readers.read_temperature(spark, inputs.temperature)),
+        "country": dims.build_temperature_dim(temperature),
         "us_population_demographics": dims.build_demographics_dim(
-            readers.read_demographics(spark, inputs.demographics),
-            readers.read_state_coordinates(spark, inputs.state_coordinates),
+            demographics, readers.read_state_coordinates(spark, inputs.state_coordinates)
         ),
-        "us_airports": dims.build_airports_dim(readers.read_airports(spark, inputs.airports)),
+        "us_airports": dims.build_airports_dim(airports),
     }
     for name, table in built.items():
         sinks.write_table(table, warehouse.path(name))
@@ -68,7 +71,8 @@ def run_pipeline(
     nonempty = quality.nonempty_report(tables)
     if strict:
         quality.require_passed(nonempty)
-    return Run(tables, null_audit(raw), nonempty)
+    sources = quality.source_report(temperature, demographics, airports)
+    return Run(tables, null_audit(raw), sources, nonempty)
 
 
 def key_checks(tables: dict[str, DataFrame]) -> DataFrame:

@@ -32,6 +32,10 @@ def test_two_runs_store_the_same(spark, tmp_path, arrivals_format):
     assert (audit["total_rows"], audit["kept_rows"], audit["balanced"]) == (12, 10, True)
     assert audit["undated_arrdate"] == 2
 
+    assert sorted(map(tuple, second.sources.collect())) == [
+        ("airports", 6, 4, 3), ("demographics", 6, 6, 4), ("temperature", 6, 4, 2),
+    ]
+
     keys = {r["table_name"]: r for r in pipeline.key_checks(second.tables).collect()}
     assert keys["immigration_fact"]["surplus_rows"] == 1
     assert keys["us_airports by iata_code"]["repeated_keys"] == 1
