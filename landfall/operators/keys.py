@@ -14,12 +14,15 @@ _PLACE_BITS = 33
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in spark.checkpoint.dir. Only where neither that nor a
-    context checkpoint folder is set, as in local tests, a new one is made.
+    The cluster names it in spark.checkpoint.dir. A new local one is made only in
+    local mode, where driver and executors are one process; elsewhere an unset
+    folder is an error, as executors do not see each other's disks.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="landfall-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)

@@ -6,13 +6,13 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from landfall.plans import catalog, oracle
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings
 pages benchmark labels conversations""".split()
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
