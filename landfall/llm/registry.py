@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from landfall.llm import language_id, line_dedup, mixing, quality_classifier, quality_rules
+from pyspark.sql import functions as F
+
+from landfall.llm import (
+    exact_search,
+    language_id,
+    line_dedup,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    warc,
+)
 from landfall.plans.bindings import table
 
 
@@ -16,6 +26,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,6 +42,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op8_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.search_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify_quality(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -36,9 +58,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
+    "op7_warc": op7_warc,
+    "op8_exact_search": op8_exact_search,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
@@ -63,4 +88,38 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, cast(sum(cast(gone AS int)) AS bigint) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM judged GROUP BY row_no, doc_id""",
+    "op7_warc": """
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+            FROM pages
+        ), roles AS (
+            SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_page FROM payloads
+        ), bits AS (
+            SELECT *, string_split(hex, '') AS digits FROM roles
+        ), numbers AS (
+            SELECT *, list_transform(digits, lambda d: strpos('0123456789abcdef', d) - 1) AS n FROM bits
+        )
+        SELECT page_id, cast(payload_bytes AS bigint) AS payload_bytes,
+               -- five hexadecimal digits hold four base32 digits
+               array_to_string(list_transform(range(32), lambda i:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+                       ((n[(i // 4) * 5 + 1] * 65536 + n[(i // 4) * 5 + 2] * 4096 + n[(i // 4) * 5 + 3] * 256
+                         + n[(i // 4) * 5 + 4] * 16 + n[(i // 4) * 5 + 5]) >> cast(15 - 5 * (i % 4) AS integer)) & 31
+                   AS integer), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+        FROM numbers""",
+    "op8_exact_search": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x AS double)) AS bigint)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, cast(list_inner_product(q.v, c.v) AS bigint) AS score
+            FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+            SELECT *, cast(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer) AS rank
+            FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
