@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm import (
     exact_search,
+    jaccard_join,
     language_id,
     line_dedup,
     mixing,
@@ -42,6 +43,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_warc": op7_warc,
     "op8_exact_search": op8_exact_search,
     "op10_quality_classifier": op10_quality_classifier,
@@ -88,6 +94,31 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, cast(sum(cast(gone AS int)) AS bigint) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM judged GROUP BY row_no, doc_id""",
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE rows AS (
+            SELECT row_number() OVER () AS row_no, doc_id, list_filter(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[ \t\n\x0b\f\r]+'), lambda w: w <> '') AS w
+            FROM documents
+        ), sets AS (
+            SELECT row_no, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 1),
+                    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+            FROM rows
+        ), tokens AS (
+            SELECT row_no, len(s) AS n, unnest(s) AS token FROM sets
+        ), pairs AS (
+            SELECT a.row_no AS a, b.row_no AS b FROM tokens a JOIN tokens b USING (token)
+            WHERE a.row_no < b.row_no AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+            GROUP BY a.row_no, b.row_no, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+        ), links AS (
+            SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+        ), reach AS (
+            SELECT row_no, row_no AS seen FROM sets UNION SELECT reach.row_no, links.b FROM reach JOIN links ON reach.seen = links.a
+        )
+        SELECT s.doc_id, cast(len(s.s) AS bigint) AS n_shingles, min(t.doc_id) AS component_id
+        FROM sets s JOIN reach USING (row_no) JOIN sets t ON reach.seen = t.row_no
+        GROUP BY s.row_no, s.doc_id, len(s.s)""",
     "op7_warc": """
         WITH payloads AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
