@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from landfall.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     warc,
 )
 from landfall.plans.bindings import table
@@ -55,6 +57,10 @@ def op8_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_search.search_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify_quality(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -70,7 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_warc": op7_warc,
     "op8_exact_search": op8_exact_search,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
