@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm import jaccard_join, language_id, line_dedup, mixing, packing
-from landfall.llm.common import held_out, stored
+from landfall.llm.common import held_out, shielded, stored
 from landfall.plans.bindings import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,8 +17,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known with enough confidence; a missing lang is filled in."""
     model = language_id.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)))
-    kept = language_id.identify(docs, model, tuple(docs.columns)).where("not rejected")
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    rows, restored = shielded(docs, "doc_id", "text", "lang")
+    kept = language_id.identify(rows, model, tuple(rows.columns)).where("not rejected")
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*restored)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,9 +18,6 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the shared scratch root."""
     return join_path(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
@@ -37,9 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z and nothing else."""
-    return F.translate(text, _UPPER, _UPPER.lower())
+def shielded(docs: DataFrame, *inputs: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but ``inputs`` renamed, and the columns that undo it.
+
+    Operators that pass other columns through add columns of their own in between, which
+    may have the same names.
+    """
+    safe = {c: c if c in inputs else f"_own_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(s) for c, s in safe.items()])
+    return renamed, [F.col(f"`{s}`").alias(c) for c, s in safe.items()]
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:

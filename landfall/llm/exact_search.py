@@ -121,12 +121,15 @@ def best_pairs(
         part = slice(start, start + search.chunk_vectors)
         bound = qr[:, :lead] @ cr[part, :lead].T + np.outer(q_rest, c_rest[part])
         may = (bound + slack[:, None] >= floor[:, None]) & (q_ids[:, None] != c_ids[part][None, :])
-        at_q, at_c = np.nonzero(may)
-        if len(at_q) == 0:
-            continue
-        if len(at_q) > 0.1 * may.size:
-            scores = (qx @ cx[part].T)[at_q, at_c]
+        if may.mean() > 0.1:
+            # Too many for pair by pair: score all, and raise the floors before listing pairs.
+            every = np.where(may, qx @ cx[part].T, -np.inf)
+            if every.shape[1] >= k:
+                floor = np.maximum(floor, np.partition(every, -k, axis=1)[:, -k])
+            at_q, at_c = np.nonzero(may & (every >= floor[:, None]))
+            scores = every[at_q, at_c] if as_double else np.einsum("ij,ij->i", qx[at_q], cx[part][at_c])
         else:
+            at_q, at_c = np.nonzero(may)
             scores = np.einsum("ij,ij->i", qx[at_q], cx[part][at_c])
         scores = scores.astype(np.int64)
         good = scores >= floor[at_q]
@@ -162,6 +165,8 @@ def _met(queries: DataFrame, candidates: DataFrame, axes: np.ndarray, search: Se
         return pa.table({"query_id": q_ids[at] if len(at) else at, "vec_id": ids, "score": scores})
 
     keys = ("part", "block")
+    # Both sides come from one table; new names for one of them tell them apart.
+    queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])
     return queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(meet, _FOUND)
 
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import mixed, stored, utf8_texts
+from landfall.llm.common import mixed, shielded, stored, utf8_texts
 from landfall.llm.components import connected_components
 
 _NONE = np.iinfo(np.int64).max  # stands for a null id, which counts as the largest
@@ -496,26 +496,22 @@ def keep_one_each(docs: DataFrame, join: Join = Join(words=5, percent=80)) -> Da
     )
     best = placed.groupBy("root").agg(F.min(F.struct("doc", -F.col("n"), "set_id")).alias("best"))
     chosen = best.select(F.col("best.doc").alias("_doc"), F.col("best.set_id").alias("_set"))
-    own = [f"_own_{c}" for c in docs.columns]
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)],
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE))).alias("_doc"), F.col("text").alias("_text"),
-    )
-    names = [*own, "_doc"]
+    rows, restored = shielded(docs, "doc_id", "text")
+    names = [*rows.columns, "_doc"]
+    rows = rows.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE))))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = []
-            for data in utf8_texts(batch["_text"]):
+            for data in utf8_texts(batch["text"]):
                 tokens = shingles(data, join.words)
                 ids.append(set_id(tokens) if len(tokens) else None)
             yield pa.RecordBatch.from_arrays(
                 [*[batch[c] for c in names], pa.array(ids, pa.binary())], names=[*names, "_set"]
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     marked = rows.mapInArrow(mark, f"{schema}, _set binary")
-    restored = [F.col(f"`{o}`").alias(c) for c, o in zip(docs.columns, own)]
     wordless = marked.where("_set is null")
     # Of rows that repeat the kept id and set, any is as good as another.
     kept = marked.where("_set is not null").join(chosen, ["_doc", "_set"]).dropDuplicates(["_doc", "_set"])

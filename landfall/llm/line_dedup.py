@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import SPACE_CHARS, stored, utf8_texts
+from landfall.llm.common import SPACE_CHARS, shielded, stored, utf8_texts
 
 _WHITE = SPACE_CHARS.encode()
 _LAST = np.iinfo(np.int64).max
@@ -193,8 +193,9 @@ def line_digests(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 def drop_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """``docs`` with the kept lines as text; a null text stays null."""
-    text = docs.columns.index("text")
-    names = docs.columns
+    rows, restored = shielded(docs, "doc_id", "text")
+    text = rows.columns.index("text")
+    names = rows.columns
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,4 +207,4 @@ def drop_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
             columns[text] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return with_bitmaps(docs, min_chars).mapInArrow(rewrite, docs.schema)
+    return with_bitmaps(rows, min_chars).mapInArrow(rewrite, rows.schema).select(*restored)

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import WORD, stored
+from landfall.llm.common import WORD, shielded, stored
 
 _PRIME = 2147483647  # larger than any shard's number of blocks, so multiplying by it permutes them
 
@@ -192,18 +192,14 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(block_words=1024)) -> DataFram
     A document stands as often as its block is taken, possibly never; documents without
     words leave.
     """
-    columns = docs.columns
-    own = {c: f"_own_{c}" for c in columns}
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(own[c]) for c in columns],
-        "doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("order_key"),
-    )
+    rows, restored = shielded(docs, "doc_id", "source", "text")
+    rows = rows.withColumns({"size": word_count(), "order_key": F.xxhash64("text")})
     sizes = stored(rows.select("doc_id", "source", "size"), "mix-sizes")
     placed = _placed(rows, plan(sizes, mix), mix).where("size > 0")
     block = F.floor(F.col("start") / mix.block_words)
     copies = F.col("rounds") + F.when(_chosen(block), 1).otherwise(0)
     return (
-        placed.withColumn("_copies", copies.cast("int")).where("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[F.col(f"`{own[c]}`").alias(c) for c in columns])
+        placed.withColumn("copies", copies.cast("int")).where("copies > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select(*restored)
     )

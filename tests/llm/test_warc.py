@@ -1,0 +1,80 @@
+import base64
+import hashlib
+import struct
+from pathlib import Path
+
+import pytest
+import zstandard
+
+from landfall.llm import warc as W
+from tests.llm import samples
+
+PAGES = [
+    (i, f"http://a.example/{i}", f"<html><body>page {i % 9} {samples.WORDS['xa'][i % 8] * (i % 9 * 40)}</body></html>") for i in range(80)
+] + [(100, None, None), (101, "u", ""), (102, "u\r\nX: y", "é" * 500), (None, "u", "é" * 500), (None, None, "alone"),
+     (103, "long", "abc " * 400_000), (5, "again", "other"), (5, "again", "other")]
+
+
+def pages(spark, rows=PAGES):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    return df.selectExpr("*", "'x' as record_type", "1 as refers_to", "'y' as payload", "2 as _bytes")
+
+
+def expected(rows=PAGES, least=0):
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h or ""] = min(i, first.get(h or "", i))
+    out = []
+    for i, _, h in rows:
+        data, one = (h or "").encode(), first.get(h or "")
+        revisit = one is not None and i != one and len(data) >= least
+        name = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        out.append((i, len(data), name, "revisit" if revisit else "response", one if revisit else None))
+    return sorted(out, key=repr)
+
+
+def test_round_trip(spark):
+    assert samples.plain(W.archive_round_trip(pages(spark)).collect()) == expected()
+
+
+@pytest.mark.parametrize("least", [100, 600])
+def test_small_payloads_are_responses(spark, least):
+    archiving = W.Archiving(min_payload_bytes=least, archive_bytes=100_000)
+    assert samples.plain(W.archive_round_trip(pages(spark), archiving).collect()) == expected(least=least)
+
+
+def test_files_are_dictionary_frame_and_single_records(spark, tmp_path):
+    W.write_archives(pages(spark), f"file://{tmp_path}/a", W.Archiving(archive_bytes=200_000))
+    files = [p for p in Path(tmp_path, "a").iterdir() if p.name.startswith("part-") and p.stat().st_size]
+    assert len(files) > 1
+    records = 0
+    for path in files:
+        data = path.read_bytes()
+        magic, length = struct.unpack_from("<II", data)
+        assert magic == W.DICTIONARY_MAGIC
+        words = zstandard.ZstdCompressionDict(data[8 : 8 + length])
+        reader = zstandard.ZstdDecompressor(dict_data=words).stream_reader(data[8 + length :], read_across_frames=True)
+        records += reader.read().count(b"WARC/1.1\r\n")
+    assert records == len(PAGES)
+    payloads = {r["page_id"]: bytes(r["payload"]) for r in W.read_archives(spark, f"file://{tmp_path}/a").where("record_type = 'response' and page_id > 5").collect()}
+    assert payloads[103] == b"abc " * 400_000
+
+
+def test_dictionary_helps(spark):
+    data = [W.record(i, "u", h.encode(), None, False, "d") for i, _, h in PAGES[:80]]
+    words = zstandard.train_dictionary(2000, data)
+    plain, with_words = zstandard.ZstdCompressor(), zstandard.ZstdCompressor(dict_data=words)
+    assert sum(len(with_words.compress(d)) for d in data) < 0.8 * sum(len(plain.compress(d)) for d in data)
+
+
+def test_few_and_no_pages(spark):
+    assert W.archive_round_trip(pages(spark, [])).collect() == []
+    one = [(1, "u", "x")]
+    assert samples.plain(W.archive_round_trip(pages(spark, one)).collect()) == expected(one)
+
+
+def test_a_damaged_payload_is_found():
+    data = W.record(1, "u", b"payload", None, False, "d").replace(b"payload", b"PAYLOAD")
+    with pytest.raises(ValueError):
+        W.parse_record(data)
