@@ -10,8 +10,8 @@ Two classes can only be linked if they share tokens early in a common order (pre
 filter). The order puts tokens last that a count sketch over all documents shows to be
 frequent. Classes that share their first token meet first, which links nearly all copies;
 later tokens matter only where they join different components. Tokens held by few classes
-give pairs, which must share several early tokens; tokens held by many give pairs of blocks
-of classes in order of size.
+give pairs, which must share several early tokens; tokens held by many give groups of classes
+of like size, in blocks.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.common import mixed, shielded, stored, utf8_texts
@@ -39,11 +39,11 @@ class Join:
     words: int = 3  # of a shingle
     percent: int = 90  # linked at 100 * intersection >= percent * union
     shared: int = 8  # early tokens that a pair from rare tokens must share
-    rare: int = 64  # classes that a token may have to give pairs
+    rare: int = 512  # classes that a token may have to give pairs
     block: int = 512  # classes of a block of a frequent token
     first_block: int = 4096  # classes that meet at a shared first token
     group_rows: int = 2000  # rows gathered in one task's group, about
-    broadcast_rows: int = 200_000  # ids that may be broadcast at most, about 5 MB
+    broadcast_rows: int = 200_000  # rows of five numbers and a hash that may be broadcast, about 15 MB
 
 
 # Shingle sets.
@@ -274,13 +274,10 @@ def group_links(members: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """
     members = stored(members, "group-members")
     n = members.count()
-    ids = members.select("doc").distinct()
-    # A checked size decides how the texts are found: by broadcast ids or by a shuffle.
-    small = ids.limit(join.broadcast_rows + 1).count() <= join.broadcast_rows
-    found = docs.join(F.broadcast(ids) if small else ids, "doc", "left_semi")
     buckets = max(1, -(-n // join.group_rows))
     rows = members.withColumn("bucket", F.pmod(F.xxhash64("gid"), F.lit(buckets)))
-    texts = found.join(rows.hint("shuffle_merge"), "doc").select(
+    # A checked size decides how the texts are found: by broadcast members or by a shuffle.
+    texts = docs.join(F.broadcast(rows) if n <= join.broadcast_rows else rows, "doc").select(
         "bucket", "gid", "cid", "set_id", "root", "text"
     )
 
@@ -317,9 +314,6 @@ def _first_token_groups(classes: DataFrame, join: Join) -> DataFrame:
     )
 
 
-_PAIR, _BLOCK = 0, 1
-
-
 def _early_rows(classes: DataFrame) -> DataFrame:
     """(token, n, cid, root): one row per early token."""
 
@@ -339,20 +333,28 @@ def _early_rows(classes: DataFrame) -> DataFrame:
     return classes.select("n", "cid", "root", "early").mapInArrow(explode, "token long, n long, cid long, root long")
 
 
+def _rare() -> Column:
+    """Whether a token is of frequency class 0."""
+    return F.col("token").between(0, (1 << 56) - 1)
+
+
 def _candidates(early: DataFrame, join: Join) -> DataFrame:
-    """Stream the rows of each token in order of size: pairs from rare tokens, (token, cid) from frequent ones.
+    """Stream each token's rows in order of size: pairs of classes in different components from
+    rare tokens, and the rows of tokens that turn out to be held by many.
 
-    Only tokens whose classes lie in different components count.
+    Tokens that the sketch shows to be frequent do not come here, so no token has more
+    rows than the sketch lets pass, and what a task holds is one rare token's rows.
     """
     percent = join.percent
-    names = ["kind", "a", "b", "m", "n"]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["pair", "a", "b", "m", "n"]
+    types = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[list[np.ndarray]] = []
 
-        def give(kind: int, a: np.ndarray, b: np.ndarray, m: np.ndarray, n: np.ndarray) -> None:
-            out.append([np.full(len(a), kind), a, b, m, n])
+        def give(pair: bool, *columns: np.ndarray) -> None:
+            if len(columns[0]):
+                out.append([np.full(len(columns[0]), pair), *columns])
 
         def flush() -> pa.RecordBatch:
             columns = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
@@ -365,10 +367,10 @@ def _candidates(early: DataFrame, join: Join) -> DataFrame:
             i, j = i[ok], j[ok]
             swap = cid[i] > cid[j]
             a, b = np.where(swap, j, i), np.where(swap, i, j)
-            give(_PAIR, cid[a], cid[b], n[a], n[b])
+            give(True, cid[a], cid[b], n[a], n[b])
 
         held = [np.zeros(0, np.int64)] * 4  # the token that the last batch broke off in, while it is rare
-        running: int | None = None  # the frequent token that goes on
+        running: int | None = None  # the token of more rows that goes on
         for batch in batches:
             columns = [batch[c].to_numpy() for c in ("token", "n", "cid", "root")]
             token, n, cid, root = (np.concatenate([h, c]) for h, c in zip(held, columns))
@@ -376,15 +378,15 @@ def _candidates(early: DataFrame, join: Join) -> DataFrame:
                 continue
             edges = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
             sizes = np.diff(edges)
-            begin = len(edges) - 2
+            last = len(edges) - 2
             for g in np.flatnonzero(sizes > (1 if running is None else 0)):
                 s, e = edges[g], edges[g + 1]
                 if token[s] == running or e - s > join.rare:
                     running = int(token[s])
-                    give(_BLOCK, token[s:e], cid[s:e], n[s:e], root[s:e])
-                elif g < begin and e - s > 1:
+                    give(False, token[s:e], cid[s:e], n[s:e], root[s:e])
+                elif g < last and e - s > 1:
                     rare(n[s:e], cid[s:e], root[s:e])
-            s = edges[begin]
+            s = edges[last]
             if running is not None and token[s] != running:
                 running = None
             held = [x[s:] if running is None else x[:0] for x in (token, n, cid, root)]
@@ -394,57 +396,65 @@ def _candidates(early: DataFrame, join: Join) -> DataFrame:
             rare(*held[1:])
         yield flush()
 
-    # Rows of a token in different components only.
-    span = early.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    rows = early.join(span.select("token"), "token").sortWithinPartitions("token", "n", "cid")
-    return rows.mapInArrow(stream, "kind int, a long, b long, m long, n long")
+    rows = early.where(_rare()).repartition("token").sortWithinPartitions("token", "n", "cid")
+    return rows.mapInArrow(stream, "pair boolean, a long, b long, m long, n long")
 
 
 def _later_groups(classes: DataFrame, join: Join) -> DataFrame:
     """Groups of classes of different components that later tokens bring together."""
-    found = stored(_candidates(_early_rows(classes), join), "candidates")
+    early = _early_rows(classes)
+    found = stored(_candidates(early, join), "candidates")
     p = join.percent
-    needed = F.ceil(p * (F.col("m") + F.col("n")) / F.lit(100 + p))
+    # Of the early tokens of the class whose last one comes first, linked classes share all but
+    # those that its own size allows to be missing from the overlap.
+    overlap = F.ceil(p * (F.col("m") + F.col("n")) / F.lit(100 + p))
+    beyond = join.shared - F.ceil(p * F.greatest("m", "n") / F.lit(100))
+    needed = overlap + F.least(F.lit(0), beyond)
     pairs = (
-        found.where(F.col("kind") == _PAIR).groupBy("a", "b")
+        found.where("pair").groupBy("a", "b")
         .agg(F.count("*").alias("shared"), F.first("m").alias("m"), F.first("n").alias("n"))
-        .where(F.col("shared") >= F.least(F.lit(join.shared), needed))
+        .where(F.col("shared") >= needed)
     )
     # A pair's group is a star around its smaller class, split where that has many partners.
-    star = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(16)))
-    stars = pairs.select(star.alias("gid"), F.col("a").alias("cid")).unionAll(
-        pairs.select(star.alias("gid"), F.col("b").alias("cid"))
+    partners = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(64)).alias("parts"))
+    star = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("parts")))
+    spokes = stored(pairs.join(partners, "a").select(star.alias("gid"), "a", "b"), "pairs")
+    stars = spokes.select("gid", F.col("a").alias("cid")).unionAll(spokes.select("gid", F.col("b").alias("cid")))
+    many = found.where("not pair").select(
+        F.col("a").alias("token"), F.col("b").alias("cid"), F.col("m").alias("n"), F.col("n").alias("root")
     )
-    members = stars.unionAll(_block_groups(found.where(F.col("kind") == _BLOCK), join)).distinct()
+    frequent = stored(early.where(~_rare()).select("token", "cid", "n", "root").unionAll(many), "frequent")
+    members = stars.unionAll(_block_groups(frequent, join)).distinct()
     return members.join(classes.select("cid", "doc", "set_id", "root"), "cid")
 
 
+_BAND = 4  # a band of sizes spans the threshold's ratio so many times
+
+
 def _block_groups(rows: DataFrame, join: Join) -> DataFrame:
-    """A frequent token's classes in blocks by size; two blocks meet if sizes and components allow a link.
+    """(gid, cid): groups of a frequent token's classes whose sizes and components allow a link.
 
-    Blocks are cut by ranges of sizes, and a range with too many classes is dealt to several.
+    Classes meet by bands of sizes, where those just above a band's upper edge are guests.
+    A band with too many classes is dealt to blocks, and every two blocks are a group. Of
+    groups with the same members, as the tokens of one shared passage have, one is kept.
     """
-    p = join.percent
-    rows = rows.select(F.col("a").alias("token"), F.col("b").alias("cid"), F.col("m").alias("n"), F.col("n").alias("root"))
-    # A band spans sizes within the threshold's ratio, so links reach the next band at most.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(p / 100) * 1.000001)).cast("int")
-    rows = rows.withColumn("band", band)
-    counts = rows.groupBy("token", "band").agg(F.count("*").alias("k"))
-    parts = F.ceil(F.col("k") / join.block).cast("int")
-    blocks = rows.join(counts.select("token", "band", parts.alias("parts")), ["token", "band"])
-    blocks = blocks.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-    block = blocks.groupBy("token", "band", "part").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    left = block.select("token", *[F.col(c).alias(f"{c}_1") for c in ("band", "part", "low", "high")])
-    right = block.select("token", *[F.col(c).alias(f"{c}_2") for c in ("band", "part", "low", "high")])
-    meet = left.join(right, "token").where(
-        "band_2 - band_1 between 0 and 1 and (band_1 < band_2 or part_1 <= part_2)"
-        " and (least(low_1, low_2) < greatest(high_1, high_2))"
-    )
-    gid = F.xxhash64("token", "band_1", "part_1", "band_2", "part_2")
-    places = meet.select(gid.alias("gid"), "token", F.col("band_1").alias("band"), F.col("part_1").alias("part")).unionAll(
-        meet.select(gid.alias("gid"), "token", F.col("band_2").alias("band"), F.col("part_2").alias("part"))
+    step = -np.log(join.percent / 100) * (1 + 1e-9)
+    size = F.log(F.col("n").cast("double"))
+    band = F.floor(size / F.lit(_BAND * step)).cast("int")
+    is_guest = size - band * F.lit(_BAND * step) <= F.lit(step)
+    placed = rows.withColumn("band", F.explode(F.when(is_guest, F.array(band, band - 1)).otherwise(F.array(band))))
+    counts = placed.groupBy("token", "band").agg(F.ceil(F.count("*") / join.block).cast("int").alias("parts"))
+    blocks = placed.join(counts, ["token", "band"])
+    part = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
+    pairs = blocks.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    gid = F.xxhash64("token", "band", F.least("part", "other"), F.greatest("part", "other"))
+    members = stored(pairs.select(gid.alias("gid"), "cid", "root"), "block-members")
+    groups = members.groupBy("gid").agg(
+        F.count("*").alias("k"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.sum(F.shiftright(F.xxhash64("cid"), 20)).alias("s1"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("s2"),
     )
-    return blocks.join(places.distinct(), ["token", "band", "part"]).select("gid", "cid")
+    chosen = groups.where("low < high").groupBy("k", "s1", "s2").agg(F.min("gid").alias("gid"))
+    return members.join(chosen.select("gid"), "gid", "left_semi").select("gid", "cid")
 
 
 # The join.
@@ -456,11 +466,13 @@ def class_components(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame,
     classes = shingle_classes(sets)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE))).alias("doc"), "text")
     first = group_links(_first_token_groups(classes, join), texts, join)
-    roots = connected_components(first)
-    known = classes.join(roots, classes["cid"] == roots["node"], "left").select(
+    roots = stored(connected_components(first), "roots")
+    # A checked size decides whether the roots are broadcast, which spares a shuffle of the tokens.
+    small = roots.count() <= join.broadcast_rows
+    known = classes.join(F.broadcast(roots) if small else roots, classes["cid"] == roots["node"], "left").select(
         "cid", "doc", "set_id", "n", "early", F.coalesce("root", "cid").alias("root")
     )
-    later = group_links(_later_groups(stored(known, "known-classes"), join), texts, join)
+    later = group_links(_later_groups(known, join), texts, join)
     return sets, classes, connected_components(first.unionAll(later))
 
 
