@@ -143,9 +143,9 @@ def shingle_sets(docs: DataFrame, rarity: np.ndarray, join: Join) -> DataFrame:
 
 
 def shingle_classes(sets: DataFrame) -> DataFrame:
-    """One row per distinct set: cid, set_id, n, early and the smallest id as doc."""
+    """One row per distinct set: cid, set_id, n, its first token and the smallest id as doc."""
     one = sets.where("set_id is not null").groupBy("set_id").agg(
-        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("early").alias("early")
+        F.min("doc").alias("doc"), F.min("n").alias("n"), F.min(F.substring("early", 1, 8)).alias("first")
     )
     # Written at once, which fixes the numbers.
     return stored(one.withColumn("cid", F.monotonically_increasing_id()), "shingle-classes")
@@ -305,7 +305,7 @@ def group_links(members: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
 def _first_token_groups(classes: DataFrame, join: Join) -> DataFrame:
     """Classes with the same first token; many are dealt to groups of bounded size."""
     first = classes.select(
-        "cid", "doc", "set_id", F.xxhash64(F.substring("early", 1, 8)).alias("token"), F.col("cid").alias("root")
+        "cid", "doc", "set_id", F.xxhash64("first").alias("token"), F.col("cid").alias("root")
     )
     counts = first.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
     part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("m") / join.first_block))
@@ -314,23 +314,28 @@ def _first_token_groups(classes: DataFrame, join: Join) -> DataFrame:
     )
 
 
-def _early_rows(classes: DataFrame) -> DataFrame:
-    """(token, n, cid, root): one row per early token."""
+def _early_rows(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(token, n, cid, root): one row per early token of a class; root is null where it is cid."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, cid, root = (batch[c].to_numpy() for c in ("n", "cid", "root"))
+            n, cid, root = batch["n"].to_numpy(), batch["cid"].to_numpy(), batch["other_root"]
             tokens = [np.frombuffer(x.as_py(), np.int64) for x in batch["early"]]
             lengths = np.array([len(t) for t in tokens], np.int64)
             at = np.repeat(np.arange(len(tokens)), lengths)
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             for start in range(0, len(flat), 100_000):
                 part = slice(start, start + 100_000)
-                yield pa.RecordBatch.from_pydict(
-                    {"token": flat[part], "n": n[at[part]], "cid": cid[at[part]], "root": root[at[part]]}
-                )
-
-    return classes.select("n", "cid", "root", "early").mapInArrow(explode, "token long, n long, cid long, root long")
+                yield pa.RecordBatch.from_pydict({
+                    "token": flat[part], "n": n[at[part]].astype(np.int32), "cid": cid[at[part]],
+                    "root": root.take(pa.array(at[part])),
+                })
+
+    own = classes.select("set_id", "doc", "n", "cid", F.nullif("root", F.col("cid")).alias("other_root"))
+    rows = sets.select("set_id", "doc", "early").join(own, ["set_id", "doc"])
+    return rows.select("n", "cid", "other_root", "early").mapInArrow(
+        explode, "token long, n int, cid long, root long"
+    )
 
 
 def _rare() -> Column:
@@ -372,7 +377,9 @@ def _candidates(early: DataFrame, join: Join) -> DataFrame:
         held = [np.zeros(0, np.int64)] * 4  # the token that the last batch broke off in, while it is rare
         running: int | None = None  # the token of more rows that goes on
         for batch in batches:
-            columns = [batch[c].to_numpy() for c in ("token", "n", "cid", "root")]
+            columns = [batch[c].to_numpy() for c in ("token", "n", "cid")]
+            columns.append(batch["root"].fill_null(0).to_numpy())
+            columns[3] = np.where(batch["root"].is_null().to_numpy(zero_copy_only=False), columns[2], columns[3])
             token, n, cid, root = (np.concatenate([h, c]) for h, c in zip(held, columns))
             if len(token) == 0:
                 continue
@@ -400,9 +407,9 @@ def _candidates(early: DataFrame, join: Join) -> DataFrame:
     return rows.mapInArrow(stream, "pair boolean, a long, b long, m long, n long")
 
 
-def _later_groups(classes: DataFrame, join: Join) -> DataFrame:
+def _later_groups(sets: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
     """Groups of classes of different components that later tokens bring together."""
-    early = _early_rows(classes)
+    early = _early_rows(sets, classes)
     found = stored(_candidates(early, join), "candidates")
     p = join.percent
     # Of the early tokens of the class whose last one comes first, linked classes share all but
@@ -423,7 +430,10 @@ def _later_groups(classes: DataFrame, join: Join) -> DataFrame:
     many = found.where("not pair").select(
         F.col("a").alias("token"), F.col("b").alias("cid"), F.col("m").alias("n"), F.col("n").alias("root")
     )
-    frequent = stored(early.where(~_rare()).select("token", "cid", "n", "root").unionAll(many), "frequent")
+    known = early.where(~_rare()).select(
+        "token", "cid", F.col("n").cast("long"), F.coalesce("root", "cid").alias("root")
+    )
+    frequent = stored(known.unionAll(many), "frequent")
     members = stars.unionAll(_block_groups(frequent, join)).distinct()
     return members.join(classes.select("cid", "doc", "set_id", "root"), "cid")
 
@@ -467,12 +477,10 @@ def class_components(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame,
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE))).alias("doc"), "text")
     first = group_links(_first_token_groups(classes, join), texts, join)
     roots = stored(connected_components(first), "roots")
-    # A checked size decides whether the roots are broadcast, which spares a shuffle of the tokens.
-    small = roots.count() <= join.broadcast_rows
-    known = classes.join(F.broadcast(roots) if small else roots, classes["cid"] == roots["node"], "left").select(
-        "cid", "doc", "set_id", "n", "early", F.coalesce("root", "cid").alias("root")
+    known = classes.join(roots, classes["cid"] == roots["node"], "left").select(
+        "cid", "doc", "set_id", "n", F.coalesce("root", "cid").alias("root")
     )
-    later = group_links(_later_groups(known, join), texts, join)
+    later = group_links(_later_groups(sets, stored(known, "known-classes"), join), texts, join)
     return sets, classes, connected_components(first.unionAll(later))
 
 
