@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = dt.date(1960, 1, 1)
@@ -43,10 +44,20 @@ def within(col: str, start: dt.date, end: dt.date) -> Column:
     return F.col(col).between(F.lit(start), F.lit(end))
 
 
-def month_partitions(start: dt.date, end: dt.date) -> Column:
-    """Predicate on the fact's partition columns covering every month from start to end."""
-    month_index = F.col("arrival_year") * 12 + F.col("arrival_month")
-    return month_index.between(start.year * 12 + start.month, end.year * 12 + end.month)
+def overlapping_partitions(ranges: DataFrame, start: dt.date, end: dt.date) -> Column:
+    """Predicate on the fact's partition columns: those whose dates overlap start to end.
+
+    ``ranges`` has one row per month folder, with its first and last date, or with
+    ``settled`` false while a load is under way, when the folder is always read.
+    """
+    overlaps = (F.col("first_date") <= F.lit(end)) & (F.col("last_date") >= F.lit(start))
+    months = ranges.where(~F.col("settled") | overlaps).select("arrival_year", "arrival_month").collect()
+    year, month = F.col("arrival_year"), F.col("arrival_month")
+    return reduce(
+        lambda a, b: a | b,
+        [year.eqNullSafe(F.lit(m[0])) & month.eqNullSafe(F.lit(m[1])) for m in months],
+        F.lit(False),
+    )
 
 
 def stay_days(arrival: str = "arrival_date", departure: str = "departure_date") -> Column:

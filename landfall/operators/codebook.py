@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import codes
+from landfall.operators.keys import fixed
 from landfall.operators.lookup import lookup_join
 
 
@@ -63,27 +64,47 @@ def decode_ports(labels: DataFrame, states: DataFrame) -> DataFrame:
     )
 
 
+# Each round doubles the hops that are followed: 2**6 are more than any code book chains.
+_ROUNDS = 6
+
+
 def resolve_port_aliases(labels: DataFrame) -> DataFrame:
-    """code and label of each port, with a collapsed port's target code and label.
+    """code and label of each port; a collapsed port's target, and the port it ends at.
 
-    Measuring the targets would cost as much as joining them, so the join is not
-    offered for broadcast.
+    Targets that are collapsed themselves are followed to a port that is not. A chain that
+    ends at an unlisted code or runs in a circle has no resolved code and label. Of several
+    labels under one code the lowest counts as target.
     """
     ports = labels.select(
         "code", F.trim("label").alias("label"), codes.port_alias_target("label").alias("target_code")
     )
-    wanted = ports.where(F.col("target_code").isNotNull()).select("target_code").distinct()
-    known = labels.groupBy(F.col("code").alias("_target")).agg(
-        F.min(F.trim("label")).alias("_target_label")
+    known = fixed(
+        ports.groupBy("code").agg(F.min(F.struct("label", "target_code")).alias("_port"))
+        .select(F.col("code").alias("_code"), "_port.*")
+    )
+    # Where each collapsed port leads; the few aliases are measured as one small table.
+    hops = fixed(
+        known.where(F.col("target_code").isNotNull())
+        .select(F.col("_code").alias("_from"), F.col("target_code").alias("_to"))
+    )
+    for _ in range(_ROUNDS):
+        onward = hops.select(F.col("_from").alias("_next"), F.col("_to").alias("_after"))
+        moved = fixed(lookup_join(hops, onward, "_to", "_next"))
+        hops = moved.select("_from", F.coalesce("_after", "_to").alias("_to"))
+        if moved.where(F.col("_after").isNotNull()).isEmpty():
+            break
+    ends = known.where(F.col("target_code").isNull()).select(
+        F.col("_code").alias("_end"), F.col("label").alias("_label")
     )
-    targets = known.join(wanted, known["_target"] == wanted["target_code"], "left_semi")
-    return lookup_join(ports, targets, "target_code", "_target", small=False).select(
+    targets = hops.join(ends, hops["_to"] == ends["_end"]).select("_from", "_end", "_label")
+    collapsed = F.col("target_code").isNotNull()
+    through = fixed(targets.unionAll(ends.select(F.col("_end").alias("_from"), "_end", "_label")))
+    return lookup_join(ports, through, "target_code", "_from").select(
         "code",
         "label",
         "target_code",
-        F.when(F.col("target_code").isNull(), F.col("label"))
-        .otherwise(F.col("_target_label"))
-        .alias("resolved_label"),
+        F.when(collapsed, F.col("_end")).otherwise(F.col("code")).alias("resolved_code"),
+        F.when(collapsed, F.col("_label")).otherwise(F.col("label")).alias("resolved_label"),
     )
 
 

@@ -28,10 +28,14 @@ def build_date_dim(fact: DataFrame) -> DataFrame:
 def one_reading_each(
     df: DataFrame, key=("dt", "City", "Country"), tie_break: str | None = None
 ) -> DataFrame:
-    """Non-null readings, one per key: the one lowest in ``tie_break``, else the lowest."""
-    reading = (
-        F.min_by("AverageTemperature", tie_break) if tie_break else F.min("AverageTemperature")
-    )
+    """Non-null readings, one per key: the one lowest in ``tie_break``, else the lowest.
+
+    A missing ``tie_break`` comes after all others, and of equal ones the lowest reading counts.
+    """
+    reading = F.min("AverageTemperature")
+    if tie_break:
+        first = F.struct(F.col(tie_break).isNull(), F.col(tie_break), F.col("AverageTemperature").alias("reading"))
+        reading = F.min(first)["reading"]
     return (
         df.dropna(subset=["AverageTemperature"])
         .groupBy(*key)
@@ -56,6 +60,7 @@ def build_temperature_dim(
     return dense_id(country_temperatures(df, key, tie_break), "country")
 
 
+# The source's columns and the stored names of their sums.
 _MEASURES = {
     "Total Population": "total_population",
     "Male Population": "male_population",
@@ -72,10 +77,12 @@ def state_populations(
 
     States without veterans or foreign-born figures get 0; the population sums
     stay null. Pass ``dedupe_on=["City", "State Code"]`` for input that repeats
-    a city's totals on several rows.
+    a city's totals on several rows. Of rows that differ, one whole row counts: the
+    largest by total population, then by the other measures in turn.
     """
     if dedupe_on:
-        df = df.groupBy(*dedupe_on).agg(*[F.max(c).alias(c) for c in _MEASURES])
+        largest = F.max(F.struct(*[F.col(f"`{c}`") for c in _MEASURES])).alias("_row")
+        df = df.groupBy(*dedupe_on).agg(largest).select(*dedupe_on, "_row.*")
     sums = df.groupBy(F.col("State Code").alias("state_code")).agg(
         *[F.sum(c).alias(name) for c, name in _MEASURES.items()]
     )

@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import codes, dates
+from landfall.operators.keys import fixed
 from landfall.operators.lookup import country_names, decode_country, is_small
 
 
 def add_countries(df: DataFrame, codebook: DataFrame) -> DataFrame:
-    """Add country and country_of_residence from the two country codes."""
-    names, small = country_names(codebook), is_small(codebook)
+    """Add country and country_of_residence from the two country codes.
+
+    The names are written once, measured, and joined in both roles.
+    """
+    names = fixed(country_names(codebook))
+    small = is_small(names)
     coded = df.withColumns(
         {"_cit": codes.whole_code("i94cit"), "_res": codes.whole_code("i94res")}
     )
@@ -22,12 +27,15 @@ def add_countries(df: DataFrame, codebook: DataFrame) -> DataFrame:
     )
 
 
-def build_fact(clean: DataFrame, codebook: DataFrame) -> DataFrame:
+def build_fact(clean: DataFrame, codebook: DataFrame | None) -> DataFrame:
     """Fact rows from cleaned arrivals. Row-local apart from two broadcast lookups.
 
-    Works on a streaming DataFrame too.
+    Works on a streaming DataFrame too. Without a code book the two country names
+    are left out, for reports that do not use them.
     """
-    return add_countries(clean, codebook).select(
+    named = ("country", "country_of_residence") if codebook is not None else ()
+    rows = add_countries(clean, codebook) if named else clean
+    return rows.select(
         F.col("cicid").try_cast("long").alias("immigration_id"),
         F.col("i94yr").try_cast("int").alias("arrival_year"),
         F.col("i94mon").try_cast("int").alias("arrival_month"),
@@ -36,8 +44,7 @@ def build_fact(clean: DataFrame, codebook: DataFrame) -> DataFrame:
         F.col("i94addr").alias("destination_state"),
         dates.day_number_to_date("arrdate").alias("arrival_date"),
         dates.day_number_to_date("depdate").alias("departure_date"),
-        "country",
-        "country_of_residence",
+        *named,
         "visatype",
         codes.visa_category("i94visa").alias("visa_category"),
         F.col("biryear").try_cast("int").alias("birth_year"),

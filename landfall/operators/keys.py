@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,19 +33,62 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below the scratch root."""
+    path = f"{scratch_root(spark).rstrip('/')}/landfall-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was written to scratch folders inside.
+
+    Whatever is read later must have been written elsewhere by then.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            remove_folder(spark, path)
+
+
+def fixed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a scratch folder and read it back.
+
+    Like a checkpoint it is computed once and survives lost executors, and
+    unlike one it can be removed when it has served.
+    """
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dense_id(df: DataFrame, *keys: str, unique: bool = True, name: str = "id") -> DataFrame:
     """Add ids 0..n-1 in key order, nulls first: the same ids on every run.
 
-    Rows are range-partitioned and sorted by the keys and checkpointed, which
-    fixes each row's partition and place even when executors are lost. An id is
+    Rows are range-partitioned and sorted by the keys and written to a scratch folder,
+    which fixes each row's partition and place even when executors are lost. An id is
     then the row's place plus the number of rows in earlier partitions, so no
     task ever holds more than one range. Pass ``unique=False`` when rows may be
     exact copies of each other: their scan position then splits a large group
     of copies over several ranges. Copies are interchangeable, so the numbered
     rows stay the same. Scan positions repeat on a retry only if ``df`` is a file
-    scan with row-local steps, so checkpoint anything else first.
+    scan with row-local steps, so write anything else first.
     """
-    scratch_root(df.sparkSession)
     columns = df.columns
     if unique:
         ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -53,8 +100,7 @@ def dense_id(df: DataFrame, *keys: str, unique: bool = True, name: str = "id") -
             .sortWithinPartitions(*keys)
             .drop("_scan")
         )
-    placed = ordered.checkpoint().withColumn("_place", F.monotonically_increasing_id())
-    placed = placed.withColumns({
+    placed = fixed(ordered.withColumn("_place", F.monotonically_increasing_id())).withColumns({
         "_range": F.shiftright("_place", _PLACE_BITS),
         "_place": F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)),
     })

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import text
-from landfall.operators.keys import scratch_root
+from landfall.operators.keys import fixed
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -38,18 +38,17 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``df`` to a lookup that has one row per key, and drop the lookup's key.
 
-    A lookup measured as small is broadcast. A larger one is checkpointed and
-    joined by a shuffle of both sides. With the lookup's own aggregation cut off
-    before that shuffle, adaptive execution can split a hot key, or the missing
-    keys, over several tasks.
+    Unless ``small`` says what is known of its size, the lookup is written once
+    and that copy is measured and joined. A small one is broadcast. With a larger
+    one both sides are shuffled; as the lookup's own aggregation is cut off before
+    that shuffle, adaptive execution can split a hot key, or the missing keys, over
+    several tasks.
     """
     if small is None:
+        lookup = fixed(lookup)
         small = is_small(lookup)
     if small:
         lookup = F.broadcast(lookup)
-    else:
-        scratch_root(df.sparkSession)
-        lookup = lookup.checkpoint()
     return df.join(lookup, df[key] == lookup[lookup_key], how).drop(lookup[lookup_key])
 
 
@@ -73,10 +72,17 @@ def decode_country(
 def state_coordinates(states: DataFrame, coordinates: DataFrame) -> DataFrame:
     """Add latitude and longitude to rows by state; null for a state without them.
 
+    Of several places the lowest counts, and one with a missing number only if there is no
+    other.
+
     Both sides have one row per state by then, so the join needs no hint.
     """
     places = coordinates.groupBy(F.col("State").alias("_state")).agg(
-        F.min(F.struct("Latitude", "Longitude")).alias("_place")
+        F.min(
+            F.struct(
+                F.col("Latitude").isNull() | F.col("Longitude").isNull(), "Latitude", "Longitude"
+            )
+        ).alias("_place")
     )
     return states.join(places, states["state_code"] == places["_state"], "left").select(
         *states.columns,

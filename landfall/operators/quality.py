@@ -8,6 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from landfall.operators.clean import null_audit
 
 
 class DataQualityError(RuntimeError):
@@ -170,15 +173,75 @@ def orphan_report(child: DataFrame, references: dict[str, Reference]) -> DataFra
 
 
 def partition_report(fact: DataFrame) -> DataFrame:
-    """Dated fact rows, and those whose date lies outside their year and month partition."""
-    misplaced = (F.year("arrival_date") != F.col("arrival_year")) | (
-        F.month("arrival_date") != F.col("arrival_month")
-    )
+    """Dated fact rows, and those whose date lies outside their year and month partition.
+
+    A row without year or month is filed outside its month too.
+    """
+    placed = F.year("arrival_date").eqNullSafe(F.col("arrival_year")) & F.month(
+        "arrival_date"
+    ).eqNullSafe(F.col("arrival_month"))
+    misplaced = F.col("arrival_date").isNotNull() & ~placed
     return fact.agg(
         F.count("arrival_date").alias("dated_rows"), F.count_if(misplaced).alias("misplaced_rows")
     ).withColumn("passed", F.col("misplaced_rows") == 0)
 
 
+def unreadable_report(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """column_name, filled and unreadable values, and passed, for each declared column of a text source."""
+    present = [f for f in schema if f.name.lower() in {c.lower() for c in text.columns}]
+    counts = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.count(f"`{f.name}`").alias("filled"),
+            F.count_if(
+                F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()
+            ).alias("unreadable"),
+        )
+        for f in present
+    ]
+    rows = text.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))
+    return rows.withColumn("passed", F.col("unreadable") == 0)
+
+
+def conflict_report(lookups: dict[str, tuple[DataFrame, str, list[str]]]) -> DataFrame:
+    """lookup, keys listed with several different values, and passed.
+
+    Lookups count once per key. This tells where that choice was between different rows.
+    """
+    return _union([
+        df.groupBy(key).agg(F.countDistinct(F.struct(*[F.col(f"`{v}`") for v in values])).alias("n"))
+        .agg(F.count_if(F.col("n") > 1).alias("conflicting_keys"))
+        .select(F.lit(name).alias("lookup"), "conflicting_keys", (F.col("conflicting_keys") == 0).alias("passed"))
+        for name, (df, key, values) in lookups.items()
+    ])
+
+
+def load_report(raw: DataFrame, fact: DataFrame) -> DataFrame:
+    """check, failures and passed of one load, before it is stored.
+
+    ``raw`` are the arrival records, ``fact`` the fact rows made of them. The checks are: rows
+    read are kept or charged to a column, some row is kept, ids are unique, and no dated
+    row is filed under another month.
+    """
+    def failed_unless(check: str, holds: Column) -> Column:
+        failures = F.when(holds, 0).otherwise(1).cast("long")
+        return F.struct(F.lit(check).alias("check"), failures.alias("failures"))
+
+    audit = null_audit(raw).select(
+        F.inline(F.array(
+            failed_unless("audit balanced", F.col("balanced")),
+            failed_unless("rows kept", F.col("kept_rows") > 0),
+        ))
+    )
+    ids = key_report({"ids unique": (fact, ["immigration_id"])}).select(
+        F.col("table_name").alias("check"), F.col("surplus_rows").alias("failures")
+    )
+    filed = partition_report(fact).select(
+        F.lit("filed under own month").alias("check"), F.col("misplaced_rows").alias("failures")
+    )
+    return _union([audit, ids, filed]).withColumn("passed", F.col("failures") == 0)
+
+
 def shared_coordinates(demographics: DataFrame, places: int = 4) -> DataFrame:
     """Coordinates that several states share, an input defect, with those states."""
     return (

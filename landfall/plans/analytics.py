@@ -15,21 +15,22 @@ from pyspark.sql import functions as F
 from landfall.functions import dates, text
 from landfall.operators import star
 from landfall.operators.codebook import decode_states
+from landfall.operators.lookup import MAX_BROADCAST_ROWS
 from landfall.operators.ranking import counts_by, top_k
 
 
 def arrivals_in_timeframe(
-    fact: DataFrame, start: dt.date, end: dt.date, trust_partitions: bool = False
+    fact: DataFrame, start: dt.date, end: dt.date, ranges: DataFrame | None = None
 ) -> DataFrame:
     """Arrivals per month between two dates, both included.
 
-    Dates are pushed to the parquet scan. With ``trust_partitions`` only the
-    month folders of the timeframe are read; use it when ``partition_report``
-    finds no row filed under another month.
+    Dates are pushed to the parquet scan. With the stored ``ranges`` of dates of
+    each month folder, only folders that hold a date of the timeframe are read,
+    whatever month their rows are filed under.
     """
     rows = fact.where(dates.within("arrival_date", start, end))
-    if trust_partitions:
-        rows = rows.where(dates.month_partitions(start, end))
+    if ranges is not None:
+        rows = rows.where(dates.overlapping_partitions(ranges, start, end))
     return counts_by(
         rows,
         F.year("arrival_date").alias("year"),
@@ -111,12 +112,15 @@ def state_hotspots(fact: DataFrame, demographics: DataFrame, airports: DataFrame
 def business_ports(fact: DataFrame, airports: DataFrame, k: int = 10) -> DataFrame:
     """Ports of entry most used on business, with their airport where one has the code.
 
-    The k port codes filter the airports before those are grouped by code.
+    The k port codes filter the airports before those are grouped by code. They are
+    broadcast unless k is beyond what may be.
     """
     ports = top_k(
         counts_by(fact.where("visa_category = 'Business'"), "port_of_entry"), k, "port_of_entry"
     )
-    named = F.broadcast(ports.select(F.col("port_of_entry").alias("iata_code")))
+    named = ports.select(F.col("port_of_entry").alias("iata_code"))
+    if k <= MAX_BROADCAST_ROWS:
+        named = F.broadcast(named)
     codes = star.airports_by_code(airports.join(named, "iata_code", "left_semi"))
     return (
         ports.join(codes, ports["port_of_entry"] == codes["iata_code"], "left")

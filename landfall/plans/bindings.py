@@ -49,21 +49,20 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Code book of the nations below 23; the descriptions end in a space."""
+    """Code book of all nations under shifted codes; the descriptions end in a space."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
-        nation.where("n_nationkey < 23")
-        .join(region, nation.n_regionkey == region.r_regionkey)
+        nation.join(region, nation.n_regionkey == region.r_regionkey)
         .selectExpr(
-            "n_nationkey as code", "concat(r_name, ' ', n_name, ' ') as description"
+            "n_nationkey + 4 as code", "concat(r_name, ' ', n_name, ' ') as description"
         )
     )
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State list (code, label)."""
-    return table(spark, sf_dir, "nation").where("n_nationkey < 15").selectExpr(
-        "concat('S', cast(n_nationkey as string)) as code",
+    """State list (code, label), which does not hold the first five codes in use."""
+    return table(spark, sf_dir, "nation").selectExpr(
+        "concat('S', cast(n_nationkey + 5 as string)) as code",
         "concat(n_name, ' STATE') as label",
     )
 
@@ -80,7 +79,8 @@ def temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
             "case when event_id % 13 = 0 then null else value end as AverageTemperature",
             "event_type as City",
             "concat(initcap(r_name), '-', lower(n_name)) as Country",
-            "event_id",
+            # Repeated and missing, so ties and nulls must be settled too.
+            "case when event_id % 5 = 0 then null else event_id div 3 end as reading_no",
         )
     )
 
@@ -100,11 +100,14 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coordinates of the states below 18; S7 and S8 share theirs."""
-    return table(spark, sf_dir, "nation").where("n_nationkey < 18").selectExpr(
-        "concat('S', cast(n_nationkey as string)) as State",
-        "case when n_nationkey = 8 then 7 else n_nationkey end * 1.5D as Latitude",
-        "case when n_nationkey = 8 then 7 else n_nationkey end * -2.25D as Longitude",
+    """Coordinates by state, none for S0 and S1; two states share theirs, and some are
+    listed a second time without a place."""
+    place = "case when n_nationkey = 8 then 7 else n_nationkey end"
+    listed = table(spark, sf_dir, "nation").select("n_nationkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    return listed.selectExpr(
+        "concat('S', cast(n_nationkey + 2 as string)) as State",
+        f"if(copy = 1 and n_nationkey % 3 = 0, null, {place} * 1.5D) as Latitude",
+        f"if(copy = 1 and n_nationkey % 3 = 0, null, {place} * -2.25D) as Longitude",
     )
 
 
@@ -112,7 +115,8 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One airport per part; a code may belong to several."""
     return table(spark, sf_dir, "part").selectExpr(
         "concat('A', cast(p_partkey as string)) as ident",
-        "p_name as name",
+        """concat(p_name, case p_partkey % 4 when 0 then ', "Ace" Field' when 1 then '  '
+                         else '' end) as name""",
         "case when p_size % 2 = 1 then 'US' else 'CA' end as iso_country",
         """case when p_partkey % 101 = 0 then null
                 else concat('US-S', cast(p_partkey % 20 as string)) end as iso_region""",
@@ -165,9 +169,18 @@ def port_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def state_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One state label line per nation; some hold a semicolon."""
+    return _lines(
+        table(spark, sf_dir, "nation"),
+        "concat('\\t\\'S', cast(n_nationkey as string), '\\'=\\'', n_name, "
+        "if(n_nationkey % 3 = 0, '; STATE', ' STATE '), '\\'')",
+    )
+
+
 def port_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listed port states: the first letters of the nations 0 to 2, doubled."""
-    return table(spark, sf_dir, "nation").where("n_nationkey < 3").selectExpr(
+    """Listed port states: a doubled letter per nation, so MX is not among them."""
+    return table(spark, sf_dir, "nation").selectExpr(
         "repeat(char(65 + n_nationkey), 2) as code", "n_name as label"
     )
 

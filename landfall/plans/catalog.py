@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.functions import codes, dates
 from landfall.operators import codebook, dims, fact as facts, quality, star
 from landfall.operators.clean import clean_arrivals, null_audit
-from landfall.operators.keys import scratch_root
+from landfall.operators.keys import fixed, scratch_folder
 from landfall.operators.ranking import counts_by, top_k
 from landfall.plans import analytics, bindings, pipeline
 from landfall.sources import readers, sinks
+from landfall.sources.labels import read_labels
 from landfall.sources.paths import Inputs, Warehouse, join_path
 from landfall.streaming.arrivals import load_new_files
 
@@ -24,11 +26,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 TIMEFRAME = (dt.date(1997, 2, 10), dt.date(1998, 11, 20))
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder for tables that a query writes and reads back."""
-    return join_path(scratch_root(spark), f"landfall-{uuid.uuid4().hex}")
-
-
 # Tables of the star schema over the given tables.
 
 
@@ -40,8 +37,13 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.build_fact(clean(spark, sf_dir), bindings.country_codes(spark, sf_dir))
 
 
+def unnamed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact without country names, for queries that ask for none."""
+    return facts.build_fact(clean(spark, sf_dir), None)
+
+
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.country_temperatures(bindings.temperature(spark, sf_dir), tie_break="event_id")
+    return dims.country_temperatures(bindings.temperature(spark, sf_dir), tie_break="reading_no")
 
 
 def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    rows = fact(spark, sf_dir)
+    rows = fixed(fact(spark, sf_dir))
     return {
         "immigration_fact": rows,
         "arrival_time": dims.arrival_dates(rows),
@@ -134,11 +136,11 @@ def state_other_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.build_date_dim(fact(spark, sf_dir))
+    return dims.build_date_dim(unnamed_fact(spark, sf_dir))
 
 
 def temperature_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = dims.build_temperature_dim(bindings.temperature(spark, sf_dir), tie_break="event_id")
+    stored = dims.build_temperature_dim(bindings.temperature(spark, sf_dir), tie_break="reading_no")
     return _rounded(stored, "average_temperature")
 
 
@@ -174,19 +176,19 @@ def star_join_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_join_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = star.join_demographics(fact(spark, sf_dir), state_rows(spark, sf_dir))
+    joined = star.join_demographics(unnamed_fact(spark, sf_dir), state_rows(spark, sf_dir))
     return joined.select("immigration_id", "destination_state", "total_population", "foreign_born")
 
 
 def star_join_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = star.join_airports(fact(spark, sf_dir), airports(spark, sf_dir))
+    joined = star.join_airports(unnamed_fact(spark, sf_dir), airports(spark, sf_dir))
     return joined.select(
         "immigration_id", "port_of_entry", "airport_name", "airport_state", "airports_with_code"
     )
 
 
 def star_join_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fact(spark, sf_dir)
+    rows = unnamed_fact(spark, sf_dir)
     joined = star.join_dates(rows, dims.build_date_dim(rows))
     return joined.select("immigration_id", "arrival_date", "date_id", "week", "weekday")
 
@@ -202,11 +204,11 @@ def star_join_state_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q1_arrivals_in_timeframe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.arrivals_in_timeframe(fact(spark, sf_dir), *TIMEFRAME)
+    return analytics.arrivals_in_timeframe(unnamed_fact(spark, sf_dir), *TIMEFRAME)
 
 
 def q2_top_visa_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.top_visa_category(fact(spark, sf_dir))
+    return analytics.top_visa_category(unnamed_fact(spark, sf_dir))
 
 
 def q3_weather_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,45 +223,45 @@ def q3_arrivals_and_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q4_top_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.top_destination_state(
-        fact(spark, sf_dir), bindings.states(spark, sf_dir), k=5
+        unnamed_fact(spark, sf_dir), bindings.states(spark, sf_dir), k=5
     )
 
 
 def q5_top_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.top_travel_mode(fact(spark, sf_dir))
+    return analytics.top_travel_mode(unnamed_fact(spark, sf_dir))
 
 
 def q6_air_business_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.air_business_by_state(fact(spark, sf_dir))
+    return analytics.air_business_by_state(unnamed_fact(spark, sf_dir))
 
 
 def q6_air_business_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrival days most used by air travellers on business, all tied days kept."""
-    rows = fact(spark, sf_dir).where("travel_mode = 'Air' and visa_category = 'Business'")
+    rows = unnamed_fact(spark, sf_dir).where("travel_mode = 'Air' and visa_category = 'Business'")
     return top_k(counts_by(rows, "arrival_date"), 10, "arrival_date", keep_ties=True)
 
 
 def q7_state_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = analytics.state_hotspots(
-        fact(spark, sf_dir), state_rows(spark, sf_dir), airports(spark, sf_dir)
+        unnamed_fact(spark, sf_dir), state_rows(spark, sf_dir), airports(spark, sf_dir)
     )
     return _rounded(report, "arrivals_per_100k", "foreign_born_share")
 
 
 def q8_business_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.business_ports(fact(spark, sf_dir), airports(spark, sf_dir))
+    return analytics.business_ports(unnamed_fact(spark, sf_dir), airports(spark, sf_dir))
 
 
 def q9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.arrivals_cube(fact(spark, sf_dir))
+    return analytics.arrivals_cube(unnamed_fact(spark, sf_dir))
 
 
 def q9_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.arrivals_rollup(fact(spark, sf_dir))
+    return analytics.arrivals_rollup(unnamed_fact(spark, sf_dir))
 
 
 def q9_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.arrivals_grouping_sets(fact(spark, sf_dir))
+    return analytics.arrivals_grouping_sets(unnamed_fact(spark, sf_dir))
 
 
 def weighted_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,7 +269,7 @@ def weighted_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stay_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.stay_lengths(fact(spark, sf_dir))
+    return analytics.stay_lengths(unnamed_fact(spark, sf_dir))
 
 
 def age_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,17 +296,32 @@ def quality_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.reference_checks(star_tables(spark, sf_dir))
+    """Orphans against dimensions of which the dates lack every seventh day of a month."""
+    tables = star_tables(spark, sf_dir)
+    dates = tables["arrival_time"].where("day % 7 <> 0")
+    return pipeline.reference_checks({**tables, "arrival_time": dates})
+
+
+def quality_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.load_report(bindings.arrivals(spark, sf_dir), unnamed_fact(spark, sf_dir))
+
+
+def quality_lookup_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.lookup_checks(
+        bindings.country_codes(spark, sf_dir),
+        bindings.state_coordinates(spark, sf_dir),
+        bindings.states(spark, sf_dir),
+    )
 
 
 def quality_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.orphans(
-        fact(spark, sf_dir), "port_of_entry", airports(spark, sf_dir), "iata_code"
+        unnamed_fact(spark, sf_dir), "port_of_entry", airports(spark, sf_dir), "iata_code"
     )
 
 
 def quality_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.partition_report(fact(spark, sf_dir))
+    return quality.partition_report(unnamed_fact(spark, sf_dir))
 
 
 def quality_shared_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,49 +332,87 @@ def quality_shared_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timeframe's arrivals from a stored fact some of whose rows are filed under another
+    month or under none."""
     path = scratch_folder(spark)
-    sinks.write_fact(fact(spark, sf_dir), path, rebalance=True)
+    filed = """case when immigration_id % 97 = 0 then null
+                    when immigration_id % 89 = 0 then arrival_month % 12 + 1
+                    else arrival_month end"""
+    rows = unnamed_fact(spark, sf_dir).withColumn("arrival_month", F.expr(filed))
+    sinks.write_fact(rows, path)
     return analytics.arrivals_in_timeframe(
-        readers.read_fact(spark, path), *TIMEFRAME, trust_partitions=True
+        readers.read_fact(spark, path), *TIMEFRAME, readers.read_fact_ranges(spark, path)
     )
 
 
 def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load all months, then odd months once more without their sea arrivals."""
+    """Load all months, then odd months once more without their sea arrivals, then every
+    December with records of which none can be used."""
     path = scratch_folder(spark)
-    rows = fact(spark, sf_dir)
-    sinks.write_fact(rows, path, rebalance=True)
+    rows = unnamed_fact(spark, sf_dir)
+    sinks.write_fact(rows, path)
     later = rows.where("arrival_month % 2 = 1 and travel_mode <> 'Sea'")
-    sinks.write_fact(later, path, rebalance=True)
+    sinks.write_fact(later, path)
+    unusable = bindings.arrivals(spark, sf_dir).where("i94mon = 12").withColumn(
+        "gender", F.lit(None).cast("string")
+    )
+    withdrawn = facts.build_fact(clean_arrivals(unusable), None)
+    sinks.write_fact(withdrawn, path, months=pipeline.months_of(unusable))
     return counts_by(readers.read_fact(spark, path), "arrival_year", "arrival_month")
 
 
+def _as_text(field: T.StructField) -> Column:
+    """A value as text that other engines spell alike; doubles to three places."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DoubleType):
+        column = F.round(column * 1000).cast("long")
+    return column.cast("string")
+
+
+def _checksum(text: Column) -> Column:
+    """Sum over all rows of the first 32 bits of a text's MD5."""
+    return F.coalesce(F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")), F.lit(0))
+
+
 def csv_source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and a checksum of each CSV source after writing and reading it."""
+    """Filled rows and a checksum of every column of each CSV source after writing and reading it."""
     inputs = write_inputs(spark, sf_dir)
-    checks = {
-        "airports": (readers.read_airports(spark, inputs.airports), "iata_code"),
-        "country_codes": (readers.read_country_codes(spark, inputs.country_codes), "code"),
-        "demographics": (
-            readers.read_demographics(spark, inputs.demographics), "`Total Population`",
-        ),
-        "state_coordinates": (
-            readers.read_state_coordinates(spark, inputs.state_coordinates), "Longitude",
-        ),
-        "temperature": (readers.read_temperature(spark, inputs.temperature), "AverageTemperature"),
+    sources = {
+        "airports": readers.read_airports(spark, inputs.airports),
+        "country_codes": readers.read_country_codes(spark, inputs.country_codes),
+        "demographics": readers.read_demographics(spark, inputs.demographics),
+        "state_coordinates": readers.read_state_coordinates(spark, inputs.state_coordinates),
+        "temperature": readers.read_temperature(spark, inputs.temperature),
     }
     frames = [
-        df.agg(
-            F.count("*").alias("rows"),
-            F.count(column).alias("filled"),
-            F.round(F.sum(F.col(column).try_cast("double")), 3).alias("checksum"),
-        ).select(F.lit(name).alias("source"), "rows", "filled", "checksum")
-        for name, (df, column) in checks.items()
+        df.agg(F.array(*[
+            F.struct(
+                F.lit(f.name).alias("column_name"), F.count(f"`{f.name}`").alias("filled"),
+                _checksum(_as_text(f)).alias("checksum"),
+            )
+            for f in df.schema
+        ]).alias("columns")).select(F.lit(name).alias("source"), F.inline("columns"))
+        for name, df in sources.items()
     ]
-    report = frames[0]
-    for frame in frames[1:]:
-        report = report.unionAll(frame)
-    return report
+    return reduce(DataFrame.unionAll, frames)
+
+
+def label_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """format, code and label of every row of label files with country, port and state blocks."""
+    root = scratch_folder(spark)
+    blocks = {
+        "countryl": (bindings.country_label_lines(spark, sf_dir), " ;"),
+        "$portl": (bindings.port_label_lines(spark, sf_dir), "\n;"),
+        "$statel": (bindings.state_label_lines(spark, sf_dir), "\n ;"),
+    }
+    for format, (lines, close) in blocks.items():
+        opening = f"/* {format}, a value\n 1 = 'no label' */\n  value {format}\n"
+        entry = F.regexp_replace("line", " ;$", "")
+        # Code books are small: one block is one text, with its entries in order.
+        body = F.array_join(F.sort_array(F.collect_list(entry)), "\n")
+        text = F.concat(F.lit(opening), body, F.lit(f"{close}\n 99 = 'after the end'"))
+        lines.agg(text.alias("value")).write.mode("append").text(root)
+    return read_labels(spark, root)
 
 
 def write_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -376,21 +431,29 @@ def write_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         (bindings.state_coordinates(spark, sf_dir), inputs.state_coordinates, ","),
         (bindings.airports(spark, sf_dir), inputs.airports, ","),
     ):
-        # A padded description must keep its padding.
-        df.write.option("ignoreTrailingWhiteSpace", False).csv(path, sep=sep, header=True)
+        # Padding must stay, and quotes inside a text are doubled.
+        df.write.csv(
+            path, sep=sep, header=True, escape='"',
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
     return inputs
 
 
 def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole run from files to the stored star schema: rows per stored table."""
+    """The whole run from files to the stored star schema: rows and checksum of each stored table."""
     run = pipeline.run_pipeline(
-        spark,
-        write_inputs(spark, sf_dir),
-        Warehouse(scratch_folder(spark)),
-        rebalance=True,
-        strict=True,
+        spark, write_inputs(spark, sf_dir), Warehouse(scratch_folder(spark)), strict=True
     )
-    return run.nonempty
+    frames = [
+        df.agg(
+            F.count("*").alias("row_count"),
+            _checksum(
+                F.concat_ws("|", *[F.coalesce(_as_text(f), F.lit("-")) for f in df.schema])
+            ).alias("checksum"),
+        ).select(F.lit(name).alias("table_name"), "row_count", "checksum")
+        for name, df in run.tables.items()
+    ]
+    return reduce(DataFrame.unionAll, frames)
 
 
 def stream_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -450,9 +513,12 @@ QUERIES: dict[str, Query] = {
     "quality_orphan_keys": quality_orphan_keys,
     "quality_partitions": quality_partitions,
     "quality_shared_coordinates": quality_shared_coordinates,
+    "quality_load": quality_load,
+    "quality_lookup_conflicts": quality_lookup_conflicts,
     "fact_partitioned_roundtrip": fact_partitioned_roundtrip,
     "monthly_load": monthly_load,
     "csv_source_roundtrip": csv_source_roundtrip,
+    "label_file_roundtrip": label_file_roundtrip,
     "full_pipeline": full_pipeline,
     "stream_new_files": stream_new_files,
 }

@@ -40,10 +40,10 @@ arrivals AS (
 
 _CODEBOOK = """
 codebook AS (
-  SELECT n_nationkey AS code,
+  SELECT n_nationkey + 4 AS code,
          array_to_string(list_transform(string_split(lower(trim(r_name || ' ' || n_name || ' ')), ' '),
                                         lambda w: upper(w[1]) || w[2:]), ' ') AS name
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 23
+  FROM nation JOIN region ON n_regionkey = r_regionkey
 )"""
 
 _CLEAN = """
@@ -106,13 +106,14 @@ temperature AS (
          event_type AS City,
          CASE WHEN r_name = 'MIDDLE EAST' THEN 'Middle East'
               ELSE upper(r_name[1]) || lower(r_name[2:]) END || '-' || lower(n_name) AS Country,
-         event_id
+         CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id // 3 END AS reading_no
   FROM events JOIN nation ON user_id % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ),
 country AS (
   SELECT Country AS country, avg(AverageTemperature) AS average_temperature,
          row_number() OVER (ORDER BY Country) - 1 AS id
-  FROM (SELECT *, row_number() OVER (PARTITION BY dt, City, Country ORDER BY event_id) AS rn
+  FROM (SELECT *, row_number() OVER (PARTITION BY dt, City, Country
+          ORDER BY reading_no NULLS LAST, AverageTemperature) AS rn
         FROM temperature WHERE AverageTemperature IS NOT NULL)
   WHERE rn = 1 GROUP BY Country
 )"""
@@ -131,10 +132,10 @@ cities AS (
 
 _COORDINATES = """
 coordinates AS (
-  SELECT 'S' || cast(n_nationkey AS varchar) AS State,
+  SELECT 'S' || cast(n_nationkey + 2 AS varchar) AS State,
          CASE WHEN n_nationkey = 8 THEN 7 ELSE n_nationkey END * cast(1.5 AS double) AS latitude,
          CASE WHEN n_nationkey = 8 THEN 7 ELSE n_nationkey END * cast(-2.25 AS double) AS longitude
-  FROM nation WHERE n_nationkey < 18
+  FROM nation
 )"""
 
 _DEMOGRAPHICS = f"""{_CITIES},{_COORDINATES},
@@ -154,7 +155,8 @@ demographics AS (
 
 _AIRPORTS = """
 listed AS (
-  SELECT 'A' || cast(p_partkey AS varchar) AS ident, p_name AS name,
+  SELECT 'A' || cast(p_partkey AS varchar) AS ident,
+         p_name || CASE p_partkey % 4 WHEN 0 THEN ', "Ace" Field' WHEN 1 THEN '  ' ELSE '' END AS name,
          CASE WHEN p_size % 2 = 1 THEN 'US' ELSE 'CA' END AS iso_country,
          CASE WHEN p_partkey % 101 = 0 THEN NULL
               ELSE 'US-S' || cast(p_partkey % 20 AS varchar) END AS iso_region,
@@ -290,13 +292,69 @@ _NONEMPTY = " UNION ALL ".join(
 )
 
 
-def _checksum(name: str, cte: str, column: str) -> str:
+def _thousandths(column: str) -> str:
+    return f"cast(cast(round({column} * 1000) AS bigint) AS varchar)"
+
+
+def _text(column: str) -> str:
+    return f"cast({column} AS varchar)"
+
+
+def _dashed(text: str) -> str:
+    return f"coalesce({text}, '-')"
+
+
+def _sum_of_hashes(text: str) -> str:
+    return f"cast(coalesce(sum(cast('0x' || substr(md5({text}), 1, 8) AS bigint)), 0) AS bigint)"
+
+
+def _column(source: str, cte: str, name: str, text: str) -> str:
     return (
-        f"SELECT '{name}' AS source, count(*) AS rows, count({column}) AS filled, "
-        f"round(sum(try_cast({column} AS double)), 3) AS checksum FROM {cte}"
+        f"SELECT '{source}' AS source, '{name}' AS column_name, count({text}) AS filled, "
+        f"{_sum_of_hashes(text)} AS checksum FROM {cte}"
     )
 
 
+_LISTED_PLACES = f"""(SELECT State, latitude, longitude FROM coordinates UNION ALL
+ SELECT State, CASE WHEN n % 3 <> 0 THEN latitude END, CASE WHEN n % 3 <> 0 THEN longitude END
+ FROM (SELECT *, cast(substr(State, 2) AS integer) - 2 AS n FROM coordinates))"""
+
+_CSV_COLUMNS = [
+    *[("airports", "listed", c, c) for c in ("ident", "name", "iso_country", "iso_region", "iata_code", "coordinates")],
+    ("country_codes", "codebook", "code", _text("code")),
+    ("country_codes", "(SELECT r_name || ' ' || n_name || ' ' AS d FROM nation JOIN region ON n_regionkey = r_regionkey)", "description", "d"),
+    ("demographics", "cities", "City", "City"),
+    ("demographics", "cities", "State Code", "state_code"),
+    ("demographics", "cities", "Total Population", _text("total")),
+    ("demographics", "cities", "Male Population", _text("male")),
+    ("demographics", "cities", "Female Population", _text("female")),
+    ("demographics", "cities", "Number of Veterans", _text("veterans")),
+    ("demographics", "cities", "Foreign-born", _text("foreign_born")),
+    ("state_coordinates", _LISTED_PLACES, "State", "State"),
+    ("state_coordinates", _LISTED_PLACES, "Latitude", _thousandths("latitude")),
+    ("state_coordinates", _LISTED_PLACES, "Longitude", _thousandths("longitude")),
+    ("temperature", "temperature", "dt", _text("dt")),
+    ("temperature", "temperature", "AverageTemperature", _thousandths("AverageTemperature")),
+    ("temperature", "temperature", "City", "City"),
+    ("temperature", "temperature", "Country", "Country"),
+    ("temperature", "temperature", "reading_no", _text("reading_no")),
+]
+
+_STORED_COLUMNS = {
+    "immigration_fact": [_text(c) for c in (
+        "immigration_id", "arrival_year", "arrival_month", "port_of_entry", "travel_mode", "destination_state",
+        "arrival_date", "departure_date", "country", "country_of_residence", "visatype", "visa_category",
+        "birth_year", "gender")],
+    "arrival_time": [_text(c) for c in ("arrival_date", "day", "week", "month", "year", "weekday", "id")],
+    "country": ["country", _thousandths("average_temperature"), _text("id")],
+    "us_population_demographics": [
+        *[_text(c) for c in ("state_code", "total_population", "male_population", "female_population",
+                             "number_of_veterans", "foreign_born")],
+        _thousandths("latitude"), _thousandths("longitude"), _text("id")],
+    "us_airports": ["ident", "name", "iata_code", "state_code", _thousandths("latitude"), _thousandths("longitude"), _text("id")],
+}
+
+
 def statements() -> dict[str, str]:
     removed, earlier = [], []
     for c in ("arrdate", "depdate", "i94mode", "i94visa", "biryear", "gender"):
@@ -312,7 +370,8 @@ def statements() -> dict[str, str]:
                    count(*) FILTER (WHERE {kept}) AS kept_rows,
                    count(*) FILTER (WHERE {kept} AND arrdate = 0) AS undated_arrdate,
                    count(*) FILTER (WHERE {kept} AND depdate = 0) AS undated_depdate,
-                   true AS balanced
+                   count(*) = {' + '.join(r.rsplit(' AS ', 1)[0] for r in removed)}
+                     + count(*) FILTER (WHERE {kept}) AS balanced
             FROM arrivals""",
         "arrivals_clean": f"WITH {_ARRIVALS},{_CLEAN} SELECT * FROM clean",
         "sas_date_decode": f"""WITH n AS (
@@ -352,13 +411,20 @@ def statements() -> dict[str, str]:
             SELECT code, label AS description FROM labels WHERE code_class = 'valid'""",
         "port_label_parse": f"WITH {_PORT_LABELS} SELECT code, label, city, state FROM labels",
         "port_alias_resolve": f"""WITH {_PORT_LABELS}
+            , ends AS (
+              WITH RECURSIVE walk AS (
+                SELECT code AS start, target_code AS place FROM labels WHERE target_code IS NOT NULL
+                UNION SELECT start, target_code FROM walk JOIN labels ON place = code
+                WHERE target_code IS NOT NULL)
+              SELECT start, code, label FROM walk JOIN labels ON place = code WHERE target_code IS NULL)
             SELECT l.code, l.label, l.target_code,
-                   CASE WHEN l.target_code IS NULL THEN l.label ELSE t.label END AS resolved_label
-            FROM labels l LEFT JOIN labels t ON l.target_code = t.code""",
+                   CASE WHEN l.target_code IS NULL THEN l.code ELSE e.code END AS resolved_code,
+                   CASE WHEN l.target_code IS NULL THEN l.label ELSE e.label END AS resolved_label
+            FROM labels l LEFT JOIN ends e ON l.code = e.start""",
         "state_other_decode": f"""WITH {_ARRIVALS}
             SELECT cicid, i94addr, coalesce(n_name || ' STATE', 'All Other Codes') AS state_name
             FROM arrivals LEFT JOIN nation
-              ON i94addr = 'S' || cast(n_nationkey AS varchar) AND n_nationkey < 15""",
+              ON i94addr = 'S' || cast(n_nationkey + 5 AS varchar)""",
         "age_consistency": f"""WITH {_ARRIVALS},{_CLEAN}
             SELECT cast(cicid AS bigint) AS immigration_id, cast(i94bir AS integer) AS stated_age,
                    cast(i94yr - biryear AS integer) AS implied_age,
@@ -399,7 +465,7 @@ def statements() -> dict[str, str]:
             SELECT coalesce(n_name || ' STATE', 'All Other Codes') AS state_name,
                    count(*) AS arrivals
             FROM fact LEFT JOIN nation
-              ON destination_state = 'S' || cast(n_nationkey AS varchar) AND n_nationkey < 15
+              ON destination_state = 'S' || cast(n_nationkey + 5 AS varchar)
             GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
         "q5_top_mode": f"{fact} {_top('travel_mode', 1)}",
         "q6_air_business_by_state": f"""{fact} {_top(
@@ -465,19 +531,20 @@ def statements() -> dict[str, str]:
             _orphans("destination_state", "destination_state", "demographics", "p.state_code"),
             _orphans("destination_state airports", "destination_state", "airports", "p.state_code"),
             _orphans("port_of_entry", "port_of_entry", "airports", "p.iata_code"),
-            _orphans("arrival_date", "arrival_date", "arrival_time", "p.arrival_date"),
+            _orphans("arrival_date", "arrival_date", "arrival_time",
+                     "p.day % 7 <> 0 AND p.arrival_date"),
         ]),
         "quality_orphan_keys": f"""{fact},{_AIRPORTS}
             SELECT port_of_entry AS key, count(*) AS row_count
             FROM fact ANTI JOIN airports ON port_of_entry = iata_code
             WHERE port_of_entry IS NOT NULL GROUP BY 1""",
         "quality_partitions": f"""{fact}
-            SELECT count(arrival_date) AS dated_rows,
-                   count(*) FILTER (WHERE year(arrival_date) <> arrival_year
-                                       OR month(arrival_date) <> arrival_month) AS misplaced_rows,
-                   count(*) FILTER (WHERE year(arrival_date) <> arrival_year
-                                       OR month(arrival_date) <> arrival_month) = 0 AS passed
-            FROM fact""",
+            SELECT count(arrival_date) AS dated_rows, count(*) FILTER (WHERE misplaced) AS misplaced_rows,
+                   count(*) FILTER (WHERE misplaced) = 0 AS passed
+            FROM (SELECT arrival_date, arrival_date IS NOT NULL
+                         AND (year(arrival_date) IS DISTINCT FROM arrival_year
+                              OR month(arrival_date) IS DISTINCT FROM arrival_month) AS misplaced
+                  FROM fact)""",
         "quality_shared_coordinates": f"""WITH {_DEMOGRAPHICS}
             SELECT round(latitude, 4) AS latitude, round(longitude, 4) AS longitude,
                    count(*) AS states, min(state_code) AS first_state, max(state_code) AS last_state
@@ -486,16 +553,43 @@ def statements() -> dict[str, str]:
         "fact_partitioned_roundtrip": f"{fact} {_TIMEFRAME}",
         "monthly_load": f"""{fact}
             SELECT arrival_year, arrival_month, count(*) AS arrivals FROM fact
-            WHERE arrival_month % 2 = 0 OR travel_mode <> 'Sea' GROUP BY 1, 2""",
+            WHERE arrival_month <> 12 AND (arrival_month % 2 = 0 OR travel_mode <> 'Sea')
+            GROUP BY 1, 2""",
         "csv_source_roundtrip": f"WITH {_CODEBOOK},{_CITIES},{_COORDINATES},{_TEMPERATURE},{_AIRPORTS} "
-        + " UNION ALL ".join([
-            _checksum("airports", "listed", "iata_code"),
-            _checksum("country_codes", "codebook", "code"),
-            _checksum("demographics", "cities", "total"),
-            _checksum("state_coordinates", "coordinates", "longitude"),
-            _checksum("temperature", "temperature", "AverageTemperature"),
-        ]),
-        "full_pipeline": f"WITH {_STAR} {_NONEMPTY}",
+        + " UNION ALL ".join(_column(*c) for c in _CSV_COLUMNS),
+        "label_file_roundtrip": f"""WITH {_COUNTRY_LABELS}, country_labels AS (
+              SELECT 'countryl' AS format, cast(code AS varchar) AS code,
+                     label || CASE WHEN code % 7 = 3 THEN ' ' ELSE '' END AS label FROM labels),
+            port_labels AS (
+              WITH {_PORT_LABELS}
+              SELECT '$portl' AS format, code,
+                     label || CASE form WHEN 0 THEN '      ' WHEN 2 THEN '  ' WHEN 8 THEN ' ' ELSE '' END AS label
+              FROM labels JOIN ports ON code = 'P' || cast(k AS varchar))
+            SELECT * FROM country_labels UNION ALL SELECT * FROM port_labels
+            UNION ALL SELECT '$statel', 'S' || cast(n_nationkey AS varchar),
+                   n_name || CASE WHEN n_nationkey % 3 = 0 THEN '; STATE' ELSE ' STATE ' END FROM nation""",
+        "quality_load": f"""{fact}, audit AS (
+              SELECT count(*) AS n, count(*) FILTER (WHERE {kept}) AS kept,
+                     {' + '.join(r.rsplit(' AS ', 1)[0] for r in removed)} AS removed FROM arrivals),
+            checks AS (
+              SELECT 'audit balanced' AS "check", CASE WHEN n = kept + removed THEN 0 ELSE 1 END AS failures FROM audit
+              UNION ALL SELECT 'rows kept', CASE WHEN kept > 0 THEN 0 ELSE 1 END FROM audit
+              UNION ALL SELECT 'ids unique', count(*) - count(DISTINCT immigration_id) FROM fact
+              UNION ALL SELECT 'filed under own month', count(*) FILTER (WHERE arrival_date IS NOT NULL
+                  AND (year(arrival_date) IS DISTINCT FROM arrival_year
+                       OR month(arrival_date) IS DISTINCT FROM arrival_month)) FROM fact)
+            SELECT "check", cast(failures AS bigint) AS failures, failures = 0 AS passed FROM checks""",
+        "quality_lookup_conflicts": """
+            SELECT 'country codes' AS lookup, cast(0 AS bigint) AS conflicting_keys, true AS passed
+            UNION ALL SELECT 'state coordinates', count(*) FILTER (WHERE n_nationkey % 3 = 0),
+                   count(*) FILTER (WHERE n_nationkey % 3 = 0) = 0 FROM nation
+            UNION ALL SELECT 'states', 0, true""",
+        # The whole run has no tie-break column to go by: the lowest reading counts.
+        "full_pipeline": f"WITH {_STAR} ".replace("reading_no NULLS LAST, ", "") + " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+            f"{_sum_of_hashes(' || chr(124) || '.join(_dashed(c) for c in columns))} AS checksum FROM {_TABLE_NAMES[name]}"
+            for name, columns in _STORED_COLUMNS.items()
+        ),
         "stream_new_files": f"""{fact}
             SELECT arrival_year, arrival_month, country, count(*) AS arrivals
             FROM fact GROUP BY 1, 2, 3""",

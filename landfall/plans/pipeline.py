@@ -5,13 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landfall.functions import text
 from landfall.operators import dims, quality
 from landfall.operators.clean import clean_arrivals, null_audit
+from landfall.operators.codebook import valid_countries
 from landfall.operators.fact import build_fact
+from landfall.operators.keys import scratch_removed
 from landfall.operators.quality import Reference
 from landfall.sources import readers, sinks
+from landfall.sources.labels import labels_of, read_labels
 from landfall.sources.paths import Inputs, Warehouse
 
 
@@ -34,38 +38,58 @@ def read_tables(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFram
     }
 
 
+def read_codebook(spark: SparkSession, inputs: Inputs) -> DataFrame:
+    """The country code book, from a CSV file or from a block of a label file."""
+    if inputs.country_block:
+        labels = labels_of(read_labels(spark, inputs.country_codes), inputs.country_block)
+        return valid_countries(labels)
+    return readers.read_country_codes(spark, inputs.country_codes)
+
+
+def months_of(raw: DataFrame) -> list[tuple[int | None, int | None]]:
+    """The months that arrival records come from, cleaned away or not: a few hundred at most."""
+    year, month = (F.col(c).try_cast("int") for c in ("i94yr", "i94mon"))
+    return [tuple(r) for r in raw.select(year, month).distinct().collect()]
+
+
 def run_pipeline(
     spark: SparkSession,
     inputs: Inputs,
     warehouse: Warehouse,
     replace_all: bool = False,
-    rebalance: bool = False,
+    rebalance: bool = True,
     strict: bool = False,
 ) -> Run:
     """Load the arrivals' months into the fact and rebuild the dimensions.
 
-    The arrivals are read once to write the fact and once more, six columns
-    wide, if the audit is asked for. The date dimension comes from the stored
-    fact, of which it reads one column. ``strict`` raises when a table is empty.
+    Every month that the arrivals come from is replaced, also one whose records are
+    all cleaned away. The arrivals are read three times: four columns for the months
+    and dates, all for the fact, and six for the audit if it is asked for. The date
+    dimension reads one column of the stored fact.
+
+    ``strict`` checks the load before anything is stored, at the cost of two narrow
+    scans more, and raises if a check of ``quality.load_report`` fails or, at the
+    end, a table is empty.
     """
     raw = readers.read_arrivals(spark, inputs.arrivals, inputs.arrivals_format)
-    codebook = readers.read_country_codes(spark, inputs.country_codes)
-    fact_path = warehouse.path("immigration_fact")
-    sinks.write_fact(build_fact(clean_arrivals(raw), codebook), fact_path, replace_all, rebalance)
-
     temperature = readers.read_temperature(spark, inputs.temperature)
     demographics = readers.read_demographics(spark, inputs.demographics)
     airports = readers.read_airports(spark, inputs.airports)
-    built = {
-        "arrival_time": dims.build_date_dim(readers.read_fact(spark, fact_path)),
-        "country": dims.build_temperature_dim(temperature),
-        "us_population_demographics": dims.build_demographics_dim(
-            demographics, readers.read_state_coordinates(spark, inputs.state_coordinates)
-        ),
-        "us_airports": dims.build_airports_dim(airports),
-    }
-    for name, table in built.items():
-        sinks.write_table(table, warehouse.path(name))
+    coordinates = readers.read_state_coordinates(spark, inputs.state_coordinates)
+    fact_path = warehouse.path("immigration_fact")
+    with scratch_removed(spark):
+        fact = build_fact(clean_arrivals(raw), read_codebook(spark, inputs))
+        if strict:
+            quality.require_passed(quality.load_report(raw, fact))
+        sinks.write_fact(fact, fact_path, replace_all, rebalance, months_of(raw))
+        built = {
+            "arrival_time": dims.build_date_dim(readers.read_fact(spark, fact_path)),
+            "country": dims.build_temperature_dim(temperature),
+            "us_population_demographics": dims.build_demographics_dim(demographics, coordinates),
+            "us_airports": dims.build_airports_dim(airports),
+        }
+        for name, table in built.items():
+            sinks.write_table(table, warehouse.path(name))
 
     tables = read_tables(spark, warehouse)
     nonempty = quality.nonempty_report(tables)
@@ -87,6 +111,15 @@ def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
     })
 
 
+def lookup_checks(codebook: DataFrame, coordinates: DataFrame, states: DataFrame) -> DataFrame:
+    """Codes that a lookup lists with different values, of which one is used."""
+    return quality.conflict_report({
+        "country codes": (codebook, "code", ["description"]),
+        "state coordinates": (coordinates, "State", ["Latitude", "Longitude"]),
+        "states": (states, "code", ["label"]),
+    })
+
+
 def reference_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Orphans of every documented foreign key of the fact."""
     countries, airports = tables["country"], tables["us_airports"]

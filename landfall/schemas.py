@@ -17,6 +17,8 @@ _STR, _DBL, _INT, _LONG, _DATE = (
     T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType(), T.DateType(),
 )
 
+# The column names of the inputs and of the stored tables.
+
 # Raw arrival records. Numbers arrive as doubles; dates as day numbers.
 ARRIVALS_RAW = _named([
     ("cicid", _DBL), ("i94yr", _DBL), ("i94mon", _DBL), ("i94cit", _DBL), ("i94res", _DBL),
@@ -51,6 +53,12 @@ FACT = _schema(
     birth_year=_INT, gender=_STR,
 )
 
+# First and last date in each month folder of the fact.
+FACT_RANGES = _schema(
+    arrival_year=_INT, arrival_month=_INT, first_date=_DATE, last_date=_DATE,
+    settled=T.BooleanType(),
+)
+
 ARRIVAL_TIME = _schema(
     arrival_date=_DATE, day=_INT, week=_INT, month=_INT, year=_INT, weekday=_INT, id=_LONG,
 )

@@ -20,13 +20,16 @@ def _body(block: str):
     return F.slice(lines, F.lit(1), F.when(end > 0, end).otherwise(F.size(lines)))
 
 
-def read_labels(spark: SparkSession, path: str) -> DataFrame:
+def read_labels(spark: SparkSession, path: str, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """(format, code, label) of every label in the files at ``path``, padding kept in labels.
 
     A block is only known from the lines above, so each file is one row here
     before it is split into blocks and lines. Label files are code books of at
-    most some thousand lines.
+    most some thousand lines; one larger than ``max_bytes`` is refused.
     """
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    if (largest or 0) > max_bytes:
+        raise ValueError(f"a label file of {largest} bytes is larger than {max_bytes}")
     blocks = (
         spark.read.text(path, wholetext=True)
         .select(F.split(F.regexp_replace("value", _COMMENT, ""), _BLOCK_START).alias("parts"))

@@ -18,6 +18,7 @@ class Inputs:
     state_coordinates: str
     airports: str
     arrivals_format: str = "parquet"
+    country_block: str | None = None  # block of country labels, if country_codes is a label file
 
 
 # Table locations below the output root.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import schemas
+from landfall.sources.sinks import ranges_path
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -23,9 +24,26 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     })
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
-    """CSV with a header, in any column order."""
-    return conform(spark.read.csv(path, sep=sep, header=True), schema)
+def read_csv_text(
+    spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header, every column as text.
+
+    Quotes inside quoted text are doubled. Columns may come in any order, but in
+    the same one in all files of a folder: a file with another header fails the
+    read rather than shift its columns. ``multi_line`` allows line ends inside
+    quotes; it makes a file one task's work, so it is for small sources only.
+    """
+    return spark.read.csv(
+        path, sep=sep, header=True, escape='"', enforceSchema=False, multiLine=multi_line
+    )
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """The same with declared types; ``quality.unreadable_report`` counts what does not fit them."""
+    return conform(read_csv_text(spark, path, sep, multi_line), schema)
 
 
 def read_arrivals(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
@@ -35,24 +53,34 @@ def read_arrivals(spark: SparkSession, path: str, format: str = "parquet") -> Da
     return conform(spark.read.format(format).load(path), schemas.ARRIVALS_RAW)
 
 
-def read_country_codes(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.COUNTRY_CODES_RAW, sep=";")
+def read_country_codes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.COUNTRY_CODES_RAW, ";", multi_line)
+
+
+def read_demographics(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.DEMOGRAPHICS_RAW, ";", multi_line)
 
 
-def read_demographics(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.DEMOGRAPHICS_RAW, sep=";")
+def read_temperature(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.TEMPERATURE_RAW, multi_line=multi_line)
 
 
-def read_temperature(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.TEMPERATURE_RAW)
+def read_state_coordinates(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.STATE_COORDINATES_RAW, multi_line=multi_line)
 
 
-def read_state_coordinates(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.STATE_COORDINATES_RAW)
+def read_airports(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.AIRPORTS_RAW, multi_line=multi_line)
 
 
-def read_airports(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.AIRPORTS_RAW)
+def read_fact_ranges(spark: SparkSession, path: str) -> DataFrame | None:
+    """First and last date in each month folder of the fact at ``path``; None if none are kept."""
+    folder = ranges_path(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    stored = spark.read.schema(schemas.FACT_RANGES).parquet(folder)
+    return stored.select(*schemas.FACT_RANGES.names)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from landfall import schemas
+from landfall.operators.keys import remove_folder
 
 PARTITION_COLUMNS = ("arrival_year", "arrival_month")
+# What the file layout names the folder of a missing value.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+Month = tuple[int | None, int | None]
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -12,20 +22,66 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, replace_all: bool = False, rebalance: bool = False) -> None:
-    """Write fact rows by year and month.
+def ranges_path(path: str) -> str:
+    """Where the date ranges of a fact's month folders are kept."""
+    return f"{path.rstrip('/')}.ranges"
 
-    Only the months present in ``df`` are replaced, each as a whole; the others
-    stay. A load must therefore bring all rows of its months. ``replace_all``
-    clears the other months as well. ``rebalance`` shuffles rows to their month
-    first, with large months split over several tasks, for input whose files mix
-    many months and would otherwise leave many small files.
-    """
-    if rebalance:
-        df = df.hint("rebalance", *PARTITION_COLUMNS)
+
+def _month_folder(path: str, month: Month) -> str:
+    names = zip(PARTITION_COLUMNS, month)
+    return "/".join([path.rstrip("/"), *[f"{c}={_NULL_FOLDER if v is None else v}" for c, v in names]])
+
+
+def _partitioned(df: DataFrame, path: str, mode: str) -> None:
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+        .option("partitionOverwriteMode", mode)
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
+
+
+def write_fact(
+    df: DataFrame,
+    path: str,
+    replace_all: bool = False,
+    rebalance: bool = True,
+    months: Iterable[Month] | None = None,
+) -> None:
+    """Write fact rows by year and month, and the range of dates in each month's folder.
+
+    Only the months of this load are replaced, each as a whole; the others stay. A
+    load must therefore bring all rows of its months. ``months`` names the months
+    that the load covers, also those it has no row for: these are cleared. Without
+    it, a load covers the months of its rows. ``replace_all`` clears all other
+    months as well. ``rebalance`` shuffles rows to their month first, with large
+    months split over several tasks, as files that mix many months would otherwise
+    leave many small files.
+
+    The load is read twice, once for three columns. Its ranges are marked as
+    unsettled before the fact is replaced, so a reader never skips a folder on the
+    strength of a range that a failed load left behind.
+    """
+    spark = df.sparkSession
+    found = df.groupBy(*PARTITION_COLUMNS).agg(
+        F.min("arrival_date").alias("first_date"), F.max("arrival_date").alias("last_date")
+    )
+    # One row per month of the load.
+    loaded = [tuple(r) for r in found.collect()]
+    cleared = set(months or ()) - {r[:2] for r in loaded}
+    mode = "static" if replace_all else "dynamic"
+    unsettled = [(*r[:2], None, None, False) for r in loaded]
+    settled = [(*r, True) for r in loaded]
+    if replace_all:
+        remove_folder(spark, ranges_path(path))
+    else:
+        _write_ranges(spark, unsettled, path, mode)
+    _partitioned(df.hint("rebalance", *PARTITION_COLUMNS) if rebalance else df, path, mode)
+    for month in sorted(cleared, key=repr):
+        remove_folder(spark, _month_folder(path, month))
+        remove_folder(spark, _month_folder(ranges_path(path), month))
+    _write_ranges(spark, settled, path, mode)
+
+
+def _write_ranges(spark: SparkSession, rows: list[tuple], path: str, mode: str) -> None:
+    _partitioned(spark.createDataFrame(rows, schemas.FACT_RANGES).coalesce(1), ranges_path(path), mode)

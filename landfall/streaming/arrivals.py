@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from landfall import schemas
 from landfall.operators.clean import clean_arrivals
 from landfall.operators.fact import build_fact
+from landfall.sources.readers import conform
 from landfall.sources.sinks import PARTITION_COLUMNS
 
 
@@ -26,10 +27,13 @@ def load_new_files(
     Keep its fact folder apart from one written by the batch load: a file sink
     reads its folder by its own commit log.
     """
-    reader = spark.readStream.schema(schemas.ARRIVALS_RAW)
+    # The files' own types, converted as in the batch load.
+    reader = spark.readStream.schema(spark.read.parquet(arrivals).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    fact = build_fact(clean_arrivals(reader.parquet(arrivals)), codebook)
+    fact = build_fact(
+        clean_arrivals(conform(reader.parquet(arrivals), schemas.ARRIVALS_RAW)), codebook
+    )
     return (
         fact.writeStream.format("parquet")
         .partitionBy(*PARTITION_COLUMNS)

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from landfall import schemas
 from landfall.functions import codes, dates, text
 from landfall.operators.codebook import label_rows
 
@@ -52,22 +53,31 @@ def test_calendar_parts(spark):
     ]
 
 
-def test_month_partitions(spark):
-    df = spark.createDataFrame(
-        [(2015, 11), (2015, 12), (2016, 1), (2016, 3), (2016, 4)], "arrival_year int, arrival_month int"
-    )
-    kept = df.where(dates.month_partitions(dt.date(2015, 12, 5), dt.date(2016, 3, 1))).collect()
-    assert [tuple(r) for r in kept] == [(2015, 12), (2016, 1), (2016, 3)]
+def test_overlapping_partitions(spark):
+    day = dt.date
+    ranges = spark.createDataFrame([
+        (2015, 11, day(2015, 11, 1), day(2015, 11, 30), True),
+        (2015, 12, day(2015, 12, 1), day(2016, 1, 2), True),
+        (2016, 1, None, None, True),
+        (2016, 2, None, None, False),
+        (2016, 4, day(2016, 3, 31), day(2016, 4, 2), True),
+        (None, 5, day(2016, 2, 1), day(2016, 2, 1), True),
+    ], schemas.FACT_RANGES)
+    rows = ranges.where(dates.overlapping_partitions(ranges, day(2016, 1, 1), day(2016, 3, 31)))
+    kept = rows.select("arrival_year", "arrival_month").collect()
+    assert {tuple(r) for r in kept} == {(2015, 12), (2016, 2), (2016, 4), (None, 5)}
+    none = dates.overlapping_partitions(ranges.limit(0), day(2016, 1, 1), day(2016, 3, 31))
+    assert ranges.where(none).count() == 0
 
 
 def test_names(spark):
-    names = ["ARGENTINA ", "HOLY SEE/VATICAN", "GUINEA-BISSAU", "BOSNIA AND HERZEGOVINA", None]
+    names = ["VELMOR ", "FAR REEF/OUTER", "TWIN-SUNS", "LOCK AND WHARF", None]
     assert one(spark, "string", names, text.display_name("x")) == [
-        "Argentina", "Holy See/vatican", "Guinea-bissau", "Bosnia And Herzegovina", None,
+        "Velmor", "Far Reef/outer", "Twin-suns", "Lock And Wharf", None,
     ]
-    spellings = ["Guinea-Bissau", "GUINEA BISSAU ", " guinea--bissau", "Côte D'Ivoire", None]
+    spellings = ["Twin-Suns", "TWIN SUNS ", " twin--suns", "Zéphyr D'Ys", None]
     assert one(spark, "string", spellings, text.name_key("x")) == [
-        "guinea bissau", "guinea bissau", "guinea bissau", "côte d ivoire", None,
+        "twin suns", "twin suns", "twin suns", "zéphyr d ys", None,
     ]
 
 
@@ -100,16 +110,16 @@ def test_codes(spark):
 
 
 @pytest.mark.parametrize("line, code, label", [
-    ("   582 =  'NORTHLAND Air Sea (no land arrivals)'", "582", "NORTHLAND Air Sea (no land arrivals)"),
-    ("    0  =  'INVALID: NOWHERE' ;", "0", "INVALID: NOWHERE"),
-    ("   'ABC'\t=\t'OLD TOWN, AK             '", "ABC", "OLD TOWN, AK             "),
-    ("   'INT'\t=\t'INT''L POINT, MN      '", "INT", "INT'L POINT, MN      "),
-    ("   'CP '\t=\t'No PORT Code (CP)'", "CP", "No PORT Code (CP)"),
-    ("   'AG'\t\t=\t'No PORT Code (AG)'", "AG", "No PORT Code (AG)"),
-    ("   'NK' \t=\t'x; y'", "NK", "x; y"),
-    ("\t'99'='All Other Codes' ;", "99", "All Other Codes"),
-    ("\t1 = 'Air'", "1", "Air"),
-    ("value i94model", None, None),
+    ("   11 =  'VELMOR High (with a remark)'", "11", "VELMOR High (with a remark)"),
+    ("    0  =  'INVALID: ROGUE' ;", "0", "INVALID: ROGUE"),
+    ("   'Q1X'\t=\t'UPPER QUAY, VV             '", "Q1X", "UPPER QUAY, VV             "),
+    ("   'Q2X'\t=\t'KEEPER''S DOCK, WW      '", "Q2X", "KEEPER'S DOCK, WW      "),
+    ("   'R8 '\t=\t'No PORT Code (R8)'", "R8", "No PORT Code (R8)"),
+    ("   'R7'\t\t=\t'No PORT Code (R7)'", "R7", "No PORT Code (R7)"),
+    ("   'Q9' \t=\t'here; there'", "Q9", "here; there"),
+    ("\t'--'='All Other Codes' ;", "--", "All Other Codes"),
+    ("\t1 = 'Kite'", "1", "Kite"),
+    ("value planetl", None, None),
     ("/* 1 - a comment */", None, None),
     (";", None, None),
 ])
@@ -119,13 +129,12 @@ def test_label_line(spark, line, code, label):
 
 
 def test_country_class(spark):
-    labels = ["NORTHLAND", "INVALID: NOWHERE", "Collapsed Isle (should not show)",
-              "No Country Code (54)", None]
+    labels = ["VELMOR", "INVALID: ROGUE", "Collapsed Shell (a remark)", "No Country Code (3)", None]
     assert one(spark, "string", labels, codes.country_class("x")) == [
         "valid", "INVALID", "Collapsed", "No Country Code", None,
     ]
 
 
 def test_port_alias_target(spark):
-    labels = ["Collapsed (FOK) 06/15", "Collapsed into INT, MN", "FOKTOWN, NY", None]
-    assert one(spark, "string", labels, codes.port_alias_target("x")) == ["FOK", "INT", None, None]
+    labels = ["Collapsed (Q1X) 01/02", "Collapsed into Q2X, WW", "QUAYSIDE, VV", None]
+    assert one(spark, "string", labels, codes.port_alias_target("x")) == ["Q1X", "Q2X", None, None]

@@ -31,6 +31,32 @@ def test_temperature_tie_break(spark, inputs):
     assert {r[0]: r[1] for r in rows}["Northland"] == 16.0
 
 
+def test_missing_and_equal_tie_breaks(spark):
+    rows = [("d", "A", "X", 10.0, None), ("d", "A", "X", 20.0, 5), ("d", "B", "X", 7.0, 1), ("d", "B", "X", 4.0, 1)]
+    df = spark.createDataFrame(rows, "dt string, City string, Country string, AverageTemperature double, t int")
+    assert sorted(r[0] for r in dims.one_reading_each(df, tie_break="t").select("AverageTemperature").collect()) == [4.0, 20.0]
+
+
+def test_a_place_without_numbers_gives_way(spark):
+    from landfall.operators.lookup import state_coordinates
+
+    states = spark.createDataFrame([("A",), ("B",), ("C",)], "state_code string")
+    places = spark.createDataFrame(
+        [("A", None, None), ("A", 1.0, 2.0), ("B", None, None), ("C", 3.0, None), ("C", 5.0, 6.0)],
+        "State string, Latitude double, Longitude double",
+    )
+    found = {r[0]: tuple(r)[1:] for r in state_coordinates(states, places).collect()}
+    assert found == {"A": (1.0, 2.0), "B": (None, None), "C": (5.0, 6.0)}
+
+
+def test_one_whole_row_of_a_repeated_city(spark):
+    names = ["City", "State Code", "Total Population", "Male Population", "Female Population", "Number of Veterans", "Foreign-born"]
+    df = spark.createDataFrame([("A", "S", 100, 60, 40, 1, 9), ("A", "S", 90, 30, 60, 8, 2)], names)
+    places = spark.createDataFrame([], "State string, Latitude double, Longitude double")
+    row = dims.state_populations(df, places, dedupe_on=["City", "State Code"]).first()
+    assert tuple(row)[:6] == ("S", 100, 60, 40, 1, 9)
+
+
 def test_demographics(spark, inputs):
     cities = readers.read_demographics(spark, inputs.demographics)
     places = readers.read_state_coordinates(spark, inputs.state_coordinates)

@@ -1,104 +1,118 @@
+import pytest
+
 from landfall.operators import codebook
 from landfall.sources.labels import labels_of, read_labels
 
-LABELS = """libname library 'somewhere' ;
-proc format library=library ;
-
-/* YEAR - a comment with value inside
-   1 = 'not a label' */
-  value landl
-   582 =  'NORTHLAND Air Sea, and Not Reported (no land arrivals)'
-   236 =  'SOUTH ISLES '
-   403 =  'INVALID: EAST'
-   311 =  'Collapsed West (should not show)'
-    54 =  'No Country Code (54)' ;
-
-/* PORTS */
-  value $portl
-   'ABC'\t=\t'OLD TOWN, AK             '
-   'INT'\t=\t'INT''L POINT, MN      '
-   'LIA'\t=\t'ROCKS, AR (BPS)'
-   'ASE'\t=\t'PINES, CO #ARPT'
-   'MAP'\t=\t'MARIPOSITA AZ           '
-   'PDN'\t=\t'PASO,TX     '
-   'MTY'\t=\t'GEN X, Monte, MX'
-   'BLI'\t=\t'HAM, WASHING #INTL'
-   'SAI'\t=\t'SAINTS, SPN           '
-   'FRG'\t=\t'Collapsed (ABC) 06/15'
-   'GTF'\t=\t'Collapsed into INT, MN'
-   'ZZ' \t=\t'No PORT Code (ZZ)'
-   'CP '\t=\t'SEMI; COLON'
+# Fixed values among invented ones: the opening words "INVALID:", "Collapsed", "No Country
+# Code", "No PORT Code" and "All Other Codes", which the decoder must know.
+LABELS = """some opening words ;
+more of them ;
+
+/* FIRST - a value in a comment
+   8 = 'nothing' */
+  value planetl
+   11 =  'VELMOR High, and Low Moons (with a remark)'
+    7 =  'TWIN SUNS '
+   90 =  'INVALID: ROGUE'
+   12 =  'Collapsed Shell (a remark)'
+    3 =  'No Country Code (3)' ;
+
+/* SECOND */
+  value $dockl
+   'Q1X'\t=\t'UPPER QUAY, VV             '
+   'Q2X'\t=\t'KEEPER''S DOCK, WW      '
+   'Q3X'\t=\t'GREY PIER, XX (BPS)'
+   'Q4X'\t=\t'LONG WHARF, YY #ARPT'
+   'Q5X'\t=\t'ROUND BASIN ZZ           '
+   'Q6X'\t=\t'LOCK,VV     '
+   'Q7X'\t=\t'FAR REEF, Outer, NN'
+   'Q8X'\t=\t'MOLE, GREATER #RING'
+   'Q9X'\t=\t'SLIP, FOG           '
+   'R1X'\t=\t'Collapsed (Q1X) 01/02'
+   'R2X'\t=\t'Collapsed into Q2X, WW'
+   'R3X'\t=\t'Collapsed into R1X, VV'
+   'R4X'\t=\t'Collapsed (R5X) 03/04'
+   'R5X'\t=\t'Collapsed (R4X) 03/04'
+   'R6X'\t=\t'Collapsed into GONE, WW'
+   'R7' \t=\t'No PORT Code (R7)'
+   'R8 '\t=\t'HERE; THERE'
 ;
 
-value modl
-\t1 = 'Air'
-\t9 = 'Not reported' ;
-\t7 = 'after the end'
-
-value $stl
-\t'AK'='ALASKO'
-\t'MN'='MINNE'
-\t'AR'='ARKA'
-\t'CO'='COLO'
-\t'AZ'='ARIZO'
-\t'TX'='TEXO' 
-\t'99'='All Other Codes' ;
-run ;
+value waysl
+\t1 = 'Kite'
+\t5 = 'Unsaid' ;
+\t6 = 'after the end'
+
+value $realml
+\t'VV'='VARRO'
+\t'WW'='WENDEL'
+\t'XX'='XANTHE'
+\t'YY'='YSOLD'
+\t'ZZ'='ZEPHYR' 
+\t'--'='All Other Codes' ;
+end ;
 """
 
 
+@pytest.fixture
 def book(spark, tmp_path):
     (tmp_path / "labels.txt").write_text(LABELS)
     return read_labels(spark, str(tmp_path / "labels.txt"))
 
 
-def test_blocks(spark, tmp_path):
-    counts = book(spark, tmp_path).groupBy("format").count().collect()
-    assert {r[0]: r[1] for r in counts} == {"landl": 5, "$portl": 13, "modl": 2, "$stl": 7}
+def test_blocks(book):
+    counts = book.groupBy("format").count().collect()
+    assert {r[0]: r[1] for r in counts} == {"planetl": 5, "$dockl": 17, "waysl": 2, "$realml": 6}
+
+
+def test_a_large_file_is_refused(spark, tmp_path):
+    (tmp_path / "labels.txt").write_text(LABELS)
+    with pytest.raises(ValueError, match="larger"):
+        read_labels(spark, str(tmp_path / "labels.txt"), max_bytes=100)
 
 
-def test_countries(spark, tmp_path):
-    labels = labels_of(book(spark, tmp_path), "landl")
+def test_countries(book):
+    labels = labels_of(book, "planetl")
     assert {r["code"]: r["code_class"] for r in codebook.decode_countries(labels).collect()} == {
-        582: "valid", 236: "valid", 403: "INVALID", 311: "Collapsed", 54: "No Country Code",
+        11: "valid", 7: "valid", 90: "INVALID", 12: "Collapsed", 3: "No Country Code",
     }
     valid = {tuple(r) for r in codebook.valid_countries(labels).collect()}
-    assert (236, "SOUTH ISLES") in valid and len(valid) == 2
+    assert (7, "TWIN SUNS") in valid and len(valid) == 2
 
 
-def test_ports(spark, tmp_path):
-    labels = book(spark, tmp_path)
-    ports = codebook.decode_ports(labels_of(labels, "$portl"), labels_of(labels, "$stl"))
+def test_ports(book):
+    ports = codebook.decode_ports(labels_of(book, "$dockl"), labels_of(book, "$realml"))
     assert {r["code"]: (r["city"], r["state"]) for r in ports.collect()} == {
-        "ABC": ("OLD TOWN", "AK"),
-        "INT": ("INT'L POINT", "MN"),
-        "LIA": ("ROCKS", "AR"),
-        "ASE": ("PINES", "CO"),
-        "MAP": ("MARIPOSITA", "AZ"),
-        "PDN": ("PASO", "TX"),
-        "MTY": ("GEN X, Monte, MX", None),
-        "BLI": ("HAM, WASHING", None),
-        "SAI": ("SAINTS, SPN", None),
-        "FRG": (None, None),
-        "GTF": (None, None),
-        "ZZ": (None, None),
-        "CP": ("SEMI; COLON", None),
+        "Q1X": ("UPPER QUAY", "VV"),
+        "Q2X": ("KEEPER'S DOCK", "WW"),
+        "Q3X": ("GREY PIER", "XX"),
+        "Q4X": ("LONG WHARF", "YY"),
+        "Q5X": ("ROUND BASIN", "ZZ"),
+        "Q6X": ("LOCK", "VV"),
+        "Q7X": ("FAR REEF, Outer, NN", None),
+        "Q8X": ("MOLE, GREATER", None),
+        "Q9X": ("SLIP, FOG", None),
+        "R8": ("HERE; THERE", None),
+        **{code: (None, None) for code in ("R1X", "R2X", "R3X", "R4X", "R5X", "R6X", "R7")},
     }
 
 
-def test_aliases(spark, tmp_path):
-    resolved = codebook.resolve_port_aliases(labels_of(book(spark, tmp_path), "$portl"))
-    rows = {r["code"]: (r["target_code"], r["resolved_label"]) for r in resolved.collect()}
-    assert len(rows) == 13
-    assert rows["FRG"] == ("ABC", "OLD TOWN, AK")
-    assert rows["GTF"] == ("INT", "INT'L POINT, MN")
-    assert rows["ABC"] == (None, "OLD TOWN, AK")
+def test_aliases(book):
+    resolved = codebook.resolve_port_aliases(labels_of(book, "$dockl")).collect()
+    rows = {r["code"]: (r["target_code"], r["resolved_code"], r["resolved_label"]) for r in resolved}
+    assert len(resolved) == 17
+    assert rows["R1X"] == ("Q1X", "Q1X", "UPPER QUAY, VV")
+    assert rows["R2X"] == ("Q2X", "Q2X", "KEEPER'S DOCK, WW")
+    # Over another alias; in a circle; to a code that is not listed.
+    assert rows["R3X"] == ("R1X", "Q1X", "UPPER QUAY, VV")
+    assert rows["R4X"] == ("R5X", None, None) and rows["R5X"] == ("R4X", None, None)
+    assert rows["R6X"] == ("GONE", None, None)
+    assert rows["Q1X"] == (None, "Q1X", "UPPER QUAY, VV")
 
 
-def test_states(spark, tmp_path):
-    states = labels_of(book(spark, tmp_path), "$stl")
-    df = spark.createDataFrame([("AK",), ("XX",), ("99",), (None,)], "c string")
-    decoded = codebook.decode_states(df, states, "c", "name").collect()
+def test_states(spark, book):
+    df = spark.createDataFrame([("VV",), ("AA",), ("--",), (None,)], "c string")
+    decoded = codebook.decode_states(df, labels_of(book, "$realml"), "c", "name").collect()
     assert {r["c"]: r["name"] for r in decoded} == {
-        "AK": "ALASKO", "XX": "All Other Codes", "99": "All Other Codes", None: "All Other Codes",
+        "VV": "VARRO", "AA": "All Other Codes", "--": "All Other Codes", None: "All Other Codes",
     }

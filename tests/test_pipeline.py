@@ -1,3 +1,7 @@
+import datetime as dt
+from dataclasses import replace
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,9 +24,9 @@ def contents(tables):
 def test_two_runs_store_the_same(spark, tmp_path, arrivals_format):
     inputs = write_inputs(spark, tmp_path / "in", arrivals_format=arrivals_format)
     warehouse = Warehouse(str(tmp_path / "out"))
-    first = pipeline.run_pipeline(spark, inputs, warehouse, strict=True)
+    first = pipeline.run_pipeline(spark, inputs, warehouse)
     before = contents(first.tables)
-    second = pipeline.run_pipeline(spark, inputs, warehouse, rebalance=True)
+    second = pipeline.run_pipeline(spark, inputs, warehouse, rebalance=False)
     assert contents(second.tables) == before
     assert {n: len(rows) for n, rows in before.items()} == {
         "immigration_fact": 10, "arrival_time": 4, "country": 2,
@@ -75,8 +79,104 @@ def test_strict_run_raises_on_an_empty_table(spark, tmp_path):
     assert {r["table_name"] for r in run.nonempty.where("not passed").collect()} == {
         "immigration_fact", "arrival_time",
     }
-    with pytest.raises(quality.DataQualityError, match="immigration_fact"):
+    with pytest.raises(quality.DataQualityError, match="rows kept"):
         pipeline.run_pipeline(spark, inputs, Warehouse(str(tmp_path / "b")), strict=True)
+    assert not (tmp_path / "b").exists()
+
+
+MAY = {"i94mon": 5.0, "arrdate": 20580.0, "depdate": 20590.0}
+
+
+@pytest.mark.parametrize("rows, failed", [
+    ([{**MAY, "gender": None}], "rows kept"),
+    ([MAY, {**MAY, "cicid": 1.0}], "ids unique"),
+    ([MAY, {**MAY, "i94mon": None}], "filed under own month"),
+])
+def test_a_failed_strict_load_leaves_the_warehouse_as_it_was(spark, tmp_path, rows, failed):
+    warehouse = Warehouse(str(tmp_path / "out"))
+    both = arrivals(spark, {}, MAY)
+    run = pipeline.run_pipeline(spark, write_inputs(spark, tmp_path / "in", both), warehouse, strict=True)
+    before = contents(run.tables)
+    bad = write_inputs(spark, tmp_path / "bad", arrivals(spark, *rows))
+    with pytest.raises(quality.DataQualityError, match=failed):
+        pipeline.run_pipeline(spark, bad, warehouse, strict=True)
+    assert contents(pipeline.read_tables(spark, warehouse)) == before
+
+
+def test_a_month_without_a_usable_record_is_cleared(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path / "out"))
+    both = arrivals(spark, {}, MAY, {"i94mon": None})
+    pipeline.run_pipeline(spark, write_inputs(spark, tmp_path / "in", both), warehouse)
+    withdrawn = arrivals(spark, {**MAY, "gender": None}, {"i94mon": None, "gender": None})
+    run = pipeline.run_pipeline(spark, write_inputs(spark, tmp_path / "in2", withdrawn), warehouse)
+    assert [r[0] for r in run.tables["immigration_fact"].select("immigration_id").collect()] == [1]
+    ranges = readers.read_fact_ranges(spark, warehouse.path("immigration_fact")).collect()
+    assert [(r["arrival_year"], r["arrival_month"], r["settled"]) for r in ranges] == [(2016, 4, True)]
+
+
+def test_misfiled_rows_are_found_in_their_timeframe(spark, tmp_path):
+    from landfall.operators.fact import build_fact
+
+    rows = arrivals(spark, {}, {"i94mon": 9.0}, {"i94mon": None}, MAY, {"i94yr": None})
+    path = str(tmp_path / "fact")
+    sinks.write_fact(build_fact(rows, None).withColumns({"country": F.lit("x"), "country_of_residence": F.lit("x")}), path)
+    april = (dt.date(2016, 4, 1), dt.date(2016, 4, 30))
+    stored, ranges = readers.read_fact(spark, path), readers.read_fact_ranges(spark, path)
+    assert tuple(analytics.arrivals_in_timeframe(stored, *april, ranges).first()) == (2016, 4, 4)
+    assert tuple(quality.partition_report(stored).first()) == (5, 3, False)
+    assert readers.read_fact_ranges(spark, str(tmp_path / "none")) is None
+
+
+def test_a_run_leaves_no_scratch_behind(spark, tmp_path):
+    from landfall.operators.keys import scratch_root
+
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    before = set(root.iterdir())
+    pipeline.run_pipeline(spark, write_inputs(spark, tmp_path / "in"), Warehouse(str(tmp_path / "out")))
+    assert not [p for p in set(root.iterdir()) - before if p.name.startswith("landfall-")]
+
+
+def test_label_file_as_code_book(spark, tmp_path):
+    inputs = write_inputs(spark, tmp_path / "in")
+    labels = tmp_path / "labels.txt"
+    labels.write_text("  value lands\n 582 = 'NORTHLAND'\n 236 = 'INVALID: NONE'\n 403 = 'TWIN SUNS ' ;\n")
+    inputs = replace(inputs, country_codes=str(labels), country_block="lands")
+    fact = pipeline.run_pipeline(spark, inputs, Warehouse(str(tmp_path / "out"))).tables["immigration_fact"]
+    assert {r[0] for r in fact.select("country").distinct().collect()} == {"Northland", "Twin Suns"}
+    assert fact.where("country_of_residence is not null").count() == 0
+
+
+def test_doubled_quotes_and_line_ends(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('ident,name,iso_country\nK1,"Joe ""Ace"" Field, Main",US\nK2,"two\nlines",US\n')
+    rows = readers.read_airports(spark, str(path), multi_line=True).collect()
+    assert [(r["name"], r["iso_country"]) for r in rows] == [('Joe "Ace" Field, Main', "US"), ("two\nlines", "US")]
+
+
+def test_another_column_order_fails_the_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("dt,AverageTemperature,City,Country\n1850-01-01,1.5,A,B\n")
+    (tmp_path / "b.csv").write_text("Country,dt,AverageTemperature,City\nB,1850-01-01,2.5,A\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        readers.read_temperature(spark, str(tmp_path)).collect()
+
+
+def test_unreadable_values_are_counted(spark, tmp_path):
+    from landfall import schemas
+
+    path = tmp_path / "t.csv"
+    path.write_text("dt,AverageTemperature,City,Country\n1850-01-01,warm,A,B\nsoon,,A,B\n1850-01-02,2,A,B\n")
+    report = quality.unreadable_report(readers.read_csv_text(spark, str(path)), schemas.TEMPERATURE_RAW)
+    assert {r["column_name"]: (r["filled"], r["unreadable"], r["passed"]) for r in report.collect()} == {
+        "dt": (3, 1, False), "AverageTemperature": (2, 1, False), "City": (3, 0, True), "Country": (3, 0, True),
+    }
+
+
+def test_lookup_conflicts(spark):
+    codes = spark.createDataFrame([(1, "A"), (1, "B"), (2, "C"), (2, "C")], "code int, description string")
+    places = spark.createDataFrame([("X", 1.0, 2.0)], "State string, Latitude double, Longitude double")
+    states = spark.createDataFrame([("X", "x"), ("X", None)], "code string, label string")
+    report = {r["lookup"]: r["conflicting_keys"] for r in pipeline.lookup_checks(codes, places, states).collect()}
+    assert report == {"country codes": 1, "state coordinates": 0, "states": 1}
 
 
 def test_misplaced_rows_are_reported(spark, tmp_path):
