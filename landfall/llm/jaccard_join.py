@@ -42,6 +42,7 @@ class Join:
     rare: int = 512  # classes that a token may have to give pairs
     block: int = 512  # classes of a block of a frequent token
     first_block: int = 4096  # classes that meet at a shared first token
+    first_tokens: int = 4_000_000  # and tokens of theirs, about
     group_rows: int = 2000  # rows gathered in one task's group, about
     broadcast_rows: int = 200_000  # rows of five numbers and a hash that may be broadcast, about 15 MB
 
@@ -305,10 +306,11 @@ def group_links(members: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
 def _first_token_groups(classes: DataFrame, join: Join) -> DataFrame:
     """Classes with the same first token; many are dealt to groups of bounded size."""
     first = classes.select(
-        "cid", "doc", "set_id", F.xxhash64("first").alias("token"), F.col("cid").alias("root")
+        "cid", "doc", "set_id", "n", F.xxhash64("first").alias("token"), F.col("cid").alias("root")
     )
-    counts = first.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
-    part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("m") / join.first_block))
+    counts = first.groupBy("token").agg(F.count("*").alias("m"), F.sum("n").alias("tokens")).where("m > 1")
+    parts = F.greatest(F.ceil(F.col("m") / join.first_block), F.ceil(F.col("tokens") / join.first_tokens))
+    part = F.pmod(F.xxhash64("set_id"), parts)
     return first.join(counts, "token").select(
         F.xxhash64("token", part).alias("gid"), "cid", "doc", "set_id", "root"
     )
