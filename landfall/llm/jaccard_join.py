@@ -42,8 +42,8 @@ class Join:
     rare: int = 512  # classes that a token may have to give pairs
     block: int = 512  # classes of a block of a frequent token
     first_block: int = 4096  # classes that meet at a shared first token
-    first_tokens: int = 4_000_000  # and tokens of theirs, about
-    group_rows: int = 2000  # rows gathered in one task's group, about
+    first_tokens: int = 2_000_000  # and tokens of theirs, about
+    group_rows: int = 1000  # rows gathered in one task's group, about
     broadcast_rows: int = 200_000  # rows of five numbers and a hash that may be broadcast, about 15 MB
 
 

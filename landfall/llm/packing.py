@@ -39,7 +39,7 @@ class Packing:
     vocabulary: str = public_tokenizers.path("byte_bpe_50k.tiktoken")
     group_pieces: int = 32768  # of a group at first; doubles with each exchange
     exchanges: int = 2
-    cached_words: int = 300_000  # ids of so many words are kept by a worker
+    cached_words: int = 150_000  # ids of so many words are kept by a worker
 
 
 class _Words(dict):
