@@ -39,8 +39,8 @@ _FOLD[65:91] = np.arange(97, 123)
 class Training:
     """Bounds and rates of the training; the sample never holds more than its bound."""
 
-    per_language: int = 1500  # sampled texts of one language at most, about
-    max_sample: int = 30000  # sampled texts in all at most
+    per_language: int = 800  # sampled texts of one language at most, about
+    max_sample: int = 20000  # sampled texts in all at most
     buckets: int = 1 << 15
     dimensions: int = 16
     epochs: int = 4
@@ -48,6 +48,7 @@ class Training:
     snippet_bytes: int = 48  # each text also trains as one short snippet
     calibration_share: int = 4  # one in so many sampled texts calibrates
     reject_share: float = 0.002  # calibration texts that may fall below the threshold
+    reject_below: float = 0.4  # and the threshold at most: a text this likely is never rejected
     seed: int = 17
 
 
@@ -216,8 +217,7 @@ def train(rows: list, training: Training) -> LanguageModel:
 
     temperature = min(np.geomspace(0.05, 20, 121), key=loss)
     top = np.sort(_softmax(logits / temperature).max(axis=1))
-    # Never reject what is more likely than an even guess leaves to all others together.
-    threshold = min(top[int(training.reject_share * len(top))], 0.5)
+    threshold = min(top[int(training.reject_share * len(top))], training.reject_below)
     return LanguageModel(languages, scores.astype(np.float32), bias, float(temperature), float(threshold))
 
 
