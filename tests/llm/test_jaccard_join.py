@@ -65,7 +65,7 @@ def test_small_bounds_lose_no_link(spark, rare, first_block, block):
     shared = " ".join(f"s{k}" for k in range(50))
     rows = variants(4, 60, 80, 4, 0) + variants(5, 60, 40, 3, 100)
     rows += [(200 + k, shared + " " + " ".join(f"o{rng.randrange(10**6)}" for _ in range(rng.randint(1, 9))), None, None, 0) for k in range(60)]
-    join = J.Join(rare=rare, first_block=first_block, block=block, group_rows=10)
+    join = J.Join(rare=rare, first_block=first_block, block=block, group_rows=10, broadcast_rows=0)
     assert samples.plain(J.linked_documents(samples.frame(spark, rows), join).collect()) == expected(rows)
 
 
