@@ -6,6 +6,9 @@ descending length into blocks. A query meets the longest vectors first, which gi
 k-th best score to beat, and then only the blocks whose longest vector could beat it. In a
 block, the product over the first rotated coordinates plus the Cauchy-Schwarz bound of the
 rest discards nearly all pairs; the others are scored exactly in integers.
+
+Vectors too long for sums of 64 bits are kept apart: they meet all others in floating point
+with a bound of its error, and what may be among the best is scored in integers of any size.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm.common import stored
 
+_LONGEST = 2.0**31  # of two such vectors the product is below 2**62
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -31,41 +35,44 @@ class Search:
     query_vectors: int = 2048  # of a task
     chunk_vectors: int = 1024  # scored at a time in a task
     lead: int = 16  # rotated coordinates of the partial sums
-    largest: float = float(1 << 28)  # of a scaled component; keeps exact sums within 64 bits
+    largest: float = float(1 << 28)  # of a scaled component; larger ones are summed beyond 64 bits
 
 
 def scaled_vectors(vectors: DataFrame, search: Search) -> DataFrame:
-    """(vec_id, v, norm): components as floor(scale * x), v their 64-bit integers as bytes.
+    """(vec_id, v, norm, wide, row): components as floor(scale * x), v their 64-bit integers as bytes.
 
-    Left out are null ids and vectors, those with a null or non-finite component, and those
-    whose scaled component exceeds ``largest``. Of several vectors with one id the smallest
-    by bytes counts.
+    Left out are only null ids and vectors and those with a null or non-finite component.
+    Rows whose components or length are too large for exact sums in 64 bits are ``wide``;
+    their v has floor(scale * x) / scale as doubles. ``row`` is unique.
     """
-    x = F.transform("embedding", lambda e: F.floor(e.cast("double") * search.scale))
     usable = F.forall(
-        "embedding",
-        lambda e: F.coalesce(
-            ~F.isnan(e) & (F.abs(e.cast("double")) * search.scale < search.largest), F.lit(False)
-        ),
+        "embedding", lambda e: F.coalesce(~F.isnan(e) & (F.abs(e.cast("double")) < float("inf")), F.lit(False))
     )
     rows = vectors.where("vec_id is not null and embedding is not null").where(usable)
+    scale = search.scale
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed, norms = [], []
+            packed, norms, wide = [], [], []
             for row in batch["x"]:
-                v = np.array(row.as_py(), np.int64)
-                packed.append(v.astype("<i8").tobytes())
-                norms.append(float(np.sqrt((v.astype(float) ** 2).sum())))
+                x = np.array(row.as_py(), float)
+                with np.errstate(over="ignore"):
+                    v = np.floor(x * scale)
+                    norms.append(float(np.sqrt((v**2).sum())))
+                wide.append(not (norms[-1] < _LONGEST and np.abs(v).max(initial=0) < search.largest))
+                # Doubles from 2**53 on are integers, which the product with the scale could overflow.
+                large = np.abs(x) >= 2.0**53
+                packed.append((np.where(large, x, v / scale) if wide[-1] else v.astype("<i8")).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch["vec_id"], pa.array(packed, pa.binary()), pa.array(norms, pa.float64())],
-                names=["vec_id", "v", "norm"],
+                [batch["vec_id"], pa.array(packed, pa.binary()), pa.array(norms, pa.float64()), pa.array(wide, pa.bool_())],
+                names=["vec_id", "v", "norm", "wide"],
             )
 
+    x = F.transform("embedding", lambda e: e.cast("double"))
     packed = rows.select(F.col("vec_id").cast("long"), x.alias("x")).mapInArrow(
-        pack, "vec_id long, v binary, norm double"
+        pack, "vec_id long, v binary, norm double, wide boolean"
     )
-    return packed.groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("row")).select("vec_id", "row.*")
+    return packed.withColumn("row", F.monotonically_increasing_id())
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -148,6 +155,65 @@ def best_pairs(
     return best
 
 
+def exact_pairs(left: pa.Table, right: pa.Table, width: int, search: Search) -> list[tuple[int, int, int | None]]:
+    """Each left row's k best right rows with another id (query id, id, score), of any length.
+
+    A score above 64 bits is an error, as it leads the query's result; one below is None.
+    """
+
+    def doubles(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Rows divided by a power of two each, which makes them shorter than 1 to a component, and the powers."""
+        rows = np.zeros((len(table), width))
+        for i, (v, wide) in enumerate(zip(table["v"], table["wide"].to_pylist())):
+            values = np.frombuffer(v.as_py(), "<f8" if wide else "<i8")
+            rows[i, : len(values)] = values if wide else values / search.scale
+        power = np.frexp(np.abs(rows).max(axis=1, initial=0))[1]
+        return np.ldexp(rows, -power[:, None]), power
+
+    def integers(table: pa.Table, i: int) -> list[int]:
+        v = table["v"][i].as_py()
+        if not table["wide"][i].as_py():
+            return np.frombuffer(v, "<i8").tolist()
+        return [int(x * search.scale) if abs(x) < 2.0**53 else int(x) * search.scale for x in np.frombuffer(v, "<f8").tolist()]
+
+    (q, _), (c, power) = doubles(left), doubles(right)
+    c = np.ldexp(c, (power - power.max(initial=-(1 << 20)))[:, None])
+    q_ids, c_ids = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
+    q_norm, c_norm = np.sqrt((q**2).sum(axis=1)), np.sqrt((c**2).sum(axis=1))
+    known: dict[int, list[int]] = {}
+    found = []
+    for i in range(len(q)):
+        about = c @ q[i]
+        error = (width + 4) * 2.0**-52 * q_norm[i] * c_norm + 1e-300
+        others = np.flatnonzero(c_ids != q_ids[i])
+        if len(others) > search.k:
+            least = np.partition((about - error)[others], -search.k)[-search.k]
+            others = others[(about + error)[others] >= least]
+        own, scores = integers(left, i), []
+        for j in others.tolist():
+            if j not in known:
+                known[j] = integers(right, j)
+            scores.append((-sum(a * b for a, b in zip(own, known[j])), int(c_ids[j])))
+        for score, j in sorted(scores)[: search.k]:
+            if -score >= 2**63:
+                raise ValueError(f"the score of vectors {q_ids[i]} and {j} does not fit 64 bits")
+            found.append((int(q_ids[i]), j, -score if -score >= -(2**63) else None))
+    return found
+
+
+def _met_wide(queries: DataFrame, candidates: DataFrame, width: int, search: Search) -> DataFrame:
+    """The k best of each block for each query by ``exact_pairs``, by task (query part, block)."""
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = exact_pairs(left, right, width, search) if len(left) and len(right) else []
+        columns = zip(*found) if found else ([], [], [])
+        return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["query_id", "vec_id", "score"])
+
+    keys = ("part", "block")
+    queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])
+    return queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(meet, _FOUND)
+
+
 def _met(queries: DataFrame, candidates: DataFrame, axes: np.ndarray, search: Search) -> DataFrame:
     """The k best of each block for each query, by task (query part, block)."""
     width = len(axes)
@@ -171,39 +237,68 @@ def _met(queries: DataFrame, candidates: DataFrame, axes: np.ndarray, search: Se
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def search_top_k(vectors: DataFrame, is_query: Column, search: Search = Search()) -> DataFrame:
-    """The k highest-scoring other vectors of each query, ties to the smaller id.
+    """The k highest-scoring vectors with another id for each query id, ties to the smaller id.
 
     ``is_query`` is a condition on vec_id. Queries meet candidates in parts and blocks of
     bounded size. Shorter vectors count as if they ended in zeros. A query with fewer than
     k others gets all of them, an empty table gives an empty one, and other columns take no
-    part. See ``scaled_vectors`` for the rows that are left out.
+    part. Rows that share an id all count, as candidates and, in one list, as queries. A
+    score among the k best that does not fit 64 bits is an error. See ``scaled_vectors``
+    for the rows that are left out.
     """
-    rows = stored(scaled_vectors(vectors, search), "scaled-vectors")
-    facts = rows.agg(F.count("*").alias("n"), F.max(F.octet_length("v")).alias("bytes")).first()
+    every = stored(scaled_vectors(vectors, search), "scaled-vectors")
+    facts = every.agg(
+        F.count_if(~F.col("wide")).alias("n"), F.count_if("wide").alias("wide"), F.max(F.octet_length("v")).alias("bytes")
+    ).first()
     width = max(1, (facts["bytes"] or 0) // 8)
+    rows = every.where(~F.col("wide"))
     axes = rotation(rows, width)
-    # The id breaks ties in length, so equal vectors too are split evenly.
+    # Id and row break ties in length, so equal vectors too are split evenly.
     wanted = max(1, -(-facts["n"] // search.block_vectors))
     blocks = stored(
-        rows.withColumn("_down", -F.col("norm")).repartitionByRange(wanted, "_down", "vec_id").drop("_down")
+        rows.withColumn("_down", -F.col("norm")).repartitionByRange(wanted, "_down", "vec_id", "row").drop("_down")
         .withColumn("block", F.spark_partition_id()),
         "vector-blocks",
     )
+    found = _found(blocks, is_query, axes, search)
+    if facts["wide"]:
+        found = found.unionAll(_found_wide(blocks, every.where("wide"), facts["wide"], is_query, width, search))
+    return _ranked(found, search.k)
+
+
+def _in_parts(queries: DataFrame, search: Search) -> tuple[DataFrame, Column]:
+    """Queries with their part, and the expression that gives a candidate once for every part."""
+    parts = max(1, -(-queries.count() // search.query_vectors))
+    queries = queries.withColumn("part", F.pmod(F.xxhash64("vec_id", "row"), F.lit(parts)).cast("int"))
+    return queries, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+
+
+def _found_wide(narrow: DataFrame, wide: DataFrame, n: int, is_query: Column, width: int, search: Search) -> DataFrame:
+    """The best pairs with a wide row: all blocks for wide queries, those of wide rows for the others."""
+    first = (narrow.agg(F.max("block")).first()[0] or 0) + 1
+    more = -(-n // search.block_vectors)
+    dealt = F.pmod(F.xxhash64("row"), F.lit(more)).cast("int") + first
+    every = narrow.unionAll(wide.withColumn("block", dealt))
+    queries, every_part = _in_parts(every.where(is_query).drop("block"), search)
+    lowest = F.when(F.col("wide"), 0).otherwise(first)
+    queries = queries.withColumn("block", F.explode(F.sequence(lowest, F.lit(first + more - 1))))
+    return _met_wide(queries, every.select("*", every_part), width, search)
+
+
+def _found(blocks: DataFrame, is_query: Column, axes: np.ndarray, search: Search) -> DataFrame:
+    """The best pairs of rows that are not wide."""
     reach = sorted(
         (r["block"], r["norm"]) for r in blocks.groupBy("block").agg(F.max("norm").alias("norm")).collect()
     )
-    queries = blocks.where(is_query).select("vec_id", "v", "norm")
-    parts = max(1, -(-queries.count() // search.query_vectors))
-    queries = queries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
-    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    queries, every_part = _in_parts(blocks.where(is_query).select("vec_id", "v", "norm", "row"), search)
     candidates = blocks.select("*", every_part)
     if not reach:
-        return _ranked(_met(_with_block(queries, []), candidates, axes, search), search.k)
+        return _met(_with_block(queries, []), candidates, axes, search)
     first, later = reach[0][0], reach[1:]
     lowest = F.lit(-float(2**63)).alias("floor")
     start = _met(
@@ -219,7 +314,7 @@ def search_top_k(vectors: DataFrame, is_query: Column, search: Search = Search()
         known = known.withColumn("floor", F.coalesce("floor", F.lit(-float(2**63))))
         rest = _met(_with_block(known, later), candidates.where(F.col("block") != first), axes, search)
         found = found.unionAll(rest)
-    return _ranked(found, search.k)
+    return found
 
 
 def _with_block(queries: DataFrame, blocks: list[tuple[int, float]]) -> DataFrame:
@@ -232,4 +327,6 @@ def _with_block(queries: DataFrame, blocks: list[tuple[int, float]]) -> DataFram
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    return _best(found, k).select("query_id", "rank", "vec_id", "score")
+    below = F.raise_error(F.lit("a score among the best does not fit 64 bits")).cast("long")
+    score = F.coalesce("score", below).alias("score")
+    return _best(found, k).select("query_id", "rank", "vec_id", score)
