@@ -11,6 +11,7 @@ sequences in all.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from array import array
@@ -37,6 +38,8 @@ class Packing:
     end_id: int = 2
     # The ranks of the vocabulary in byte_bpe_50k.json, which give the same ids.
     vocabulary: str = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    # Its added tokens, which are matched inside texts.
+    tokenizer: str = public_tokenizers.path("byte_bpe_50k.json")
     group_pieces: int = 32768  # of a group at first; doubles with each exchange
     exchanges: int = 2
     cached_words: int = 150_000  # ids of so many words are kept by a worker
@@ -57,7 +60,7 @@ class _Words(dict):
 
 
 class Encoder:
-    """Byte-level BPE; special tokens' strings are ordinary text.
+    """Byte-level BPE of text without added tokens.
 
     A single space between two other characters always begins a token, so a text can be
     encoded word by word, and the words' ids can be kept.
@@ -82,23 +85,55 @@ class Encoder:
         return self.first[first] + b"".join(map(self.later.__getitem__, later))
 
 
+def added_tokens(tokenizer: str) -> dict[str, int]:
+    """Ids of the added tokens that a JSON file lists; only such as match any occurrence as it stands."""
+    with open(tokenizer, encoding="utf-8") as file:
+        listed = json.load(file)["added_tokens"]
+    for token in listed:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+            raise ValueError(f"added token {token['content']!r} matches by other rules")
+    return {token["content"]: token["id"] for token in listed}
+
+
+class AddedTokens:
+    """Encoder of the texts between added tokens, which have ids of their own."""
+
+    def __init__(self, encode: Callable[[str], bytes], tokens: dict[str, int]):
+        self.encode = encode
+        self.ids = {token: array("I", [i]).tobytes() for token, i in tokens.items()}
+        # At one place the longest token matches.
+        longest_first = sorted(tokens, key=len, reverse=True)
+        self.pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if tokens else None
+
+    def __call__(self, text: str) -> bytes:
+        if not self.pattern or not self.pattern.search(text):
+            return self.encode(text)
+        # Odd places of the split are the tokens.
+        parts = self.pattern.split(text)
+        return b"".join(self.ids[part] if i % 2 else self.encode(part) for i, part in enumerate(parts))
+
+
 @lru_cache(maxsize=1)
-def encoder(vocabulary: str, cached_words: int) -> Encoder:
-    return Encoder(vocabulary, cached_words)
+def encoder(vocabulary: str, tokenizer: str, cached_words: int) -> AddedTokens:
+    return AddedTokens(Encoder(vocabulary, cached_words), added_tokens(tokenizer))
 
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def tokenised_pieces(docs: DataFrame, packing: Packing) -> DataFrame:
-    """One row per piece: its place in the document's ids, its length and a checksum of its ids."""
+    """One row per piece: its place in the document's ids, its length and a checksum of its ids.
+
+    The ids are those of the JSON tokenizer without special tokens at the ends; an added
+    token's string inside a text is that token.
+    """
     size = packing.capacity
     end = array("I", [packing.end_id]).tobytes()
     names = [f.split()[0] for f in _PIECES.split(", ")]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(packing.vocabulary, packing.cached_words)
+        encode = encoder(packing.vocabulary, packing.tokenizer, packing.cached_words)
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
