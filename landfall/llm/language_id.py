@@ -37,10 +37,10 @@ _FOLD[65:91] = np.arange(97, 123)
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds and rates of the training; the sample never holds more than its bound."""
+    """Bounds and rates of the training; a sample far beyond its bound is an error."""
 
     per_language: int = 800  # sampled texts of one language at most, about
-    max_sample: int = 20000  # sampled texts in all at most
+    max_sample: int = 20000  # sampled texts in all at most, about; shared evenly by the languages
     buckets: int = 1 << 15
     dimensions: int = 16
     epochs: int = 4
@@ -133,19 +133,25 @@ def sample_features(labelled: DataFrame, training: Training) -> list:
     """Subword counts of a bounded sample of labelled texts, spread over the languages.
 
     Texts are chosen by a hash of id and text, with each language's rate set by its count
-    over all rows, so that rare languages are fully used.
+    over all rows, so that rare languages are fully used. Each language has the same part
+    of the sample, and its text with the smallest hash is always in it. Copies of a row
+    count once.
     """
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(500).collect()
     space = 1 << 30
-    rate = F.create_map(*[
-        F.lit(x)
-        for row in counts
-        for x in (row["lang"], max(1, round(space * min(1.0, training.per_language / row["count"]))))
-    ]) if counts else None
-    if rate is None:
+    placed = labelled.where(F.col("text").rlike(r"\p{L}")).withColumn(
+        "place", F.pmod(F.xxhash64("doc_id", "text"), F.lit(space))
+    )
+    counts = placed.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")).limit(
+        training.max_sample + 1
+    ).collect()
+    if len(counts) > training.max_sample:
+        raise ValueError(f"more than {training.max_sample} languages cannot all be in a sample of as many texts")
+    if not counts:
         return []
-    place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(space))
-    chosen = labelled.where(place < F.try_element_at(rate, F.col("lang")))
+    share = min(training.per_language, training.max_sample / len(counts) - 1)
+    rates = [(r["lang"], max(r["least"] + 1, round(space * min(1.0, share / r["n"])))) for r in counts]
+    rate = labelled.sparkSession.createDataFrame(rates, "lang string, rate long")
+    chosen = placed.join(F.broadcast(rate), "lang").where("place < rate")
     buckets, width, seed = training.buckets, training.snippet_bytes, training.seed
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,10 +175,14 @@ def sample_features(labelled: DataFrame, training: Training) -> list:
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     schema = pa.schema([("lang", pa.string()), ("place", pa.int64()), ("at", pa.binary()), ("n", pa.binary())])
-    features = chosen.select("lang", place.alias("place"), "text").mapInArrow(
+    features = chosen.select("lang", "place", "text").mapInArrow(
         featurise, "lang string, place long, at binary, n binary"
     )
-    rows = features.limit(2 * training.max_sample).collect()
+    # Each text gives two rows; chance alone stays far below this bound.
+    bound = 2 * (training.max_sample * 5 // 4 + 100)
+    rows = features.dropDuplicates().limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"the sample holds more than {bound} rows")
     return sorted(rows, key=lambda r: (r["place"], r["lang"], len(r["at"]), r["at"]))
 
 
@@ -192,6 +202,9 @@ def train(rows: list, training: Training) -> LanguageModel:
         for r in rows
     ]
     fit = [d for d in data if d[3] % training.calibration_share] or data
+    # A language whose few texts are all kept aside is still learned.
+    learned = {label for _, _, label, _ in fit}
+    fit += [d for d in data if d[2] not in learned]
     aside = [d for d in data if d[3] % training.calibration_share == 0] or data
     steps, total = 0, training.epochs * len(fit)
     for _ in range(training.epochs):
