@@ -397,6 +397,18 @@ def csv_source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, frames)
 
 
+def write_label_block(lines: DataFrame, format: str, close: str, root: str, per_file: int = 5000) -> None:
+    """Write label lines as files of about ``per_file`` entries each, in order, with a block of their own."""
+    opening = f"/* {format}, a value\n 1 = 'no label' */\n  value {format}\n"
+    files = max(1, -(-lines.count() // per_file))
+    entries = lines.select(F.regexp_replace("line", " ;$", "").alias("entry"))
+    body = F.array_join(F.sort_array(F.collect_list("entry")), "\n")
+    text = F.concat(F.lit(opening), body, F.lit(f"{close}\n 99 = 'after the end'"))
+    dealt = entries.groupBy(F.pmod(F.xxhash64("entry"), F.lit(files)).alias("file")).agg(text.alias("value"))
+    # A task may get several groups; each goes to a file of its own.
+    dealt.select("value").write.option("maxRecordsPerFile", 1).mode("append").text(root)
+
+
 def label_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """format, code and label of every row of label files with country, port and state blocks."""
     root = scratch_folder(spark)
@@ -406,12 +418,7 @@ def label_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "$statel": (bindings.state_label_lines(spark, sf_dir), "\n ;"),
     }
     for format, (lines, close) in blocks.items():
-        opening = f"/* {format}, a value\n 1 = 'no label' */\n  value {format}\n"
-        entry = F.regexp_replace("line", " ;$", "")
-        # Code books are small: one block is one text, with its entries in order.
-        body = F.array_join(F.sort_array(F.collect_list(entry)), "\n")
-        text = F.concat(F.lit(opening), body, F.lit(f"{close}\n 99 = 'after the end'"))
-        lines.agg(text.alias("value")).write.mode("append").text(root)
+        write_label_block(lines, format, close, root)
     return read_labels(spark, root)
 
 
