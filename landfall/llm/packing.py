@@ -25,11 +25,15 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from landfall.llm.common import stored
 
 #: White space beside a space, or a space at either end: such texts are not split at spaces.
 _TANGLED = re.compile(r"\s | \s|\A | \Z")
+_BLANK = re.compile(r"\s+")
+#: The rank encoder's pattern backtracks over a run of white space and breaks on runs of around a million.
+_LONG_BLANK = 100_000
 
 
 @dataclass(frozen=True)
@@ -63,10 +67,12 @@ class Encoder:
     """Byte-level BPE of text without added tokens.
 
     A single space between two other characters always begins a token, so a text can be
-    encoded word by word, and the words' ids can be kept.
+    encoded word by word, and the words' ids can be kept. Texts with a very long run of
+    white space go through the JSON file's own tokenizer.
     """
 
-    def __init__(self, vocabulary: str, cached_words: int):
+    def __init__(self, vocabulary: str, tokenizer: str, cached_words: int):
+        self.tokenizer = tokenizer
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         encoding = tiktoken.Encoding(
@@ -79,12 +85,19 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if len(text) >= _LONG_BLANK and any(m.end() - m.start() >= _LONG_BLANK for m in _BLANK.finditer(text)):
+            return array("I", json_tokenizer(self.tokenizer).encode(text, add_special_tokens=False).ids).tobytes()
         if _TANGLED.search(text):
             return array("I", self.encode(text)).tobytes()
         first, *later = text.split(" ")
         return self.first[first] + b"".join(map(self.later.__getitem__, later))
 
 
+@lru_cache(maxsize=1)
+def json_tokenizer(tokenizer: str) -> Tokenizer:
+    return Tokenizer.from_file(tokenizer)
+
+
 def added_tokens(tokenizer: str) -> dict[str, int]:
     """Ids of the added tokens that a JSON file lists; only such as match any occurrence as it stands."""
     with open(tokenizer, encoding="utf-8") as file:
@@ -115,7 +128,7 @@ class AddedTokens:
 
 @lru_cache(maxsize=1)
 def encoder(vocabulary: str, tokenizer: str, cached_words: int) -> AddedTokens:
-    return AddedTokens(Encoder(vocabulary, cached_words), added_tokens(tokenizer))
+    return AddedTokens(Encoder(vocabulary, tokenizer, cached_words), added_tokens(tokenizer))
 
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -218,7 +231,8 @@ def _packed(pieces: DataFrame, level: int, packing: Packing) -> DataFrame:
 
 
 def _dealt(pieces: DataFrame, groups: int, level: int) -> DataFrame:
-    key = F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(level))
+    # The place in the stored file parts copies of a row, which are many or have no id.
+    key = F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id(), F.lit(level))
     return pieces.withColumn("grp", F.pmod(key, F.lit(groups)).cast("long"))
 
 

@@ -13,9 +13,7 @@ from tests.llm import samples
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 TANGLED = ["", " ", "  two  spaces ", "tab\tand \n newline\n\n end ", "a b c d", "it's don't we'll", "<|endoftext|> x",
@@ -23,7 +21,7 @@ TANGLED = ["", " ", "  two  spaces ", "tab\tand \n newline\n\n end ", "a b c 
 
 
 def test_ids_are_the_tokenizers(tokenizer):
-    encode = P.Encoder(P.Packing().vocabulary, 50)
+    encode = P.encoder(P.Packing().vocabulary, P.Packing().tokenizer, 50)
     rng = random.Random(2)
     letters = ["a", "B", "é", "漢", "1", ".", "'s", " ", "  ", "\n", "\t", " ", "-", "#"]
     texts = TANGLED + [samples.prose(rng, "xb", 200)] + ["".join(rng.choices(letters, k=40)) for _ in range(500)]
@@ -32,6 +30,12 @@ def test_ids_are_the_tokenizers(tokenizer):
         assert encode(text) == ids.tobytes(), text
 
 
+def test_very_long_runs_of_white_space(tokenizer):
+    encode = P.encoder(P.Packing().vocabulary, P.Packing().tokenizer, 50)
+    for text in (" " * 2_000_000, "\n" * 2_000_000, "a" + "\t " * 600_000 + "b c<|endoftext|>" + " " * 300_000 + "d", "x " * 300_000):
+        assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def check(out, rows, tokenizer, capacity=1024):
     pieces, places = defaultdict(list), defaultdict(list)
     for r in out:
@@ -68,6 +72,12 @@ def test_groups_with_gaps_exchange(spark, tokenizer):
     assert a < b
 
 
+def test_copies_of_a_row_are_dealt_to_several_groups(spark):
+    rows = [(None, "a a a a a", None, None, 0)] * 600
+    pieces = P.tokenised_pieces(samples.frame(spark, rows), P.Packing())
+    assert P._dealt(pieces, 8, 0).select("grp").distinct().count() == 8
+
+
 def test_best_fit_and_bound():
     rng = np.random.default_rng(4)
     for _ in range(50):
