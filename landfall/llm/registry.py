@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm import (
+    centroid_clustering,
     exact_search,
     jaccard_join,
     language_id,
@@ -17,7 +18,10 @@ from landfall.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    source_divergence,
     suffix_dedup,
+    twins,
+    url_filter,
     warc,
 )
 from landfall.plans.bindings import table
@@ -67,6 +71,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("n_distances")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -78,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_search": op8_exact_search,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_url_filter": op11_url_filter,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -161,4 +180,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM scores
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op11_url_filter": twins.url_filter(),
+    "op12_centroid_clustering": twins.centroid_clustering(),
+    "op13_source_divergence": twins.SOURCE_DIVERGENCE,
 }

@@ -27,5 +27,5 @@ def test_matches_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in registry.QUERIES if name.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert "pipeline" in registry.QUERIES
