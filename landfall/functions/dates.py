@@ -47,11 +47,10 @@ def within(col: str, start: dt.date, end: dt.date) -> Column:
 def overlapping_partitions(ranges: DataFrame, start: dt.date, end: dt.date) -> Column:
     """Predicate on the fact's partition columns: those whose dates overlap start to end.
 
-    ``ranges`` has one row per month folder, with its first and last date, or with
-    ``settled`` false while a load is under way, when the folder is always read.
+    ``ranges`` has one row per month, with its first and last date.
     """
     overlaps = (F.col("first_date") <= F.lit(end)) & (F.col("last_date") >= F.lit(start))
-    months = ranges.where(~F.col("settled") | overlaps).select("arrival_year", "arrival_month").collect()
+    months = ranges.where(overlaps).select("arrival_year", "arrival_month").collect()
     year, month = F.col("arrival_year"), F.col("arrival_month")
     return reduce(
         lambda a, b: a | b,

@@ -6,7 +6,7 @@ Reports that need no id start from the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.functions import dates, text
@@ -111,5 +111,11 @@ def us_airports(df: DataFrame, order: str = "lat,lon") -> DataFrame:
     )
 
 
+def occurrences(airports: DataFrame) -> DataFrame:
+    """Number the rows of one ident, of which there is mostly one, by their other columns."""
+    others = [c for c in airports.columns if c != "ident"]
+    return airports.withColumn("occurrence", F.row_number().over(Window.partitionBy("ident").orderBy(*others)))
+
+
 def build_airports_dim(df: DataFrame, order: str = "lat,lon") -> DataFrame:
     return dense_id(us_airports(df, order), "ident", unique=False)

@@ -10,6 +10,13 @@ from landfall.operators.keys import fixed
 from landfall.operators.lookup import country_names, decode_country, is_small
 
 
+# The raw columns that the fact and its cleaning use.
+INPUTS = (
+    "cicid", "i94yr", "i94mon", "i94cit", "i94res", "i94port", "arrdate", "i94mode", "i94addr",
+    "depdate", "i94visa", "biryear", "gender", "visatype",
+)
+
+
 def add_countries(df: DataFrame, codebook: DataFrame) -> DataFrame:
     """Add country and country_of_residence from the two country codes.
 

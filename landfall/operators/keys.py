@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -114,3 +115,20 @@ def dense_id(df: DataFrame, *keys: str, unique: bool = True, name: str = "id") -
     return placed.join(F.broadcast(offsets), "_range").select(
         *columns, (F.col("_offset") + F.col("_place")).alias(name)
     )
+
+
+def lasting_ids(keys: DataFrame, known: DataFrame, *columns: str) -> DataFrame | None:
+    """``known`` (columns, id) and ids for the keys that it lacks, or None if it lacks none.
+
+    Ids once given stay. New keys are numbered in key order, nulls first, from the largest
+    known id on, so the ids of all keys ever seen are 0..n-1. A null key is a key.
+    ``keys`` has each key once and is read twice, so write it first.
+    """
+    same = reduce(lambda a, b: a & b, [keys[c].eqNullSafe(known[c]) for c in columns])
+    new = fixed(keys.select(*columns).join(known, same, "left_anti"))
+    if new.isEmpty():
+        return None
+    largest = known.agg(F.max("id")).first()[0]
+    start = -1 if largest is None else largest
+    numbered = dense_id(new, *columns).withColumn("id", F.col("id") + start + 1)
+    return known.select(*columns, "id").unionAll(numbered.select(*columns, "id"))

@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.operators.clean import null_audit
-
 
 class DataQualityError(RuntimeError):
     """A strict quality check failed."""
@@ -216,10 +214,10 @@ def conflict_report(lookups: dict[str, tuple[DataFrame, str, list[str]]]) -> Dat
     ])
 
 
-def load_report(raw: DataFrame, fact: DataFrame) -> DataFrame:
-    """check, failures and passed of one load, before it is stored.
+def load_report(audit: DataFrame, fact: DataFrame) -> DataFrame:
+    """check, failures and passed of one load, before it is visible.
 
-    ``raw`` are the arrival records, ``fact`` the fact rows made of them. The checks are: rows
+    ``audit`` is the audit of the arrival records, ``fact`` the fact rows made of them. The checks are: rows
     read are kept or charged to a column, some row is kept, ids are unique, and no dated
     row is filed under another month.
     """
@@ -227,7 +225,7 @@ def load_report(raw: DataFrame, fact: DataFrame) -> DataFrame:
         failures = F.when(holds, 0).otherwise(1).cast("long")
         return F.struct(F.lit(check).alias("check"), failures.alias("failures"))
 
-    audit = null_audit(raw).select(
+    audit = audit.select(
         F.inline(F.array(
             failed_unless("audit balanced", F.col("balanced")),
             failed_unless("rows kept", F.col("kept_rows") > 0),

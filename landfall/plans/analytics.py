@@ -20,22 +20,22 @@ from landfall.operators.ranking import counts_by, top_k
 
 
 def arrivals_in_timeframe(
-    fact: DataFrame, start: dt.date, end: dt.date, ranges: DataFrame | None = None
+    rows: DataFrame, start: dt.date, end: dt.date, ranges: DataFrame | None = None
 ) -> DataFrame:
     """Arrivals per month between two dates, both included.
 
     Dates are pushed to the parquet scan. With the stored ``ranges`` of dates of
     each month folder, only folders that hold a date of the timeframe are read,
-    whatever month their rows are filed under.
+    whatever month their rows are filed under. Instead of the fact, the counts per day
+    that are stored with its months will do.
     """
-    rows = fact.where(dates.within("arrival_date", start, end))
+    rows = rows.where(dates.within("arrival_date", start, end))
     if ranges is not None:
         rows = rows.where(dates.overlapping_partitions(ranges, start, end))
-    return counts_by(
-        rows,
-        F.year("arrival_date").alias("year"),
-        F.month("arrival_date").alias("month"),
-    )
+    counted = F.sum("arrivals") if "arrivals" in rows.columns else F.count("*")
+    return rows.groupBy(
+        F.year("arrival_date").alias("year"), F.month("arrival_date").alias("month")
+    ).agg(counted.alias("arrivals"))
 
 
 def top_visa_category(fact: DataFrame, k: int = 1, keep_ties: bool = False) -> DataFrame:
@@ -132,29 +132,32 @@ def business_ports(fact: DataFrame, airports: DataFrame, k: int = 10) -> DataFra
 CUBE_DIMENSIONS = ("travel_mode", "visa_category", "arrival_year")
 
 
-def _finest(fact: DataFrame) -> DataFrame:
+def _finest(rows: DataFrame) -> DataFrame:
     """Counts per finest cell. Coarser cells are sums of these few rows, so the
-    fact is aggregated once and not expanded once per grouping."""
-    return counts_by(fact, *CUBE_DIMENSIONS)
+    fact is aggregated once and not expanded once per grouping. ``rows`` are the fact's,
+    or the counts per day that are stored with each month (``arrivals``)."""
+    if "arrivals" in rows.columns:
+        return rows.groupBy(*CUBE_DIMENSIONS).agg(F.sum("arrivals").alias("arrivals"))
+    return counts_by(rows, *CUBE_DIMENSIONS)
 
 
 def _cells() -> list[Column]:
     return [F.grouping_id().alias("grouping_id"), F.sum("arrivals").alias("arrivals")]
 
 
-def arrivals_cube(fact: DataFrame) -> DataFrame:
-    return _finest(fact).cube(*CUBE_DIMENSIONS).agg(*_cells())
+def arrivals_cube(rows: DataFrame) -> DataFrame:
+    return _finest(rows).cube(*CUBE_DIMENSIONS).agg(*_cells())
 
 
-def arrivals_rollup(fact: DataFrame) -> DataFrame:
-    return _finest(fact).rollup(*CUBE_DIMENSIONS).agg(*_cells())
+def arrivals_rollup(rows: DataFrame) -> DataFrame:
+    return _finest(rows).rollup(*CUBE_DIMENSIONS).agg(*_cells())
 
 
-def arrivals_grouping_sets(fact: DataFrame) -> DataFrame:
+def arrivals_grouping_sets(rows: DataFrame) -> DataFrame:
     """Mode by visa category, each year, and the total."""
     mode, visa, year = CUBE_DIMENSIONS
     return (
-        _finest(fact)
+        _finest(rows)
         .groupingSets([(mode, visa), (year,), ()], mode, visa, year)
         .agg(*_cells())
     )

@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 
 from landfall.functions import codes, dates
 from landfall.operators import codebook, dims, fact as facts, quality, star
-from landfall.operators.clean import clean_arrivals, null_audit
+from landfall.operators.clean import Audited, clean_arrivals, null_audit
 from landfall.operators.keys import fixed, scratch_folder
 from landfall.operators.ranking import counts_by, top_k
 from landfall.plans import analytics, bindings, pipeline
-from landfall.sources import readers, sinks
+from landfall.sources import readers
 from landfall.sources.labels import read_labels
 from landfall.sources.paths import Inputs, Warehouse, join_path
+from landfall.sources.versions import Store
 from landfall.streaming.arrivals import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,7 +304,7 @@ def quality_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.load_report(bindings.arrivals(spark, sf_dir), unnamed_fact(spark, sf_dir))
+    return quality.load_report(null_audit(bindings.arrivals(spark, sf_dir)), unnamed_fact(spark, sf_dir))
 
 
 def quality_lookup_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,31 +335,80 @@ def quality_shared_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The timeframe's arrivals from a stored fact some of whose rows are filed under another
     month or under none."""
-    path = scratch_folder(spark)
     filed = """case when immigration_id % 97 = 0 then null
                     when immigration_id % 89 = 0 then arrival_month % 12 + 1
                     else arrival_month end"""
-    rows = unnamed_fact(spark, sf_dir).withColumn("arrival_month", F.expr(filed))
-    sinks.write_fact(rows, path)
+    store = Store(spark, Warehouse(scratch_folder(spark)))
+    with store.load() as load:
+        load.write_fact(unnamed_fact(spark, sf_dir).withColumn("arrival_month", F.expr(filed)))
+        version = load.publish()
     return analytics.arrivals_in_timeframe(
-        readers.read_fact(spark, path), *TIMEFRAME, readers.read_fact_ranges(spark, path)
+        store.table("immigration_fact", version), *TIMEFRAME, store.ranges(version)
     )
 
 
-def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load all months, then odd months once more without their sea arrivals, then every
-    December with records of which none can be used."""
-    path = scratch_folder(spark)
+def loaded_months(spark: SparkSession, sf_dir: str) -> Store:
+    """A store into which all months were loaded, then odd months once more without their sea
+    arrivals, then every December with records of which none can be used."""
+    store = Store(spark, Warehouse(scratch_folder(spark)))
     rows = unnamed_fact(spark, sf_dir)
-    sinks.write_fact(rows, path)
-    later = rows.where("arrival_month % 2 = 1 and travel_mode <> 'Sea'")
-    sinks.write_fact(later, path)
     unusable = bindings.arrivals(spark, sf_dir).where("i94mon = 12").withColumn(
         "gender", F.lit(None).cast("string")
     )
-    withdrawn = facts.build_fact(clean_arrivals(unusable), None)
-    sinks.write_fact(withdrawn, path, months=pipeline.months_of(unusable))
-    return counts_by(readers.read_fact(spark, path), "arrival_year", "arrival_month")
+    with store.load() as load:
+        load.write_fact(rows)
+        load.publish()
+    with store.load() as load:
+        load.write_fact(rows.where("arrival_month % 2 = 1 and travel_mode <> 'Sea'"))
+        load.publish()
+    with store.load() as load:
+        audited = Audited(unusable)
+        load.write_fact(facts.build_fact(clean_arrivals(audited.rows), None))
+        load.covers(audited.result(load.rows)[1])
+        load.publish()
+    return store
+
+
+def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals per month, and the sum of their ids, after several loads of the same months."""
+    fact_table = loaded_months(spark, sf_dir).table("immigration_fact")
+    return fact_table.groupBy("arrival_year", "arrival_month").agg(
+        F.count("*").alias("arrivals"), F.sum("immigration_id").alias("id_sum")
+    )
+
+
+def maintained_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cube after the same loads, from the counts that each of them stored with its months."""
+    return analytics.arrivals_cube(loaded_months(spark, sf_dir).table("daily_arrivals"))
+
+
+def maintained_timeframe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals in the timeframe after the same loads, from the stored counts."""
+    return analytics.arrivals_in_timeframe(loaded_months(spark, sf_dir).table("daily_arrivals"), *TIMEFRAME)
+
+
+def lasting_date_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the date dimension after a load of the first half of every year and one of the second."""
+    store = Store(spark, Warehouse(scratch_folder(spark)))
+    rows = unnamed_fact(spark, sf_dir)
+    for half in (rows.where("arrival_month <= 6"), rows.where("arrival_month > 6")):
+        with store.load() as load:
+            load.write_fact(half)
+            pipeline.write_date_dimension(load)
+            load.publish()
+    return store.table("arrival_time").select("arrival_date", "id")
+
+
+def lasting_airport_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the airports after three loads: those in the first states, all, and the others renamed."""
+    store = Store(spark, Warehouse(scratch_folder(spark)))
+    listed = dims.us_airports(bindings.airports(spark, sf_dir))
+    first = F.col("state_code") < "S3"
+    for rows in (listed.where(first), listed, listed.where(~first).withColumn("name", F.upper("name"))):
+        with store.load() as load:
+            pipeline.write_dimension(load, "us_airports", dims.occurrences(rows), "ident", "occurrence")
+            load.publish()
+    return store.table("us_airports").select("ident", "name", "iata_code", "state_code", "id")
 
 
 def _as_text(field: T.StructField) -> Column:
@@ -524,6 +574,10 @@ QUERIES: dict[str, Query] = {
     "quality_lookup_conflicts": quality_lookup_conflicts,
     "fact_partitioned_roundtrip": fact_partitioned_roundtrip,
     "monthly_load": monthly_load,
+    "maintained_cube": maintained_cube,
+    "maintained_timeframe": maintained_timeframe,
+    "lasting_date_ids": lasting_date_ids,
+    "lasting_airport_ids": lasting_airport_ids,
     "csv_source_roundtrip": csv_source_roundtrip,
     "label_file_roundtrip": label_file_roundtrip,
     "full_pipeline": full_pipeline,

@@ -355,6 +355,10 @@ _STORED_COLUMNS = {
 }
 
 
+# Arrivals that remain after the registered loads of the same months.
+_LOADED = "arrival_month <> 12 AND (arrival_month % 2 = 0 OR travel_mode <> 'Sea')"
+
+
 def statements() -> dict[str, str]:
     removed, earlier = [], []
     for c in ("arrdate", "depdate", "i94mode", "i94visa", "biryear", "gender"):
@@ -552,9 +556,23 @@ def statements() -> dict[str, str]:
             GROUP BY 1, 2 HAVING count(*) > 1""",
         "fact_partitioned_roundtrip": f"{fact} {_TIMEFRAME}",
         "monthly_load": f"""{fact}
-            SELECT arrival_year, arrival_month, count(*) AS arrivals FROM fact
-            WHERE arrival_month <> 12 AND (arrival_month % 2 = 0 OR travel_mode <> 'Sea')
-            GROUP BY 1, 2""",
+            SELECT arrival_year, arrival_month, count(*) AS arrivals, cast(sum(immigration_id) AS bigint) AS id_sum
+            FROM fact WHERE {_LOADED} GROUP BY 1, 2""",
+        "maintained_cube": f"""{fact}
+            SELECT travel_mode, visa_category, arrival_year,
+                   cast(grouping(travel_mode, visa_category, arrival_year) AS bigint) AS grouping_id,
+                   count(*) AS arrivals FROM fact WHERE {_LOADED}
+            GROUP BY CUBE (travel_mode, visa_category, arrival_year)""",
+        "maintained_timeframe": f"""{fact}, stored AS (SELECT * FROM fact WHERE {_LOADED})
+            {_TIMEFRAME.replace('FROM fact', 'FROM stored')}""",
+        "lasting_date_ids": f"""{fact}, seen AS (
+              SELECT arrival_date, min(CASE WHEN arrival_month <= 6 THEN 1 ELSE 2 END) AS load FROM fact GROUP BY 1)
+            SELECT arrival_date, row_number() OVER (ORDER BY load, arrival_date NULLS FIRST) - 1 AS id FROM seen""",
+        "lasting_airport_ids": f"""WITH {_AIRPORTS}, ids AS (
+              SELECT ident, row_number() OVER (ORDER BY CASE WHEN state_code < 'S3' THEN 1 ELSE 2 END, ident) - 1 AS id
+              FROM airports)
+            SELECT airports.ident, upper(name) AS name, iata_code, state_code, ids.id
+            FROM airports JOIN ids ON airports.ident = ids.ident WHERE NOT state_code < 'S3'""",
         "csv_source_roundtrip": f"WITH {_CODEBOOK},{_CITIES},{_COORDINATES},{_TEMPERATURE},{_AIRPORTS} "
         + " UNION ALL ".join(_column(*c) for c in _CSV_COLUMNS),
         "label_file_roundtrip": f"""WITH {_COUNTRY_LABELS}, country_labels AS (

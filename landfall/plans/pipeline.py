@@ -3,25 +3,28 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from landfall.functions import text
-from landfall.operators import dims, quality
-from landfall.operators.clean import clean_arrivals, null_audit
+from landfall.operators import dims, fact as facts, quality
+from landfall.operators.clean import Audited, clean_arrivals
 from landfall.operators.codebook import valid_countries
-from landfall.operators.fact import build_fact
-from landfall.operators.keys import scratch_removed
+from landfall.operators.keys import dense_id, fixed, lasting_ids, scratch_removed
 from landfall.operators.quality import Reference
-from landfall.sources import readers, sinks
+from landfall.sources import readers
 from landfall.sources.labels import labels_of, read_labels
 from landfall.sources.paths import Inputs, Warehouse
+from landfall.sources.versions import Load, Store
+
+
+STAR = ("immigration_fact", "arrival_time", "country", "us_population_demographics", "us_airports")
 
 
 @dataclass(frozen=True)
 class Run:
-    """Stored tables, read back, with lazily computed reports."""
+    """Tables of the version that the run published, and its reports."""
 
     tables: dict[str, DataFrame]
     audit: DataFrame
@@ -29,13 +32,11 @@ class Run:
     nonempty: DataFrame
 
 
-def read_tables(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
-    fact = readers.read_fact(spark, warehouse.path("immigration_fact"))
-    names = ("arrival_time", "country", "us_population_demographics", "us_airports")
-    return {
-        "immigration_fact": fact,
-        **{name: spark.read.parquet(warehouse.path(name)) for name in names},
-    }
+def read_tables(spark: SparkSession, warehouse: Warehouse, number: int | None = None) -> dict[str, DataFrame]:
+    """The star schema of one version, the latest if not named."""
+    store = Store(spark, warehouse)
+    version = store.version(number)
+    return {name: store.table(name, version) for name in STAR}
 
 
 def read_codebook(spark: SparkSession, inputs: Inputs) -> DataFrame:
@@ -46,10 +47,25 @@ def read_codebook(spark: SparkSession, inputs: Inputs) -> DataFrame:
     return readers.read_country_codes(spark, inputs.country_codes)
 
 
-def months_of(raw: DataFrame) -> list[tuple[int | None, int | None]]:
-    """The months that arrival records come from, cleaned away or not: a few hundred at most."""
-    year, month = (F.col(c).try_cast("int") for c in ("i94yr", "i94mon"))
-    return [tuple(r) for r in raw.select(year, month).distinct().collect()]
+def write_dimension(load: Load, name: str, rows: DataFrame, *keys: str) -> None:
+    """Write a dimension, each row under the id that its key has had since it was first seen."""
+    known_name = f"{name}_ids"
+    if known_name not in load.base.tables:
+        numbered = dense_id(rows, *keys)
+        load.write_table(known_name, numbered)
+        load.write_table(name, numbered)
+        return
+    rows = fixed(rows)
+    known = load.table(known_name)
+    if (ids := lasting_ids(rows, known, *keys)) is not None:
+        known = load.write_table(known_name, ids)
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(known[c]) for c in keys])
+    load.write_table(name, rows.join(known, same).select(*[rows[c] for c in rows.columns], known["id"]))
+
+
+def write_date_dimension(load: Load) -> None:
+    """Dates of all months that the version will have, from the stored counts per day."""
+    write_dimension(load, "arrival_time", dims.arrival_dates(load.table("daily_arrivals")), "arrival_date")
 
 
 def run_pipeline(
@@ -59,44 +75,46 @@ def run_pipeline(
     replace_all: bool = False,
     rebalance: bool = True,
     strict: bool = False,
+    keep: int = 2,
 ) -> Run:
-    """Load the arrivals' months into the fact and rebuild the dimensions.
+    """Load the arrivals' months into the fact and rebuild the dimensions, as one version.
 
     Every month that the arrivals come from is replaced, also one whose records are
-    all cleaned away. The arrivals are read three times: four columns for the months
-    and dates, all for the fact, and six for the audit if it is asked for. The date
-    dimension reads one column of the stored fact.
+    all cleaned away. The arrivals are read once: the job that writes the fact audits them
+    too. What follows reads a few columns of the written files.
 
-    ``strict`` checks the load before anything is stored, at the cost of two narrow
-    scans more, and raises if a check of ``quality.load_report`` fails or, at the
-    end, a table is empty.
+    Nothing is visible before the last step; a run that fails leaves the tables as they
+    were. ``strict`` checks the written load, and raises if a check of
+    ``quality.load_report`` fails or a table would be empty. ``keep`` versions stay
+    readable.
     """
     raw = readers.read_arrivals(spark, inputs.arrivals, inputs.arrivals_format)
     temperature = readers.read_temperature(spark, inputs.temperature)
     demographics = readers.read_demographics(spark, inputs.demographics)
     airports = readers.read_airports(spark, inputs.airports)
     coordinates = readers.read_state_coordinates(spark, inputs.state_coordinates)
-    fact_path = warehouse.path("immigration_fact")
-    with scratch_removed(spark):
-        fact = build_fact(clean_arrivals(raw), read_codebook(spark, inputs))
+    store = Store(spark, warehouse)
+    with scratch_removed(spark), store.load(replace_all, keep) as load:
+        audited = Audited(raw.select(*facts.INPUTS))
+        load.write_fact(facts.build_fact(clean_arrivals(audited.rows), read_codebook(spark, inputs)), rebalance)
+        audit, months = audited.result(load.rows)
+        load.covers(months)
+        load.notes["audit"] = audit.first().asDict()
+        if strict:
+            quality.require_passed(quality.load_report(audit, load.own("immigration_fact")))
+        write_date_dimension(load)
+        write_dimension(load, "country", dims.country_temperatures(temperature), "country")
+        write_dimension(
+            load, "us_population_demographics", dims.state_populations(demographics, coordinates), "state_code"
+        )
+        write_dimension(load, "us_airports", dims.occurrences(dims.us_airports(airports)), "ident", "occurrence")
         if strict:
-            quality.require_passed(quality.load_report(raw, fact))
-        sinks.write_fact(fact, fact_path, replace_all, rebalance, months_of(raw))
-        built = {
-            "arrival_time": dims.build_date_dim(readers.read_fact(spark, fact_path)),
-            "country": dims.build_temperature_dim(temperature),
-            "us_population_demographics": dims.build_demographics_dim(demographics, coordinates),
-            "us_airports": dims.build_airports_dim(airports),
-        }
-        for name, table in built.items():
-            sinks.write_table(table, warehouse.path(name))
-
-    tables = read_tables(spark, warehouse)
-    nonempty = quality.nonempty_report(tables)
-    if strict:
-        quality.require_passed(nonempty)
+            quality.require_passed(quality.nonempty_report({name: load.table(name) for name in STAR}))
+        version = load.publish()
+
+    tables = {name: store.table(name, version) for name in STAR}
     sources = quality.source_report(temperature, demographics, airports)
-    return Run(tables, null_audit(raw), sources, nonempty)
+    return Run(tables, audit, sources, quality.nonempty_report(tables))
 
 
 def key_checks(tables: dict[str, DataFrame]) -> DataFrame:

@@ -56,7 +56,12 @@ FACT = _schema(
 # First and last date in each month folder of the fact.
 FACT_RANGES = _schema(
     arrival_year=_INT, arrival_month=_INT, first_date=_DATE, last_date=_DATE,
-    settled=T.BooleanType(),
+)
+
+# Arrivals per day, mode and visa category, stored by month beside the fact.
+DAILY = _schema(
+    arrival_date=_DATE, travel_mode=_STR, visa_category=_STR, arrivals=_LONG,
+    arrival_year=_INT, arrival_month=_INT,
 )
 
 ARRIVAL_TIME = _schema(
@@ -75,4 +80,17 @@ AIRPORTS = _schema(
     id=_LONG,
 )
 
+STORED = {
+    "immigration_fact": FACT,
+    "arrival_time": ARRIVAL_TIME,
+    "country": COUNTRY,
+    "us_population_demographics": DEMOGRAPHICS,
+    "us_airports": AIRPORTS,
+    "daily_arrivals": DAILY,
+    "arrival_time_ids": _schema(arrival_date=_DATE, id=_LONG),
+    "country_ids": _schema(country=_STR, id=_LONG),
+    "us_population_demographics_ids": _schema(state_code=_STR, id=_LONG),
+    "us_airports_ids": _schema(ident=_STR, occurrence=_INT, id=_LONG),
+}
+
 LABELS = _schema(format=_STR, code=_STR, label=_STR)

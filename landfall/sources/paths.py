@@ -28,6 +28,12 @@ TABLES = {
     "country": "temperature/temperature.parquet",
     "us_population_demographics": "demographics/demographics.parquet",
     "us_airports": "airports/airports.parquet",
+    # Not of the star schema: counts per month and the ids given out.
+    "daily_arrivals": "immigration/daily_arrivals.parquet",
+    "arrival_time_ids": "arrivals/arrival_time_ids.parquet",
+    "country_ids": "temperature/temperature_ids.parquet",
+    "us_population_demographics_ids": "demographics/demographics_ids.parquet",
+    "us_airports_ids": "airports/airports_ids.parquet",
 }
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import schemas
-from landfall.sources.sinks import ranges_path
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -73,16 +72,6 @@ def read_airports(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return read_csv(spark, path, schemas.AIRPORTS_RAW, multi_line=multi_line)
 
 
-def read_fact_ranges(spark: SparkSession, path: str) -> DataFrame | None:
-    """First and last date in each month folder of the fact at ``path``; None if none are kept."""
-    folder = ranges_path(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return None
-    stored = spark.read.schema(schemas.FACT_RANGES).parquet(folder)
-    return stored.select(*schemas.FACT_RANGES.names)
-
-
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The stored fact. Filters on arrival_year and arrival_month prune its folders."""
+    """A fact in one folder, as the stream appends to it. Filters on arrival_year and arrival_month prune its folders."""
     return spark.read.schema(schemas.FACT).parquet(path).select(*schemas.FACT.names)

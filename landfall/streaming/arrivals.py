@@ -9,7 +9,7 @@ from landfall import schemas
 from landfall.operators.clean import clean_arrivals
 from landfall.operators.fact import build_fact
 from landfall.sources.readers import conform
-from landfall.sources.sinks import PARTITION_COLUMNS
+from landfall.sources.versions import PARTITION_COLUMNS
 
 
 def load_new_files(

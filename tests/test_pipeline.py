@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from landfall.operators import quality
 from landfall.plans import analytics, pipeline
-from landfall.sources import readers, sinks
+from landfall.sources import readers
 from landfall.sources.paths import Warehouse
+from landfall.sources.versions import Store
 from landfall.streaming.arrivals import load_new_files
 from tests.shapes import CHANGES, arrivals, write_inputs
 
@@ -81,7 +82,7 @@ def test_strict_run_raises_on_an_empty_table(spark, tmp_path):
     }
     with pytest.raises(quality.DataQualityError, match="rows kept"):
         pipeline.run_pipeline(spark, inputs, Warehouse(str(tmp_path / "b")), strict=True)
-    assert not (tmp_path / "b").exists()
+    assert not [p for p in (tmp_path / "b").rglob("*") if p.is_file() and not p.name.startswith(".")]
 
 
 MAY = {"i94mon": 5.0, "arrdate": 20580.0, "depdate": 20590.0}
@@ -110,21 +111,29 @@ def test_a_month_without_a_usable_record_is_cleared(spark, tmp_path):
     withdrawn = arrivals(spark, {**MAY, "gender": None}, {"i94mon": None, "gender": None})
     run = pipeline.run_pipeline(spark, write_inputs(spark, tmp_path / "in2", withdrawn), warehouse)
     assert [r[0] for r in run.tables["immigration_fact"].select("immigration_id").collect()] == [1]
-    ranges = readers.read_fact_ranges(spark, warehouse.path("immigration_fact")).collect()
-    assert [(r["arrival_year"], r["arrival_month"], r["settled"]) for r in ranges] == [(2016, 4, True)]
+    ranges = Store(spark, warehouse).ranges().collect()
+    assert [(r["arrival_year"], r["arrival_month"]) for r in ranges] == [(2016, 4)]
+
+
+def stored_fact(spark, root, rows, **how):
+    """A store with one load of fact rows."""
+    store = Store(spark, Warehouse(str(root)))
+    with store.load() as load:
+        load.write_fact(rows, **how)
+        load.publish()
+    return store
 
 
 def test_misfiled_rows_are_found_in_their_timeframe(spark, tmp_path):
     from landfall.operators.fact import build_fact
 
     rows = arrivals(spark, {}, {"i94mon": 9.0}, {"i94mon": None}, MAY, {"i94yr": None})
-    path = str(tmp_path / "fact")
-    sinks.write_fact(build_fact(rows, None).withColumns({"country": F.lit("x"), "country_of_residence": F.lit("x")}), path)
+    store = stored_fact(spark, tmp_path / "fact", build_fact(rows, None))
     april = (dt.date(2016, 4, 1), dt.date(2016, 4, 30))
-    stored, ranges = readers.read_fact(spark, path), readers.read_fact_ranges(spark, path)
+    stored, ranges = store.table("immigration_fact"), store.ranges()
     assert tuple(analytics.arrivals_in_timeframe(stored, *april, ranges).first()) == (2016, 4, 4)
     assert tuple(quality.partition_report(stored).first()) == (5, 3, False)
-    assert readers.read_fact_ranges(spark, str(tmp_path / "none")) is None
+    assert Store(spark, Warehouse(str(tmp_path / "none"))).ranges().collect() == []
 
 
 def test_a_run_leaves_no_scratch_behind(spark, tmp_path):
@@ -227,7 +236,6 @@ def test_rebalanced_write_equals_plain_write(spark, tmp_path):
     fact = build_fact(arrivals(spark, *CHANGES), codebook(spark))
     tables = {}
     for rebalance in (False, True):
-        path = str(tmp_path / str(rebalance))
-        sinks.write_fact(fact, path, rebalance=rebalance)
-        tables[rebalance] = sorted(map(repr, readers.read_fact(spark, path).collect()))
+        store = stored_fact(spark, tmp_path / str(rebalance), fact, rebalance=rebalance)
+        tables[rebalance] = sorted(map(repr, store.table("immigration_fact").collect()))
     assert tables[True] == tables[False]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from landfall.operators import lookup
 from landfall.plans import analytics, catalog
-from landfall.sources import readers, sinks
+from landfall.sources.paths import Warehouse
+from landfall.sources.versions import Store
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries that are read back from files hold only the last step in their plan.
@@ -84,11 +85,12 @@ def test_numbering_moves_only_counts_to_one_task(spark):
 
 
 def test_months_are_pruned_and_dates_pushed_down(spark, tmp_path):
-    path = str(tmp_path / "fact")
-    sinks.write_fact(catalog.fact(spark, SF_DIR), path, rebalance=True)
-    stored, ranges = readers.read_fact(spark, path), readers.read_fact_ranges(spark, path)
+    store = Store(spark, Warehouse(str(tmp_path)))
+    with store.load() as load:
+        load.write_fact(catalog.fact(spark, SF_DIR))
+        load.publish()
     plan = plan_of(
-        analytics.arrivals_in_timeframe(stored, *catalog.TIMEFRAME, ranges), "formatted"
+        analytics.arrivals_in_timeframe(store.table("immigration_fact"), *catalog.TIMEFRAME, store.ranges()), "formatted"
     )
     assert re.search(r"PartitionFilters: \[.*arrival_year.*arrival_month", plan)
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(arrival_date", plan)
