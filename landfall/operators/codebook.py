@@ -64,16 +64,32 @@ def decode_ports(labels: DataFrame, states: DataFrame) -> DataFrame:
     )
 
 
-# Each round doubles the hops that are followed: 2**6 are more than any code book chains.
-_ROUNDS = 6
+def _chain_ends(hops: DataFrame) -> DataFrame:
+    """(_from, _to) of the end of each chain of ``hops`` (_from, _to; each _from once).
+
+    Every round doubles the hops that are followed, until none leads further or more hops
+    were followed than there are, when what still moves runs in a circle. A round writes
+    one table of a row per hop.
+    """
+    n, followed = hops.count(), 1
+    while followed <= n:
+        onward = hops.select(F.col("_from").alias("_next"), F.col("_to").alias("_after"))
+        moved = fixed(
+            hops.join(onward, hops["_to"] == onward["_next"], "left")
+            .select("_from", F.coalesce("_after", "_to").alias("_to"), F.col("_after").isNotNull().alias("_moved"))
+        )
+        if moved.where("_moved").isEmpty():
+            break
+        hops, followed = moved.select("_from", "_to"), 2 * followed
+    return hops
 
 
 def resolve_port_aliases(labels: DataFrame) -> DataFrame:
     """code and label of each port; a collapsed port's target, and the port it ends at.
 
-    Targets that are collapsed themselves are followed to a port that is not. A chain that
-    ends at an unlisted code or runs in a circle has no resolved code and label. Of several
-    labels under one code the lowest counts as target.
+    Targets that are collapsed themselves are followed, however many, to a port that is
+    not. A chain that ends at an unlisted code or runs in a circle has no resolved code and
+    label. Of several labels under one code the lowest counts as target.
     """
     ports = labels.select(
         "code", F.trim("label").alias("label"), codes.port_alias_target("label").alias("target_code")
@@ -82,17 +98,10 @@ def resolve_port_aliases(labels: DataFrame) -> DataFrame:
         ports.groupBy("code").agg(F.min(F.struct("label", "target_code")).alias("_port"))
         .select(F.col("code").alias("_code"), "_port.*")
     )
-    # Where each collapsed port leads; the few aliases are measured as one small table.
-    hops = fixed(
+    hops = _chain_ends(
         known.where(F.col("target_code").isNotNull())
         .select(F.col("_code").alias("_from"), F.col("target_code").alias("_to"))
     )
-    for _ in range(_ROUNDS):
-        onward = hops.select(F.col("_from").alias("_next"), F.col("_to").alias("_after"))
-        moved = fixed(lookup_join(hops, onward, "_to", "_next"))
-        hops = moved.select("_from", F.coalesce("_after", "_to").alias("_to"))
-        if moved.where(F.col("_after").isNotNull()).isEmpty():
-            break
     ends = known.where(F.col("target_code").isNull()).select(
         F.col("_code").alias("_end"), F.col("label").alias("_label")
     )

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import codes, dates
-from landfall.operators.keys import fixed
-from landfall.operators.lookup import country_names, decode_country, is_small
+from landfall.operators.lookup import country_names, decode_country, measured
 
 
 # The raw columns that the fact and its cleaning use.
@@ -20,10 +19,9 @@ INPUTS = (
 def add_countries(df: DataFrame, codebook: DataFrame) -> DataFrame:
     """Add country and country_of_residence from the two country codes.
 
-    The names are written once, measured, and joined in both roles.
+    One copy of the names is joined in both roles.
     """
-    names = fixed(country_names(codebook))
-    small = is_small(names)
+    names, small = measured(country_names(codebook))
     coded = df.withColumns(
         {"_cit": codes.whole_code("i94cit"), "_res": codes.whole_code("i94res")}
     )

@@ -28,6 +28,23 @@ def is_small(
     return size["n_rows"] <= max_rows and (size["n_bytes"] or 0) <= max_bytes
 
 
+def known_small(df: DataFrame) -> bool:
+    """Whether Catalyst's own size estimate is far below the bound, which starts no job.
+
+    The estimate comes from the sizes of files, which may hold a few times as much when
+    read, so an eighth of the bound counts.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= MAX_BROADCAST_BYTES // 8
+
+
+def measured(lookup: DataFrame) -> tuple[DataFrame, bool]:
+    """A lookup to join, and whether it is small; written and measured only if Catalyst cannot tell."""
+    if known_small(lookup):
+        return lookup, True
+    lookup = fixed(lookup)
+    return lookup, is_small(lookup)
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -38,15 +55,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``df`` to a lookup that has one row per key, and drop the lookup's key.
 
-    Unless ``small`` says what is known of its size, the lookup is written once
-    and that copy is measured and joined. A small one is broadcast. With a larger
-    one both sides are shuffled; as the lookup's own aggregation is cut off before
-    that shuffle, adaptive execution can split a hot key, or the missing keys, over
-    several tasks.
+    Unless ``small`` says what is known of its size, a lookup from small files is
+    broadcast as it is, and any other is written once and that copy is measured and
+    joined. A small one is broadcast. With a larger one both sides are shuffled; as the
+    lookup's own aggregation is cut off before that shuffle, adaptive execution can split
+    a hot key, or the missing keys, over several tasks.
     """
     if small is None:
-        lookup = fixed(lookup)
-        small = is_small(lookup)
+        lookup, small = measured(lookup)
     if small:
         lookup = F.broadcast(lookup)
     return df.join(lookup, df[key] == lookup[lookup_key], how).drop(lookup[lookup_key])

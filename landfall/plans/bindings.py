@@ -169,6 +169,17 @@ def port_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def port_chain_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One more port label line per part: chains of up to a thousand collapsed ports."""
+    return _lines(
+        table(spark, sf_dir, "part"),
+        """concat('   ''C', cast(p_partkey as string), '''\t=\t''',
+            case when p_partkey % 1000 = 1 then concat(upper(p_name), ', AA')
+                else concat('Collapsed (C', cast(p_partkey - 1 as string), ') 06/15') end,
+            '''')""",
+    )
+
+
 def state_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One state label line per nation; some hold a semicolon."""
     return _lines(

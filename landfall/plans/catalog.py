@@ -121,9 +121,8 @@ def port_label_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def port_alias_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return codebook.resolve_port_aliases(
-        codebook.label_rows(bindings.port_label_lines(spark, sf_dir))
-    )
+    lines = bindings.port_label_lines(spark, sf_dir).unionAll(bindings.port_chain_lines(spark, sf_dir))
+    return codebook.resolve_port_aliases(codebook.label_rows(lines))
 
 
 def state_other_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -414,7 +414,12 @@ def statements() -> dict[str, str]:
         "codebook_valid_countries": f"""WITH {_COUNTRY_LABELS}
             SELECT code, label AS description FROM labels WHERE code_class = 'valid'""",
         "port_label_parse": f"WITH {_PORT_LABELS} SELECT code, label, city, state FROM labels",
-        "port_alias_resolve": f"""WITH {_PORT_LABELS}
+        "port_alias_resolve": f"""WITH {_PORT_LABELS.replace('labels AS', 'own_labels AS')}
+            , labels AS (
+              SELECT code, label, target_code FROM own_labels UNION ALL
+              SELECT 'C' || cast(k AS varchar),
+                     CASE WHEN k % 1000 = 1 THEN place || ', AA' ELSE 'Collapsed (C' || cast(k - 1 AS varchar) || ') 06/15' END,
+                     CASE WHEN k % 1000 <> 1 THEN 'C' || cast(k - 1 AS varchar) END FROM ports)
             , ends AS (
               WITH RECURSIVE walk AS (
                 SELECT code AS start, target_code AS place FROM labels WHERE target_code IS NOT NULL

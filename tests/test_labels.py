@@ -110,6 +110,18 @@ def test_aliases(book):
     assert rows["Q1X"] == (None, "Q1X", "UPPER QUAY, VV")
 
 
+def test_chains_of_any_length_end_and_circles_do_not(spark):
+    def label(target):
+        return f"Collapsed ({target}) 06/15"
+
+    rows = [("P0", "THE END, AA")] + [(f"P{i}", label(f"P{i - 1}")) for i in range(1, 301)]
+    rows += [(f"C{i}", label(f"C{(i + 1) % 200}")) for i in range(200)] + [("D", label("C7")), ("E", label("P300")), ("F", label("F"))]
+    labels = spark.createDataFrame(rows, "code string, label string")
+    found = {r["code"]: r["resolved_code"] for r in codebook.resolve_port_aliases(labels).collect()}
+    assert len(found) == len(rows)
+    assert all(found[c] == ("P0" if c[0] in "PE" else None) for c in found)
+
+
 def test_states(spark, book):
     df = spark.createDataFrame([("VV",), ("AA",), ("--",), (None,)], "c string")
     decoded = codebook.decode_states(df, labels_of(book, "$realml"), "c", "name").collect()

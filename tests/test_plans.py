@@ -36,10 +36,11 @@ def test_no_python_and_no_pairs(spark, name):
 def test_fact_is_never_shuffled(spark):
     plan = plan_of(catalog.fact(spark, SF_DIR))
     assert plan.count("BroadcastHashJoin") >= 3
-    # The names were written once and are read in both roles.
-    assert len(set(re.findall(r"landfall-\w+", plan_of(catalog.fact(spark, SF_DIR), "formatted")))) == 1
+    # Small files need no copy and no measuring job.
+    assert "landfall-" not in plan_of(catalog.fact(spark, SF_DIR), "formatted")
+    # The few names are grouped by code before they are broadcast; nothing else moves.
     exchanges = re.findall(r"Exchange (hashpartitioning\(\w+|SinglePartition|rangepart\w+)", plan)
-    assert not exchanges
+    assert set(exchanges) <= {"hashpartitioning(code"}
 
 
 def jobs_of(spark, build):
@@ -61,6 +62,18 @@ def test_nothing_is_measured_where_no_name_is_asked_for(spark, query):
     assert "nation" not in plan and "LeftOuter" not in plan
 
 
+def test_names_are_broadcast_once_for_both_roles(spark):
+    df = catalog.fact(spark, SF_DIR)
+    df.collect()
+    assert plan_of(df).split("Initial Plan")[0].count("ReusedExchange") >= 1
+
+
+def test_lookups_of_unknown_size_are_written_and_measured(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", 1000)
+    plan = plan_of(catalog.fact(spark, SF_DIR), "formatted")
+    assert len(set(re.findall(r"landfall-\w+", plan))) == 1
+
+
 def test_readings_are_scanned_once(spark):
     plan = plan_of(catalog.star_join_country(spark, SF_DIR), "formatted")
     assert "events.parquet" not in plan
