@@ -174,7 +174,7 @@ def port_chain_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(
         table(spark, sf_dir, "part"),
         """concat('   ''C', cast(p_partkey as string), '''\t=\t''',
-            case when p_partkey % 1000 = 1 then concat(upper(p_name), ', AA')
+            case when p_partkey % 1000 = 0 then concat(upper(p_name), ', AA')
                 else concat('Collapsed (C', cast(p_partkey - 1 as string), ') 06/15') end,
             '''')""",
     )

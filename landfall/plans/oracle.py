@@ -418,8 +418,8 @@ def statements() -> dict[str, str]:
             , labels AS (
               SELECT code, label, target_code FROM own_labels UNION ALL
               SELECT 'C' || cast(k AS varchar),
-                     CASE WHEN k % 1000 = 1 THEN place || ', AA' ELSE 'Collapsed (C' || cast(k - 1 AS varchar) || ') 06/15' END,
-                     CASE WHEN k % 1000 <> 1 THEN 'C' || cast(k - 1 AS varchar) END FROM ports)
+                     CASE WHEN k % 1000 = 0 THEN place || ', AA' ELSE 'Collapsed (C' || cast(k - 1 AS varchar) || ') 06/15' END,
+                     CASE WHEN k % 1000 <> 0 THEN 'C' || cast(k - 1 AS varchar) END FROM ports)
             , ends AS (
               WITH RECURSIVE walk AS (
                 SELECT code AS start, target_code AS place FROM labels WHERE target_code IS NOT NULL
