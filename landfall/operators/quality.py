@@ -214,12 +214,13 @@ def conflict_report(lookups: dict[str, tuple[DataFrame, str, list[str]]]) -> Dat
     ])
 
 
-def load_report(audit: DataFrame, fact: DataFrame) -> DataFrame:
+def load_report(audit: DataFrame, fact: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """check, failures and passed of one load, before it is visible.
 
     ``audit`` is the audit of the arrival records, ``fact`` the fact rows made of them. The checks are: rows
     read are kept or charged to a column, some row is kept, ids are unique, and no dated
-    row is filed under another month.
+    row is filed under another month. ``repeated`` are ids that other months hold: there
+    must be none.
     """
     def failed_unless(check: str, holds: Column) -> Column:
         failures = F.when(holds, 0).otherwise(1).cast("long")
@@ -237,7 +238,11 @@ def load_report(audit: DataFrame, fact: DataFrame) -> DataFrame:
     filed = partition_report(fact).select(
         F.lit("filed under own month").alias("check"), F.col("misplaced_rows").alias("failures")
     )
-    return _union([audit, ids, filed]).withColumn("passed", F.col("failures") == 0)
+    checks = [audit, ids, filed]
+    if repeated is not None:
+        failures = F.countDistinct("immigration_id").alias("failures")
+        checks.append(repeated.agg(failures).select(F.lit("ids in no other month").alias("check"), "failures"))
+    return _union(checks).withColumn("passed", F.col("failures") == 0)
 
 
 def shared_coordinates(demographics: DataFrame, places: int = 4) -> DataFrame:

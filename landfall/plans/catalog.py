@@ -307,10 +307,20 @@ def quality_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_lookup_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conflicts of code books to which others were added that partly disagree."""
+    customer = bindings.table(spark, sf_dir, "customer")
+    more_codes = customer.selectExpr(
+        "cast(c_custkey % 60 as int) as code",
+        "if(c_custkey % 60 < 30, concat('LAND ', c_custkey % 60), c_mktsegment) as description",
+    )
+    more_states = bindings.table(spark, sf_dir, "supplier").selectExpr(
+        "concat('S', cast(40 + s_nationkey as string)) as code",
+        "if(s_suppkey % 5 = 0, 'OTHER', concat(s_nationkey, ' STATE')) as label",
+    )
     return pipeline.lookup_checks(
-        bindings.country_codes(spark, sf_dir),
+        bindings.country_codes(spark, sf_dir).unionAll(more_codes),
         bindings.state_coordinates(spark, sf_dir),
-        bindings.states(spark, sf_dir),
+        bindings.states(spark, sf_dir).unionAll(more_states),
     )
 
 
@@ -410,6 +420,20 @@ def lasting_airport_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.table("us_airports").select("ident", "name", "iata_code", "state_code", "id")
 
 
+def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of a reload of every December, some of them taken by a record of another month, and where."""
+    store = Store(spark, Warehouse(scratch_folder(spark)))
+    rows = unnamed_fact(spark, sf_dir)
+    with store.load() as load:
+        load.write_fact(rows)
+        load.write_id_filters()
+        load.publish()
+    mistaken = "case when immigration_id % 7 = 0 then immigration_id - 1 else immigration_id end"
+    with store.load() as load:
+        load.write_fact(rows.where("arrival_month = 12").withColumn("immigration_id", F.expr(mistaken)))
+        return fixed(load.repeated_ids())
+
+
 def _as_text(field: T.StructField) -> Column:
     """A value as text that other engines spell alike; doubles to three places."""
     column = F.col(f"`{field.name}`")
@@ -577,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "maintained_timeframe": maintained_timeframe,
     "lasting_date_ids": lasting_date_ids,
     "lasting_airport_ids": lasting_airport_ids,
+    "repeated_ids": repeated_ids,
     "csv_source_roundtrip": csv_source_roundtrip,
     "label_file_roundtrip": label_file_roundtrip,
     "full_pipeline": full_pipeline,

@@ -563,6 +563,11 @@ def statements() -> dict[str, str]:
         "monthly_load": f"""{fact}
             SELECT arrival_year, arrival_month, count(*) AS arrivals, cast(sum(immigration_id) AS bigint) AS id_sum
             FROM fact WHERE {_LOADED} GROUP BY 1, 2""",
+        "repeated_ids": f"""{fact}, mistaken AS (
+              SELECT DISTINCT CASE WHEN immigration_id % 7 = 0 THEN immigration_id - 1 ELSE immigration_id END AS id
+              FROM fact WHERE arrival_month = 12)
+            SELECT DISTINCT immigration_id, arrival_year, arrival_month
+            FROM fact JOIN mistaken ON immigration_id = id WHERE arrival_month <> 12""",
         "maintained_cube": f"""{fact}
             SELECT travel_mode, visa_category, arrival_year,
                    cast(grouping(travel_mode, visa_category, arrival_year) AS bigint) AS grouping_id,
@@ -603,10 +608,21 @@ def statements() -> dict[str, str]:
                        OR month(arrival_date) IS DISTINCT FROM arrival_month)) FROM fact)
             SELECT "check", cast(failures AS bigint) AS failures, failures = 0 AS passed FROM checks""",
         "quality_lookup_conflicts": """
-            SELECT 'country codes' AS lookup, cast(0 AS bigint) AS conflicting_keys, true AS passed
-            UNION ALL SELECT 'state coordinates', count(*) FILTER (WHERE n_nationkey % 3 = 0),
-                   count(*) FILTER (WHERE n_nationkey % 3 = 0) = 0 FROM nation
-            UNION ALL SELECT 'states', 0, true""",
+            WITH codes AS (
+              SELECT n_nationkey + 4 AS code, r_name || ' ' || n_name || ' ' AS value FROM nation JOIN region ON n_regionkey = r_regionkey
+              UNION ALL SELECT c_custkey % 60, CASE WHEN c_custkey % 60 < 30 THEN 'LAND ' || (c_custkey % 60) ELSE c_mktsegment END FROM customer),
+            states AS (
+              SELECT 'S' || (n_nationkey + 5) AS code, n_name || ' STATE' AS value FROM nation
+              UNION ALL SELECT 'S' || (40 + s_nationkey), CASE WHEN s_suppkey % 5 = 0 THEN 'OTHER' ELSE s_nationkey || ' STATE' END FROM supplier),
+            places AS (
+              SELECT 'S' || (n_nationkey + 2) AS code, CASE WHEN copy = 1 AND n_nationkey % 3 = 0 THEN 'none' ELSE cast(n_nationkey AS varchar) END AS value
+              FROM nation, (VALUES (0), (1)) c(copy)),
+            found AS (
+              SELECT 'country codes' AS lookup, cast(code AS varchar) AS code, value FROM codes
+              UNION ALL SELECT 'states', code, value FROM states UNION ALL SELECT 'state coordinates', code, value FROM places),
+            per_code AS (SELECT lookup, code, count(DISTINCT value) AS n FROM found GROUP BY 1, 2)
+            SELECT lookup, count(*) FILTER (WHERE n > 1) AS conflicting_keys, count(*) FILTER (WHERE n > 1) = 0 AS passed
+            FROM per_code GROUP BY 1""",
         # The whole run has no tie-break column to go by: the lowest reading counts.
         "full_pipeline": f"WITH {_STAR} ".replace("reading_no NULLS LAST, ", "") + " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS row_count, "

@@ -84,8 +84,8 @@ def run_pipeline(
     too. What follows reads a few columns of the written files.
 
     Nothing is visible before the last step; a run that fails leaves the tables as they
-    were. ``strict`` checks the written load, and raises if a check of
-    ``quality.load_report`` fails or a table would be empty. ``keep`` versions stay
+    were. ``strict`` checks the written load, also for ids that other months hold, and
+    raises if a check of ``quality.load_report`` fails or a table would be empty. ``keep`` versions stay
     readable.
     """
     raw = readers.read_arrivals(spark, inputs.arrivals, inputs.arrivals_format)
@@ -100,8 +100,10 @@ def run_pipeline(
         audit, months = audited.result(load.rows)
         load.covers(months)
         load.notes["audit"] = audit.first().asDict()
+        load.write_id_filters()
         if strict:
-            quality.require_passed(quality.load_report(audit, load.own("immigration_fact")))
+            report = quality.load_report(audit, load.own("immigration_fact"), load.repeated_ids())
+            quality.require_passed(report)
         write_date_dimension(load)
         write_dimension(load, "country", dims.country_temperatures(temperature), "country")
         write_dimension(

@@ -80,6 +80,9 @@ AIRPORTS = _schema(
     id=_LONG,
 )
 
+# Filters of the record ids, stored by month beside the fact.
+ID_FILTERS = _schema(part=_INT, bits=T.BinaryType(), arrival_year=_INT, arrival_month=_INT)
+
 STORED = {
     "immigration_fact": FACT,
     "arrival_time": ARRIVAL_TIME,
@@ -87,6 +90,7 @@ STORED = {
     "us_population_demographics": DEMOGRAPHICS,
     "us_airports": AIRPORTS,
     "daily_arrivals": DAILY,
+    "id_filters": ID_FILTERS,
     "arrival_time_ids": _schema(arrival_date=_DATE, id=_LONG),
     "country_ids": _schema(country=_STR, id=_LONG),
     "us_population_demographics_ids": _schema(state_code=_STR, id=_LONG),

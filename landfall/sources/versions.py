@@ -14,13 +14,15 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import schemas
+from landfall.operators.id_filters import build_filters, hits
+from landfall.operators.keys import fixed
 from landfall.operators.ranking import counts_by
 from landfall.sources.files import Files
 from landfall.sources.paths import TABLES, Warehouse, join_path
@@ -29,7 +31,7 @@ PARTITION_COLUMNS = ("arrival_year", "arrival_month")
 # What the file layout names the folder of a missing value.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 #: Tables that are stored by month; the others are replaced whole.
-BY_MONTH = ("immigration_fact", "daily_arrivals")
+BY_MONTH = ("immigration_fact", "daily_arrivals", "id_filters")
 
 Month = tuple[int | None, int | None]
 
@@ -46,6 +48,7 @@ class StoredMonth:
     arrivals: int
     first_date: str | None
     last_date: str | None
+    filtered: bool = False  # whether a filter of its ids is stored
 
     @property
     def month(self) -> Month:
@@ -169,7 +172,7 @@ class Store:
 
     def _named(self, name: str, root: str, version: Version) -> list[str]:
         if name in BY_MONTH:
-            return [m.folder(root) for m in version.months]
+            return [m.folder(root) for m in version.months if name != "id_filters" or m.filtered]
         return [join_path(root, f"load={version.tables[name]}")] if name in version.tables else []
 
 
@@ -234,6 +237,32 @@ class Load:
         ]
         self.covered |= {m.month for m in self.months}
 
+    def write_id_filters(self) -> None:
+        """Write a filter of the ids of each month; months loaded without one are always read."""
+        filters = build_filters(self.own("immigration_fact"), *PARTITION_COLUMNS)
+        filters.write.partitionBy(*PARTITION_COLUMNS).parquet(self._path("id_filters"))
+        self.months = [replace(m, filtered=True) for m in self.months]
+
+    def repeated_ids(self) -> DataFrame:
+        """(immigration_id, arrival_year, arrival_month) of the load's ids that another month holds.
+
+        Of the other months' fact, only those are read whose filter may hold one of the
+        ids, and of these only the ids.
+        """
+        others = [m for m in self.version.months if m.load != self.id]
+        ids = self.own("immigration_fact").select("immigration_id")
+        filtered, blind = [m for m in others if m.filtered], [m for m in others if not m.filtered]
+        found = fixed(hits(ids, self.store.table("id_filters", months=filtered)))
+        # One row per month at most.
+        hit = {tuple(r) for r in found.select(*PARTITION_COLUMNS).distinct().collect()}
+        doubtful = self.store.table("immigration_fact", months=[m for m in filtered if m.month in hit])
+        columns = ("immigration_id", *PARTITION_COLUMNS)
+        sure = doubtful.select(*columns).join(found.select("immigration_id").distinct(), "immigration_id", "left_semi")
+        if not blind:
+            return sure.distinct()
+        unfiltered = self.store.table("immigration_fact", months=blind).select(*columns)
+        return sure.unionAll(unfiltered.join(ids.distinct(), "immigration_id", "left_semi")).distinct()
+
     def covers(self, months: Iterable[Month]) -> None:
         """Months that the load brings whole, also those of which it has no row: these are cleared."""
         self.covered |= set(months)

@@ -220,3 +220,59 @@ def test_versions_are_plain_text(spark, tmp_path):
     assert text["months"][0]["first_date"] == str(store.ranges(version).first()["first_date"])
     assert versions.Version.of(version.as_text()) == version
     assert store.table("immigration_fact").agg(F.count("*")).first()[0] == 1
+
+
+def loaded(store, rows, filters=True):
+    with store.load(keep=9) as making:
+        making.write_fact(rows)
+        if filters:
+            making.write_id_filters()
+        making.publish()
+
+
+def test_ids_repeated_in_another_month_are_found_without_reading_the_others(spark, tmp_path):
+    store = Store(spark, Warehouse(str(tmp_path)))
+    june = {"i94mon": 6.0, "arrdate": 20610.0}
+    loaded(store, facts(spark, *[{"cicid": float(i)} for i in range(50)], {"cicid": None}))
+    loaded(store, facts(spark, *[{**june, "cicid": float(i)} for i in range(100, 150)], {**june, "cicid": None}))
+    with store.load() as making:
+        making.write_fact(facts(spark, {**MAY, "cicid": 7.0}, {**MAY, "cicid": 7.0}, {**MAY, "cicid": 500.0}, {**MAY, "cicid": None}))
+        found = making.repeated_ids()
+        assert [tuple(r) for r in found.collect()] == [(7, 2016, 4)]
+        plan = plan_of(found, "formatted")
+        read = [line for line in plan.splitlines() if "Location:" in line and "immigration.parquet" in line]
+        assert read and all("arrival_month=4" in line and "arrival_month=6" not in line for line in read)
+        making.publish()
+    # Months stored without filters are read, and a reloaded month does not count against itself.
+    loaded(store, facts(spark, {**june, "cicid": 600.0}), filters=False)
+    with store.load() as making:
+        making.write_fact(facts(spark, *[{"cicid": i} for i in (1.0, 600.0, 500.0, 3.0)]))
+        assert sorted(map(tuple, making.repeated_ids().collect())) == [(600, 2016, 6)]
+    with store.load() as making:
+        making.write_fact(facts(spark, {**MAY, "cicid": 500.0}).limit(0))
+        assert making.repeated_ids().collect() == []
+
+
+def test_a_strict_run_refuses_ids_of_another_month(spark, tmp_path):
+    from landfall.operators import quality
+
+    warehouse = Warehouse(str(tmp_path / "out"))
+    pipeline.run_pipeline(spark, write_inputs(spark, tmp_path / "a", arrivals(spark, {}, {"cicid": 2.0})), warehouse, strict=True)
+    again = write_inputs(spark, tmp_path / "b", arrivals(spark, MAY, {**MAY, "cicid": 2.0}, {**MAY, "cicid": 3.0}))
+    with pytest.raises(quality.DataQualityError, match="ids in no other month.*2"):
+        pipeline.run_pipeline(spark, again, warehouse, strict=True)
+    assert Store(spark, warehouse).numbers() == [1]
+
+
+def test_filters_hold_their_ids_and_few_others():
+    import numpy as np
+
+    from landfall.operators import id_filters
+
+    rng = np.random.default_rng(1)
+    inside, outside = rng.integers(0, 2**63, (2, 50_000)).astype(np.uint64) * np.uint64(2)
+    bits = id_filters.filter_bits(inside)
+    assert len(bits) == 150_000
+    assert id_filters.may_hold(bits, inside).all()
+    assert id_filters.may_hold(bits, outside).mean() < 0.001
+    assert id_filters.may_hold(id_filters.filter_bits(inside[:0]), outside[:3]).tolist() == [False] * 3
