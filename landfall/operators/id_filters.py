@@ -13,12 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Of a filter's parts; a month of a thousand million rows has parts of 3 MB.
-PARTS = 1024
 _BITS_PER_ID, _PROBES = 24, 8
-_PART_BITS = 10
+#: Ids of a part of a filter, about; 200 KB. A filter has at most 2**_MOST_BITS parts.
+_PART_IDS, _MOST_BITS = 1 << 16, 14
 
-FILTERS = "part int, bits binary"
+FILTERS = "part_bits int, part int, bits binary"
 HITS = "arrival_year int, arrival_month int, immigration_id long, hash long"
 
 
@@ -26,8 +25,14 @@ def _hash(column: str) -> Column:
     return F.xxhash64(column)
 
 
-def _part(hash: Column) -> Column:
-    return F.shiftrightunsigned(hash, 64 - _PART_BITS).cast("int")
+def part_bits(rows: int) -> int:
+    """How many leading bits of the hash number the parts of a month of so many rows."""
+    return min(_MOST_BITS, max(0, -(-rows // _PART_IDS) - 1).bit_length())
+
+
+def _part(bits: Column) -> Column:
+    # A shift by 64 would be none.
+    return F.when(bits == 0, 0).otherwise(F.expr("shiftrightunsigned(hash, 64 - part_bits)")).cast("int")
 
 
 def _probes(hashes: np.ndarray, n_bits: int) -> np.ndarray:
@@ -55,26 +60,34 @@ def may_hold(bits: bytes, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def build_filters(fact: DataFrame, *by: str) -> DataFrame:
-    """(part, bits, by...) of the ids of each month; a part without an id has no row. Null ids are in none.
+def build_filters(fact: DataFrame, months: list[tuple[int | None, int | None, int]], by: tuple[str, str]) -> DataFrame:
+    """(part_bits, part, bits, by...) of the ids of each month; a part without an id has no row.
 
-    Ids are made distinct before they are grouped, so copies of one id are no hot group.
+    ``months`` has year, month and number of rows of each. Null ids are in no filter. Ids
+    are made distinct before they are grouped, so copies of one id are no hot group.
     """
+    year, month = by
+
     def build(key: tuple, table: pa.Table) -> pa.Table:
         bits = filter_bits(table["hash"].to_numpy().view(np.uint64))
-        row = {"part": [key[-1].as_py()], "bits": [bits]} | {name: [k.as_py()] for name, k in zip(by, key)}
-        types = {"part": pa.int32(), "bits": pa.binary()} | {name: pa.int32() for name in by}
-        return pa.table({name: pa.array(value, types[name]) for name, value in row.items()})
+        row = [*[pa.array([k.as_py()], pa.int32()) for k in key[2:]], pa.array([bits], pa.binary())]
+        return pa.Table.from_arrays([*row, *[pa.array([k.as_py()], pa.int32()) for k in key[:2]]], names=["part_bits", "part", "bits", *by])
 
+    sizes = fact.sparkSession.createDataFrame([(y, m, part_bits(n)) for y, m, n in months], "_year int, _month int, part_bits int")
     ids = fact.where("immigration_id is not null").select(*by, _hash("immigration_id").alias("hash")).distinct()
-    parted = ids.withColumn("part", _part(F.col("hash")))
-    return parted.groupBy(*by, "part").applyInArrow(build, FILTERS + "".join(f", {name} int" for name in by))
+    # A row per month of the load.
+    same = ids[year].eqNullSafe(sizes["_year"]) & ids[month].eqNullSafe(sizes["_month"])
+    parted = ids.join(F.broadcast(sizes), same).withColumn("part", _part(F.col("part_bits")))
+    grouped = parted.groupBy(*by, "part_bits", "part")
+    return grouped.applyInArrow(build, FILTERS + "".join(f", {name} int" for name in by))
 
 
-def hits(ids: DataFrame, filters: DataFrame) -> DataFrame:
+def hits(ids: DataFrame, filters: DataFrame, most_bits: int) -> DataFrame:
     """(arrival_year, arrival_month, immigration_id, hash) of every id that a month's filter may hold.
 
-    Both sides are dealt by part, and a task tests its ids against one filter after another.
+    Both sides are dealt by the parts of the largest filters, of which ``most_bits`` is the
+    part_bits; a part of a smaller filter goes to all of these that it covers. A task tests
+    its ids against one filter after another.
     """
     def probe(left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {"arrival_year": [], "arrival_month": [], "immigration_id": [], "hash": []}
@@ -90,6 +103,8 @@ def hits(ids: DataFrame, filters: DataFrame) -> DataFrame:
         return pa.table({name: pa.array(x, t) for (name, x), t in zip(out.items(), types)})
 
     own = ids.where("immigration_id is not null").select("immigration_id").distinct()
-    own = own.withColumn("hash", _hash("immigration_id"))
-    left = own.withColumn("part", _part(F.col("hash")))
-    return left.groupBy("part").cogroup(filters.groupBy("part")).applyInArrow(probe, HITS)
+    left = own.withColumns({"hash": _hash("immigration_id"), "part_bits": F.lit(most_bits)})
+    left = left.withColumn("part", _part(F.col("part_bits"))).drop("part_bits")
+    covered = f"shiftleft(1, {most_bits} - part_bits)"
+    right = filters.withColumn("part", F.explode(F.expr(f"sequence(part * {covered}, (part + 1) * {covered} - 1)")))
+    return left.groupBy("part").cogroup(right.groupBy("part")).applyInArrow(probe, HITS)

@@ -81,7 +81,7 @@ AIRPORTS = _schema(
 )
 
 # Filters of the record ids, stored by month beside the fact.
-ID_FILTERS = _schema(part=_INT, bits=T.BinaryType(), arrival_year=_INT, arrival_month=_INT)
+ID_FILTERS = _schema(part_bits=_INT, part=_INT, bits=T.BinaryType(), arrival_year=_INT, arrival_month=_INT)
 
 STORED = {
     "immigration_fact": FACT,

@@ -70,8 +70,3 @@ def read_state_coordinates(spark: SparkSession, path: str, multi_line: bool = Fa
 
 def read_airports(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv(spark, path, schemas.AIRPORTS_RAW, multi_line=multi_line)
-
-
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """A fact in one folder, as the stream appends to it. Filters on arrival_year and arrival_month prune its folders."""
-    return spark.read.schema(schemas.FACT).parquet(path).select(*schemas.FACT.names)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import schemas
-from landfall.operators.id_filters import build_filters, hits
+from landfall.operators.id_filters import build_filters, hits, part_bits
 from landfall.operators.keys import fixed
 from landfall.operators.ranking import counts_by
 from landfall.sources.files import Files
@@ -190,6 +190,8 @@ class Load:
     def __enter__(self) -> Load:
         self.store.recover()
         self.base = self.store.version()
+        # Notes stay until a load writes them anew.
+        self.notes = dict(self.base.notes)
         self.id = f"{self.base.number + 1:08d}-{uuid.uuid4().hex[:12]}"
         self.store.files.write(self.store._marker(self.id), "")
         return self
@@ -239,7 +241,8 @@ class Load:
 
     def write_id_filters(self) -> None:
         """Write a filter of the ids of each month; months loaded without one are always read."""
-        filters = build_filters(self.own("immigration_fact"), *PARTITION_COLUMNS)
+        sizes = [(*m.month, m.arrivals) for m in self.months]
+        filters = build_filters(self.own("immigration_fact"), sizes, PARTITION_COLUMNS)
         filters.write.partitionBy(*PARTITION_COLUMNS).parquet(self._path("id_filters"))
         self.months = [replace(m, filtered=True) for m in self.months]
 
@@ -252,7 +255,8 @@ class Load:
         others = [m for m in self.version.months if m.load != self.id]
         ids = self.own("immigration_fact").select("immigration_id")
         filtered, blind = [m for m in others if m.filtered], [m for m in others if not m.filtered]
-        found = fixed(hits(ids, self.store.table("id_filters", months=filtered)))
+        most_bits = max((part_bits(m.arrivals) for m in filtered), default=0)
+        found = fixed(hits(ids, self.store.table("id_filters", months=filtered), most_bits))
         # One row per month at most.
         hit = {tuple(r) for r in found.select(*PARTITION_COLUMNS).distinct().collect()}
         doubtful = self.store.table("immigration_fact", months=[m for m in filtered if m.month in hit])

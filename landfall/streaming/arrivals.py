@@ -1,44 +1,82 @@
-"""New arrival files appended to a fact as they come in."""
+"""New arrival files merged into the stored fact as they come in."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from landfall import schemas
+from landfall.operators import fact as facts
 from landfall.operators.clean import clean_arrivals
-from landfall.operators.fact import build_fact
+from landfall.operators.keys import fixed, scratch_removed
+from landfall.plans.pipeline import write_date_dimension
 from landfall.sources.readers import conform
-from landfall.sources.versions import PARTITION_COLUMNS
+from landfall.sources.versions import Store
+
+#: What a load notes of the streams that feed the store: the last batch of each.
+_BATCHES = "stream_batches"
+
+
+def merge_batch(store: Store, raw: DataFrame, codebook: DataFrame, stream: str, batch: int, keep: int = 2) -> bool:
+    """Publish one batch of raw arrival records; False if it was published before.
+
+    A record replaces the stored ones with its id in its own month, also if it is itself
+    cleaned away; a record without an id replaces none. Only months that the batch has
+    records of are written anew, each whole. The batch's number becomes visible together
+    with its rows, by the same write, so a batch that is tried again after a failure counts
+    once. Copies of a record within a batch all stay, as in a batch load.
+    """
+    noted = store.version().notes.get(_BATCHES, {})
+    if noted.get(stream, -1) >= batch:
+        return False
+    with scratch_removed(store.spark), store.load(keep=keep) as load:
+        raw = fixed(raw.select(*facts.INPUTS))
+        year, month = (F.col(c).try_cast("int") for c in ("i94yr", "i94mon"))
+        keyed = raw.select(F.col("cicid").try_cast("long").alias("_id"), year.alias("_year"), month.alias("_month")).distinct()
+        # A few hundred months at most.
+        touched = {tuple(r) for r in keyed.select("_year", "_month").distinct().collect()}
+        stored = store.table("immigration_fact", months=[m for m in load.base.months if m.month in touched])
+        same = (
+            (stored["immigration_id"] == keyed["_id"])
+            & stored["arrival_year"].eqNullSafe(keyed["_year"])
+            & stored["arrival_month"].eqNullSafe(keyed["_month"])
+        )
+        kept = stored.join(keyed, same, "left_anti")
+        new = facts.build_fact(clean_arrivals(raw), codebook)
+        load.write_fact(kept.unionByName(new))
+        load.covers(touched)
+        write_date_dimension(load)
+        load.notes[_BATCHES] = noted | {stream: batch}
+        load.publish()
+    return True
 
 
 def load_new_files(
     spark: SparkSession,
     arrivals: str,
     codebook: DataFrame,
-    fact_path: str,
+    store: Store,
     checkpoint_path: str,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Append every parquet extract file not loaded before, then stop.
+    """Merge every parquet extract file not loaded before into the store, then stop.
 
-    Rows are cleaned and decoded by the same functions as in the batch load and
-    keep no state. The file sink commits each file once, also across failures.
-    Keep its fact folder apart from one written by the batch load: a file sink
-    reads its folder by its own commit log.
+    The checkpoint folder names the stream, and the store knows the last batch of it that
+    was published. Rows are cleaned and decoded by the same functions as in the batch load.
     """
     # The files' own types, converted as in the batch load.
     reader = spark.readStream.schema(spark.read.parquet(arrivals).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    fact = build_fact(
-        clean_arrivals(conform(reader.parquet(arrivals), schemas.ARRIVALS_RAW)), codebook
-    )
+    rows = conform(reader.parquet(arrivals), schemas.ARRIVALS_RAW)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        merge_batch(store, batch, codebook, checkpoint_path, number)
+
     return (
-        fact.writeStream.format("parquet")
-        .partitionBy(*PARTITION_COLUMNS)
+        rows.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
         .trigger(availableNow=True)
-        .start(fact_path)
+        .start()
     )

@@ -214,19 +214,47 @@ def test_cube_totals(spark, tmp_path):
     assert len(totals) == 8 and {r[1] for r in totals} == {fact.count()}
 
 
-def test_stream_loads_each_file_once(spark, tmp_path):
+def test_stream_merges_each_file_once(spark, tmp_path):
     from tests.test_fact import codebook
 
-    source, fact, state = (str(tmp_path / n) for n in ("in", "fact", "state"))
-    for month, expected in ((4.0, 1), (5.0, 2), (None, 2)):
-        if month:
-            arrivals(spark, {"cicid": month, "i94mon": month}, {"gender": None}).write.mode(
-                "append"
-            ).parquet(source)
-        load_new_files(spark, source, codebook(spark), fact, state, max_files=1).awaitTermination()
-        assert readers.read_fact(spark, fact).count() == expected
-    stored = {r["immigration_id"]: r for r in readers.read_fact(spark, fact).collect()}
-    assert stored[5]["arrival_month"] == 5 and stored[5]["country"] == "Northland"
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    store = Store(spark, Warehouse(str(tmp_path / "out")))
+    deliveries = [
+        [{"cicid": 4.0}, {"cicid": 5.0}, {"cicid": None}, {"gender": None}], [{**MAY, "cicid": 5.0}], None,
+        # a correction, a withdrawal, a new record and one without an id
+        [{"cicid": 4.0, "visatype": "ZZ"}, {"cicid": 5.0, "gender": None}, {"cicid": 6.0}, {"cicid": None}],
+    ]
+    wanted = [[(4, 4), (4, 5), (4, None)], [(4, 4), (4, 5), (4, None), (5, 5)], None, [(4, 4), (4, 6), (4, None), (4, None), (5, 5)]]
+    found = []
+    for rows, expected in zip(deliveries, wanted):
+        if rows:
+            arrivals(spark, *rows).coalesce(1).write.mode("append").parquet(source)
+        before = store.version().number
+        load_new_files(spark, source, codebook(spark), store, state, max_files=1).awaitTermination()
+        if rows is None:
+            assert store.version().number == before
+        found = expected or found
+        stored = store.table("immigration_fact").collect()
+        assert sorted(((r["arrival_month"], r["immigration_id"]) for r in stored), key=repr) == sorted(found, key=repr)
+    assert {r["visatype"] for r in stored if r["immigration_id"] == 4} == {"ZZ"}
+    assert {r["country"] for r in stored} == {"Northland"}
+    assert store.table("arrival_time").count() == 2
+
+
+def test_a_batch_tried_again_counts_once(spark, tmp_path):
+    from landfall.streaming.arrivals import merge_batch
+    from tests.test_fact import codebook
+
+    store = Store(spark, Warehouse(str(tmp_path / "out")))
+    batch = arrivals(spark, {"cicid": None}, {"cicid": 2.0})
+    assert merge_batch(store, batch, codebook(spark), "s", 0)
+    assert not merge_batch(store, batch, codebook(spark), "s", 0)
+    assert store.table("immigration_fact").count() == 2
+    # A full load in between keeps what is known of the stream; another stream has its own numbers.
+    pipeline.run_pipeline(spark, write_inputs(spark, tmp_path / "in", arrivals(spark, MAY)), store.warehouse)
+    assert not merge_batch(store, batch, codebook(spark), "s", 0)
+    assert merge_batch(store, batch, codebook(spark), "t", 0) and merge_batch(store, batch, codebook(spark), "s", 1)
+    assert store.table("immigration_fact").where("arrival_month = 4").count() == 4
 
 
 def test_rebalanced_write_equals_plain_write(spark, tmp_path):

@@ -241,13 +241,13 @@ def test_ids_repeated_in_another_month_are_found_without_reading_the_others(spar
         assert [tuple(r) for r in found.collect()] == [(7, 2016, 4)]
         plan = plan_of(found, "formatted")
         read = [line for line in plan.splitlines() if "Location:" in line and "immigration.parquet" in line]
-        assert read and all("arrival_month=4" in line and "arrival_month=6" not in line for line in read)
+        assert read and all("arrival_month=4" in line and "arrival_month=6" not in line for line in read), read
         making.publish()
     # Months stored without filters are read, and a reloaded month does not count against itself.
     loaded(store, facts(spark, {**june, "cicid": 600.0}), filters=False)
     with store.load() as making:
         making.write_fact(facts(spark, *[{"cicid": i} for i in (1.0, 600.0, 500.0, 3.0)]))
-        assert sorted(map(tuple, making.repeated_ids().collect())) == [(600, 2016, 6)]
+        assert sorted(map(tuple, making.repeated_ids().collect())) == [(500, 2016, 5), (600, 2016, 6)]
     with store.load() as making:
         making.write_fact(facts(spark, {**MAY, "cicid": 500.0}).limit(0))
         assert making.repeated_ids().collect() == []
@@ -264,6 +264,21 @@ def test_a_strict_run_refuses_ids_of_another_month(spark, tmp_path):
     assert Store(spark, warehouse).numbers() == [1]
 
 
+def test_months_of_unlike_size_have_unlike_parts(spark, tmp_path, monkeypatch):
+    from landfall.operators import id_filters
+
+    assert [id_filters.part_bits(n) for n in (0, 1, 1 << 16, (1 << 16) + 1, 1 << 18, 1 << 50)] == [0, 0, 0, 1, 2, 14]
+    monkeypatch.setattr(id_filters, "_PART_IDS", 8)
+    store = Store(spark, Warehouse(str(tmp_path)))
+    loaded(store, facts(spark, *[{"cicid": float(i)} for i in range(100)], {**MAY, "cicid": 200.0}))
+    bits = store.table("id_filters").select("part_bits").distinct().collect()
+    assert sorted(r[0] for r in bits) == [0, 4]
+    with store.load() as making:
+        making.write_fact(facts(spark, *[{"i94mon": 6.0, "arrdate": 20610.0, "cicid": float(i)} for i in range(90, 210)]))
+        found = {r[0] for r in making.repeated_ids().select("immigration_id").collect()}
+    assert found == {*range(90, 100), 200}
+
+
 def test_filters_hold_their_ids_and_few_others():
     import numpy as np
 
