@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall import schemas
 from landfall.functions import codes, dates
 from landfall.operators import codebook, dims, fact as facts, quality, star
 from landfall.operators.clean import Audited, clean_arrivals, null_audit
@@ -470,18 +471,47 @@ def csv_source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, frames)
 
 
-def write_label_block(lines: DataFrame, format: str, close: str, root: str, per_file: int = 5000) -> None:
-    """Write label lines as files of about ``per_file`` entries each, in order, with a block of their own."""
-    opening = f"/* {format}, a value\n 1 = 'no label' */\n  value {format}\n"
-    files = max(1, -(-lines.count() // per_file))
-    entries = lines.select(F.regexp_replace("line", " ;$", "").alias("entry"))
+def write_text_files(entries: DataFrame, opening: str, closing: str, root: str, per_file: int = 5000) -> None:
+    """Write text entries as files of about ``per_file`` of them each, in order, each with its own frame."""
+    files = max(1, -(-entries.count() // per_file))
     body = F.array_join(F.sort_array(F.collect_list("entry")), "\n")
-    text = F.concat(F.lit(opening), body, F.lit(f"{close}\n 99 = 'after the end'"))
+    text = F.concat(F.lit(opening), body, F.lit(closing))
     dealt = entries.groupBy(F.pmod(F.xxhash64("entry"), F.lit(files)).alias("file")).agg(text.alias("value"))
     # A task may get several groups; each goes to a file of its own.
     dealt.select("value").write.option("maxRecordsPerFile", 1).mode("append").text(root)
 
 
+def write_label_block(lines: DataFrame, format: str, close: str, root: str, per_file: int = 5000) -> None:
+    """Write label lines as files of about ``per_file`` entries each, with a block of their own."""
+    opening = f"/* {format}, a value\n 1 = 'no label' */\n  value {format}\n"
+    entries = lines.select(F.regexp_replace("line", " ;$", "").alias("entry"))
+    write_text_files(entries, opening, f"{close}\n 99 = 'after the end'", root, per_file)
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of temperature files per outcome, kept or why not, with a checksum of their text.
+
+    A line per event; some lack fields or have one too many, some hold values that are no
+    date or no number.
+    """
+    root = scratch_folder(spark)
+    line = """concat_ws(',',
+        if(event_id % 19 = 0, 'soon', date_format(ts, 'yyyy-MM-dd')),
+        case when event_id % 17 = 0 then 'warm' when event_id % 13 = 0 then ''
+             else cast(cast(event_id % 400 as int) / 8 - 20 as string) end,
+        if(event_id % 23 = 0, null, concat('City ', event_id)),
+        if(event_id % 23 = 0, null, concat(event_type, ' land')),
+        if(event_id % 29 = 0, 'more', null))"""
+    lines = bindings.table(spark, sf_dir, "events").select(F.expr(line).alias("entry"))
+    write_text_files(lines, "dt,AverageTemperature,City,Country\n", "\n", root)
+    examined = fixed(readers.examined_csv(spark, root, schemas.TEMPERATURE_RAW))
+    outcome = F.coalesce("_reason", F.lit("kept")).alias("outcome")
+    return examined.groupBy(outcome).agg(
+        F.count("*").alias("records"), _checksum(F.col("_record")).alias("checksum"),
+        F.count_if(F.col("_file").endswith(".txt")).alias("with_file"),
+    )
+
+
 def label_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """format, code and label of every row of label files with country, port and state blocks."""
     root = scratch_folder(spark)
@@ -609,6 +639,7 @@ QUERIES: dict[str, Query] = {
     "lasting_airport_ids": lasting_airport_ids,
     "repeated_ids": repeated_ids,
     "csv_source_roundtrip": csv_source_roundtrip,
+    "csv_quarantine": csv_quarantine,
     "label_file_roundtrip": label_file_roundtrip,
     "full_pipeline": full_pipeline,
     "stream_new_files": stream_new_files,

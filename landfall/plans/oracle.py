@@ -585,6 +585,19 @@ def statements() -> dict[str, str]:
             FROM airports JOIN ids ON airports.ident = ids.ident WHERE NOT state_code < 'S3'""",
         "csv_source_roundtrip": f"WITH {_CODEBOOK},{_CITIES},{_COORDINATES},{_TEMPERATURE},{_AIRPORTS} "
         + " UNION ALL ".join(_column(*c) for c in _CSV_COLUMNS),
+        "csv_quarantine": f"""WITH lines AS (
+              SELECT CASE WHEN event_id % 23 = 0 OR event_id % 29 = 0 THEN 'number of fields'
+                          WHEN event_id % 19 = 0 AND event_id % 17 = 0 THEN 'unreadable: dt, AverageTemperature'
+                          WHEN event_id % 19 = 0 THEN 'unreadable: dt'
+                          WHEN event_id % 17 = 0 THEN 'unreadable: AverageTemperature' ELSE 'kept' END AS outcome,
+                     CASE WHEN event_id % 19 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d') END || ',' ||
+                     CASE WHEN event_id % 17 = 0 THEN 'warm' WHEN event_id % 13 = 0 THEN ''
+                          ELSE cast(cast(event_id % 400 AS double) / 8 - 20 AS varchar) END ||
+                     CASE WHEN event_id % 23 = 0 THEN '' ELSE ',City ' || event_id || ',' || event_type || ' land' END ||
+                     CASE WHEN event_id % 29 = 0 THEN ',more' ELSE '' END AS record
+              FROM events)
+            SELECT outcome, count(*) AS records, {_sum_of_hashes('record')} AS checksum, count(*) AS with_file
+            FROM lines GROUP BY 1""",
         "label_file_roundtrip": f"""WITH {_COUNTRY_LABELS}, country_labels AS (
               SELECT 'countryl' AS format, cast(code AS varchar) AS code,
                      label || CASE WHEN code % 7 = 3 THEN ' ' ELSE '' END AS label FROM labels),

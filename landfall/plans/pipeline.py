@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall import schemas
 from landfall.functions import text
 from landfall.operators import dims, fact as facts, quality
 from landfall.operators.clean import Audited, clean_arrivals
@@ -47,6 +48,25 @@ def read_codebook(spark: SparkSession, inputs: Inputs) -> DataFrame:
     return readers.read_country_codes(spark, inputs.country_codes)
 
 
+def csv_sources(spark: SparkSession, inputs: Inputs, load: Load | None = None) -> dict[str, DataFrame]:
+    """The CSV sources of the dimensions; with a load, without the records that go to its quarantine."""
+    places = {
+        "temperature": (inputs.temperature, schemas.TEMPERATURE_RAW, ","),
+        "demographics": (inputs.demographics, schemas.DEMOGRAPHICS_RAW, ";"),
+        "state_coordinates": (inputs.state_coordinates, schemas.STATE_COORDINATES_RAW, ","),
+        "airports": (inputs.airports, schemas.AIRPORTS_RAW, ","),
+    }
+    if load is None:
+        return {name: readers.read_csv(spark, path, schema, sep) for name, (path, schema, sep) in places.items()}
+    good, bad = {}, []
+    for name, (path, schema, sep) in places.items():
+        examined = fixed(readers.examined_csv(spark, path, schema, sep))
+        good[name], rejected = readers.sorted_out(examined, schema, name)
+        bad.append(rejected)
+    load.write_table("quarantine", reduce(DataFrame.unionByName, bad))
+    return good
+
+
 def write_dimension(load: Load, name: str, rows: DataFrame, *keys: str) -> None:
     """Write a dimension, each row under the id that its key has had since it was first seen."""
     known_name = f"{name}_ids"
@@ -76,6 +96,7 @@ def run_pipeline(
     rebalance: bool = True,
     strict: bool = False,
     keep: int = 2,
+    quarantine: bool = False,
 ) -> Run:
     """Load the arrivals' months into the fact and rebuild the dimensions, as one version.
 
@@ -86,15 +107,14 @@ def run_pipeline(
     Nothing is visible before the last step; a run that fails leaves the tables as they
     were. ``strict`` checks the written load, also for ids that other months hold, and
     raises if a check of ``quality.load_report`` fails or a table would be empty. ``keep`` versions stay
-    readable.
+    readable. With ``quarantine``, records of the CSV sources that lack fields or hold
+    values of another type take no part and are stored with the version, each with its
+    file and the reason; else what cannot be read is null.
     """
     raw = readers.read_arrivals(spark, inputs.arrivals, inputs.arrivals_format)
-    temperature = readers.read_temperature(spark, inputs.temperature)
-    demographics = readers.read_demographics(spark, inputs.demographics)
-    airports = readers.read_airports(spark, inputs.airports)
-    coordinates = readers.read_state_coordinates(spark, inputs.state_coordinates)
     store = Store(spark, warehouse)
     with scratch_removed(spark), store.load(replace_all, keep) as load:
+        sources = csv_sources(spark, inputs, load if quarantine else None)
         audited = Audited(raw.select(*facts.INPUTS))
         load.write_fact(facts.build_fact(clean_arrivals(audited.rows), read_codebook(spark, inputs)), rebalance)
         audit, months = audited.result(load.rows)
@@ -105,18 +125,19 @@ def run_pipeline(
             report = quality.load_report(audit, load.own("immigration_fact"), load.repeated_ids())
             quality.require_passed(report)
         write_date_dimension(load)
-        write_dimension(load, "country", dims.country_temperatures(temperature), "country")
-        write_dimension(
-            load, "us_population_demographics", dims.state_populations(demographics, coordinates), "state_code"
-        )
-        write_dimension(load, "us_airports", dims.occurrences(dims.us_airports(airports)), "ident", "occurrence")
+        write_dimension(load, "country", dims.country_temperatures(sources["temperature"]), "country")
+        states = dims.state_populations(sources["demographics"], sources["state_coordinates"])
+        write_dimension(load, "us_population_demographics", states, "state_code")
+        listed = dims.occurrences(dims.us_airports(sources["airports"]))
+        write_dimension(load, "us_airports", listed, "ident", "occurrence")
         if strict:
             quality.require_passed(quality.nonempty_report({name: load.table(name) for name in STAR}))
         version = load.publish()
 
     tables = {name: store.table(name, version) for name in STAR}
-    sources = quality.source_report(temperature, demographics, airports)
-    return Run(tables, audit, sources, quality.nonempty_report(tables))
+    read = csv_sources(spark, inputs)
+    report = quality.source_report(read["temperature"], read["demographics"], read["airports"])
+    return Run(tables, audit, report, quality.nonempty_report(tables))
 
 
 def key_checks(tables: dict[str, DataFrame]) -> DataFrame:

@@ -91,6 +91,7 @@ STORED = {
     "us_airports": AIRPORTS,
     "daily_arrivals": DAILY,
     "id_filters": ID_FILTERS,
+    "quarantine": _schema(source=_STR, file=_STR, record=_STR, reason=_STR),
     "arrival_time_ids": _schema(arrival_date=_DATE, id=_LONG),
     "country_ids": _schema(country=_STR, id=_LONG),
     "us_population_demographics_ids": _schema(state_code=_STR, id=_LONG),

@@ -28,7 +28,9 @@ TABLES = {
     "country": "temperature/temperature.parquet",
     "us_population_demographics": "demographics/demographics.parquet",
     "us_airports": "airports/airports.parquet",
-    # Not of the star schema: counts and id filters per month, and the ids given out.
+    # Not of the star schema: counts and id filters per month, records that could not be
+    # used, and the ids given out.
+    "quarantine": "quarantine/quarantine.parquet",
     "daily_arrivals": "immigration/daily_arrivals.parquet",
     "id_filters": "immigration/id_filters.parquet",
     "arrival_time_ids": "arrivals/arrival_time_ids.parquet",

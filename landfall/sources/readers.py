@@ -70,3 +70,45 @@ def read_state_coordinates(spark: SparkSession, path: str, multi_line: bool = Fa
 
 def read_airports(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv(spark, path, schemas.AIRPORTS_RAW, multi_line=multi_line)
+
+
+def examined_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """Every record of a CSV source as text, with its file, its record and why it cannot be used.
+
+    ``_reason`` is null for a good record, ``number of fields`` for one that has too few
+    or too many, and else names the declared columns whose value does not fit their type.
+    All columns must be read together, as Spark counts the fields that it is asked for:
+    write the result before counting anything.
+    """
+    names = read_csv_text(spark, path, sep).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_malformed"]])
+    rows = spark.read.schema(text).csv(
+        path, sep=sep, header=True, escape='"', enforceSchema=False, mode="PERMISSIVE",
+        columnNameOfCorruptRecord="_malformed",
+    )
+    declared = {f.name.lower(): f for f in schema}
+    unfit = [
+        F.when(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(declared[n.lower()].dataType).isNull(), declared[n.lower()].name)
+        for n in names
+        if n.lower() in declared
+    ]
+    unreadable = F.concat_ws(", ", *unfit)
+    fields = F.struct(*[F.col(f"`{n}`") for n in names])
+    return rows.select(
+        *[F.col(f"`{n}`") for n in names],
+        F.col("_metadata.file_path").alias("_file"),
+        F.coalesce("_malformed", F.to_csv(fields, {"sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})).alias("_record"),
+        F.when(F.col("_malformed").isNotNull(), "number of fields")
+        .when(unreadable != "", F.concat(F.lit("unreadable: "), unreadable))
+        .alias("_reason"),
+    )
+
+
+def sorted_out(examined: DataFrame, schema: T.StructType, source: str) -> tuple[DataFrame, DataFrame]:
+    """Good records with their declared types, and (source, file, record, reason) of the others."""
+    good = examined.where("_reason is null").drop("_file", "_record", "_reason")
+    bad = examined.where("_reason is not null").select(
+        F.lit(source).alias("source"), F.col("_file").alias("file"),
+        F.col("_record").alias("record"), F.col("_reason").alias("reason"),
+    )
+    return conform(good, schema), bad
