@@ -14,11 +14,19 @@ from landfall.functions import text
 from landfall.operators.lookup import lookup_join
 
 
-def temperature_by_name_key(country_dim: DataFrame) -> DataFrame:
-    """(name_key, average_temperature): spellings of one name share a row."""
-    return country_dim.groupBy(text.name_key("country").alias("name_key")).agg(
+def temperature_by_name_key(country_dim: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
+    """(name_key, average_temperature): spellings of one name share a row.
+
+    ``mapping`` (name_key, known_key) adds names that ``reconcile`` found to mean a
+    country of the dimension.
+    """
+    means = country_dim.groupBy(text.name_key("country").alias("name_key")).agg(
         F.avg("average_temperature").alias("average_temperature")
     )
+    if mapping is None:
+        return means
+    named = means.withColumnRenamed("name_key", "known_key").join(mapping, "known_key")
+    return means.unionAll(named.select("name_key", "average_temperature"))
 
 
 def airports_by_code(airports: DataFrame) -> DataFrame:
@@ -35,11 +43,15 @@ def airports_by_state(airports: DataFrame) -> DataFrame:
 
 
 def join_country(
-    fact: DataFrame, country_dim: DataFrame, name: str = "country_of_residence"
+    fact: DataFrame,
+    country_dim: DataFrame,
+    name: str = "country_of_residence",
+    mapping: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows with average_temperature of the named country."""
     keyed = fact.withColumn("_key", text.name_key(name))
-    return lookup_join(keyed, temperature_by_name_key(country_dim), "_key", "name_key").drop("_key")
+    means = temperature_by_name_key(country_dim, mapping)
+    return lookup_join(keyed, means, "_key", "name_key").drop("_key")
 
 
 def join_demographics(fact: DataFrame, demographics: DataFrame) -> DataFrame:

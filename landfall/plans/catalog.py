@@ -16,6 +16,7 @@ from landfall.operators import codebook, dims, fact as facts, quality, star
 from landfall.operators.clean import Audited, clean_arrivals, null_audit
 from landfall.operators.keys import fixed, scratch_folder
 from landfall.operators.ranking import counts_by, top_k
+from landfall.operators.reconcile import reconcile
 from landfall.plans import analytics, bindings, pipeline
 from landfall.sources import readers
 from landfall.sources.labels import read_labels
@@ -331,6 +332,19 @@ def quality_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reconciled_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of parts mapped to those of a list that spells some of them otherwise and lacks others."""
+    part = bindings.table(spark, sf_dir, "part")
+    names = part.selectExpr("concat(p_name, ' of ', p_brand) as name")
+    other = part.where("p_size % 6 <> 0").selectExpr("""case p_size % 5
+        when 0 then concat(replace(p_name, 'i', 'y'), ' of ', p_brand)
+        when 1 then concat(upper(p_name), ' Of the ', p_brand)
+        when 2 then concat(p_name, ', ', p_brand, 'X')
+        when 3 then concat(p_name, ' of ', p_brand)
+        else concat(p_type, ' ', p_name, ' ', p_brand) end as listed""")
+    return _rounded(reconcile(names, other, 0.85), "score")
+
+
 def quality_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.partition_report(unnamed_fact(spark, sf_dir))
 
@@ -628,6 +642,7 @@ QUERIES: dict[str, Query] = {
     "quality_orphans": quality_orphans,
     "quality_orphan_keys": quality_orphan_keys,
     "quality_partitions": quality_partitions,
+    "reconciled_names": reconciled_names,
     "quality_shared_coordinates": quality_shared_coordinates,
     "quality_load": quality_load,
     "quality_lookup_conflicts": quality_lookup_conflicts,

@@ -585,6 +585,28 @@ def statements() -> dict[str, str]:
             FROM airports JOIN ids ON airports.ident = ids.ident WHERE NOT state_code < 'S3'""",
         "csv_source_roundtrip": f"WITH {_CODEBOOK},{_CITIES},{_COORDINATES},{_TEMPERATURE},{_AIRPORTS} "
         + " UNION ALL ".join(_column(*c) for c in _CSV_COLUMNS),
+        "reconciled_names": f"""WITH a AS (SELECT DISTINCT {_key("p_name || ' of ' || p_brand")} AS k FROM part),
+            b AS (SELECT DISTINCT {_key("listed")} AS k FROM (
+              SELECT CASE p_size % 5 WHEN 0 THEN replace(p_name, 'i', 'y') || ' of ' || p_brand
+                     WHEN 1 THEN upper(p_name) || ' Of the ' || p_brand WHEN 2 THEN p_name || ', ' || p_brand || 'X'
+                     WHEN 3 THEN p_name || ' of ' || p_brand ELSE p_type || ' ' || p_name || ' ' || p_brand END AS listed
+              FROM part WHERE p_size % 6 <> 0)),
+            words AS (
+              SELECT 'a' AS side, k, unnest(list_distinct(string_split(k, ' '))) AS word FROM a WHERE k NOT IN (SELECT k FROM b)
+              UNION ALL SELECT 'b', k, unnest(list_distinct(string_split(k, ' '))) FROM b WHERE k NOT IN (SELECT k FROM a)),
+            rare AS (
+              SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY word) AS names FROM words)
+              QUALIFY row_number() OVER (PARTITION BY side, k ORDER BY names, word) <= 2),
+            pairs AS (
+              SELECT DISTINCT x.k AS name_key, y.k AS known_key FROM rare x JOIN rare y ON x.word = y.word AND x.side = 'a' AND y.side = 'b'),
+            scored AS (
+              SELECT *, 1 - cast(levenshtein(name_key, known_key) AS double) / greatest(length(name_key), length(known_key)) AS score
+              FROM pairs),
+            likely AS (SELECT * FROM scored WHERE score >= 0.85),
+            best AS (
+              SELECT *, row_number() OVER (PARTITION BY name_key ORDER BY score DESC, known_key) AS x,
+                     row_number() OVER (PARTITION BY known_key ORDER BY score DESC, name_key) AS y FROM likely)
+            SELECT name_key, known_key, round(score, 6) AS score FROM best WHERE x = 1 AND y = 1""",
         "csv_quarantine": f"""WITH lines AS (
               SELECT CASE WHEN event_id % 23 = 0 OR event_id % 29 = 0 THEN 'number of fields'
                           WHEN event_id % 19 = 0 AND event_id % 17 = 0 THEN 'unreadable: dt, AverageTemperature'

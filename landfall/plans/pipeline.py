@@ -14,6 +14,7 @@ from landfall.operators.clean import Audited, clean_arrivals
 from landfall.operators.codebook import valid_countries
 from landfall.operators.keys import dense_id, fixed, lasting_ids, scratch_removed
 from landfall.operators.quality import Reference
+from landfall.operators.reconcile import reconcile
 from landfall.sources import readers
 from landfall.sources.labels import labels_of, read_labels
 from landfall.sources.paths import Inputs, Warehouse
@@ -161,6 +162,16 @@ def lookup_checks(codebook: DataFrame, coordinates: DataFrame, states: DataFrame
     })
 
 
+def country_mapping(tables: dict[str, DataFrame], least: float = 0.8) -> DataFrame:
+    """Country names of the fact that no dimension row has, and the row each most likely means.
+
+    For ``star.join_country``; the scores are there to be looked at first.
+    """
+    fact = tables["immigration_fact"]
+    used = fact.select("country").distinct().unionAll(fact.select("country_of_residence").distinct())
+    return reconcile(used, tables["country"].select("country"), least)
+
+
 def reference_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Orphans of every documented foreign key of the fact."""
     countries, airports = tables["country"], tables["us_airports"]
