@@ -121,6 +121,42 @@ def test_the_later_of_two_loads_is_refused(spark, tmp_path):
     assert not list(tmp_path.rglob(f"load={slow.id}"))
 
 
+def test_reports_skip_row_groups_of_a_month(spark, tmp_path):
+    """Q8 filters on the visa category, and reports on one state or port find theirs in few row groups."""
+    import pyarrow.parquet as pq
+
+    rows = spark.range(0, 60_000, 1, 4).selectExpr(
+        "id as immigration_id", "2016 as arrival_year", "4 as arrival_month", "concat('P', id * 7 % 50) as port_of_entry",
+        "concat('S', id * 11 % 30) as destination_state", "element_at(array('Business', 'Pleasure', 'Student'), 1 + cast(id % 3 as int)) as visa_category",
+        "'Air' as travel_mode", "date'2016-04-01' as arrival_date",
+    )
+    block = spark.conf.get("parquet.block.size", None)
+    spark.conf.set("parquet.block.size", str(16 * 1024))
+    try:
+        store = Store(spark, Warehouse(str(tmp_path)))
+        load(store, rows)
+    finally:
+        spark.conf.unset("parquet.block.size") if block is None else spark.conf.set("parquet.block.size", block)
+    fact = store.table("immigration_fact")
+
+    def groups_with(column, value):
+        found = total = 0
+        for file in tmp_path.glob("immigration/immigration.parquet/**/*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            at = meta.schema.names.index(column)
+            for g in range(meta.num_row_groups):
+                stats = meta.row_group(g).column(at).statistics
+                total += 1
+                found += stats.min <= value <= stats.max
+        return found, total
+
+    business, total = groups_with("visa_category", "Business")
+    assert total >= 6 and business <= total // 2 + 1
+    state, _ = groups_with("destination_state", "S7")
+    assert state < total
+    assert fact.where("visa_category = 'Business'").count() == 20_000
+
+
 def test_only_covered_months_are_replaced(spark, tmp_path):
     store = Store(spark, Warehouse(str(tmp_path)))
     load(store, facts(spark, {}, MAY, {"i94mon": None}, {"i94yr": None, "i94mon": None}))
