@@ -258,6 +258,8 @@ class Load:
         ids, and of these only the ids.
         """
         others = [m for m in self.version.months if m.load != self.id]
+        if not others:
+            return self.store.table("immigration_fact", months=[]).select("immigration_id", *PARTITION_COLUMNS)
         ids = self.own("immigration_fact").select("immigration_id")
         filtered, blind = [m for m in others if m.filtered], [m for m in others if not m.filtered]
         most_bits = max((part_bits(m.arrivals) for m in filtered), default=0)
