@@ -305,8 +305,9 @@ def edge_ranges(docs: DataFrame, repeated: DataFrame, dedup: Dedup) -> DataFrame
         .drop("same_content", "opens", "content"), "edge-spans",
     )
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    # Copies of a row have one key and the same spans, which count once here.
     wanted = members.join(sizes, "bucket").groupBy("doc", "row").agg(
-        F.collect_list(F.struct("bucket", "first", "last", "anchor", "open", (F.col("n") > dedup.bucket_spans).alias("large"))).alias("spans")
+        F.collect_set(F.struct("bucket", "first", "last", "anchor", "open", (F.col("n") > dedup.bucket_spans).alias("large"))).alias("spans")
     )
     names = ["bucket", "doc", "row", "first", "anchor", "open", "large", "bytes"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
@@ -323,7 +324,8 @@ def edge_ranges(docs: DataFrame, repeated: DataFrame, dedup: Dedup) -> DataFrame
                         column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types)], names=names)
 
-    pieces = stored(docs.join(wanted, ["doc", "row"]).mapInArrow(cut, fields), "edge-bytes")
+    spans = docs.join(wanted, ["doc", "row"]).mapInArrow(cut, fields)
+    pieces = stored(spans.dropDuplicates(["bucket", "doc", "row", "first"]), "edge-bytes")
 
     def sort_buckets(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bucket", "ascending")])
@@ -383,7 +385,8 @@ def covered_ranges(docs: DataFrame, dedup: Dedup) -> DataFrame:
         "doc", "row", F.col("first").alias("start"), (F.col("first") + F.col("last") + dedup.length).alias("end")
     )
     both = whole.unionAll(edge_ranges(docs, repeated, dedup))
-    return both.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("ranges")).select(
+    # As a set: copies of a row have one key, and each would bring the ranges of all to every copy.
+    return both.groupBy("doc", "row").agg(F.collect_set(F.struct("start", "end")).alias("ranges")).select(
         "doc", "row", F.col("ranges.start").alias("starts"), F.col("ranges.end").alias("ends")
     )
 

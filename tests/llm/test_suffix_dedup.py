@@ -85,3 +85,15 @@ def test_covers_and_shifts():
 def test_empty(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, None, None, None, 0), (None, "", None, None, 0)]) == expected([(1, None), (None, "")])
+
+
+def test_copies_of_a_row_bring_each_range_once(spark):
+    rng = random.Random(8)
+    own = "".join(rng.choices("abcdefghijklmnop ", k=3000))
+    edge = (2, "x" * 20 + own[700:1100] + "y" * 30, None, None, 0)
+    rows = [(1, own, None, None, 0)] * 200 + [(None, own, None, None, 0)] * 50 + [edge]
+    assert run(spark, rows) == expected(rows)
+    docs = samples.frame(spark, rows).selectExpr("coalesce(doc_id, -1) as doc", "xxhash64(doc_id, text) as row", "text")
+    ranges = D.covered_ranges(docs, D.Dedup()).collect()
+    assert len(ranges) == 3
+    assert max(len(r["starts"]) for r in ranges) < 50
