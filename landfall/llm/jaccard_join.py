@@ -118,9 +118,9 @@ def frequency_classes(docs: DataFrame, join: Join) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, rarity: np.ndarray, join: Join) -> DataFrame:
-    """Per row: doc (id), n, set_id and the early tokens as bytes; nulls for an empty set."""
-    names = ["doc", "n", "set_id", "early"]
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    """Per row: doc (id), row (hash of the text), n, set_id and the early tokens as bytes; nulls for an empty set."""
+    names = ["doc", "row", "n", "set_id", "early"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,18 +136,23 @@ def shingle_sets(docs: DataFrame, rarity: np.ndarray, join: Join) -> DataFrame:
                 length = len(tokens) + join.shared - -(-join.percent * len(tokens) // 100)
                 ids.append(set_id(tokens))
                 early.append(ordered(tokens, rarity)[:length].tobytes())
-            columns = [batch["doc"], pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(early, pa.binary())]
+            columns = [batch["doc"], batch["row"], pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(early, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(zip(names, types))))
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE))).alias("doc"), "text")
-    return rows.mapInArrow(compute, "doc long, n long, set_id binary, early binary")
+    return keyed(docs).mapInArrow(compute, "doc long, row long, n long, set_id binary, early binary")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc, row, text): a row is found by its id and a hash of its text, as many rows may lack an id."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE)))
+    return docs.select(doc.alias("doc"), F.xxhash64("text").alias("row"), "text")
 
 
 def shingle_classes(sets: DataFrame) -> DataFrame:
-    """One row per distinct set: cid, set_id, n, its first token and the smallest id as doc."""
+    """One row per distinct set: cid, set_id, n, its first token, and doc and row of the smallest id."""
     one = sets.where("set_id is not null").groupBy("set_id").agg(
-        F.min("doc").alias("doc"), F.min("n").alias("n"), F.min(F.substring("early", 1, 8)).alias("first")
-    )
+        F.min(F.struct("doc", "row")).alias("least"), F.min("n").alias("n"), F.min(F.substring("early", 1, 8)).alias("first")
+    ).select("set_id", "least.doc", "least.row", "n", "first")
     # Written at once, which fixes the numbers.
     return stored(one.withColumn("cid", F.monotonically_increasing_id()), "shingle-classes")
 
@@ -270,15 +275,15 @@ def tree_links(sets: list[np.ndarray], labels: list[int], percent: int) -> list[
 def group_links(members: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """Links (a, b) of class numbers found in groups.
 
-    ``members`` has (gid, cid, doc, set_id, root): the classes that meet in each group. Their
-    texts come from ``docs`` (doc, text), so that only groups' sets are ever moved.
+    ``members`` has (gid, cid, doc, row, set_id, root): the classes that meet in each group. Their
+    texts come from ``docs`` (doc, row, text), so that only groups' sets are ever moved.
     """
     members = stored(members, "group-members")
     n = members.count()
     buckets = max(1, -(-n // join.group_rows))
     rows = members.withColumn("bucket", F.pmod(F.xxhash64("gid"), F.lit(buckets)))
     # A checked size decides how the texts are found: by broadcast members or by a shuffle.
-    texts = docs.join(F.broadcast(rows) if n <= join.broadcast_rows else rows, "doc").select(
+    texts = docs.join(F.broadcast(rows) if n <= join.broadcast_rows else rows, ["doc", "row"]).select(
         "bucket", "gid", "cid", "set_id", "root", "text"
     )
 
@@ -306,13 +311,13 @@ def group_links(members: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
 def _first_token_groups(classes: DataFrame, join: Join) -> DataFrame:
     """Classes with the same first token; many are dealt to groups of bounded size."""
     first = classes.select(
-        "cid", "doc", "set_id", "n", F.xxhash64("first").alias("token"), F.col("cid").alias("root")
+        "cid", "doc", "row", "set_id", "n", F.xxhash64("first").alias("token"), F.col("cid").alias("root")
     )
     counts = first.groupBy("token").agg(F.count("*").alias("m"), F.sum("n").alias("tokens")).where("m > 1")
     parts = F.greatest(F.ceil(F.col("m") / join.first_block), F.ceil(F.col("tokens") / join.first_tokens))
     part = F.pmod(F.xxhash64("set_id"), parts)
     return first.join(counts, "token").select(
-        F.xxhash64("token", part).alias("gid"), "cid", "doc", "set_id", "root"
+        F.xxhash64("token", part).alias("gid"), "cid", "doc", "row", "set_id", "root"
     )
 
 
@@ -333,8 +338,10 @@ def _early_rows(sets: DataFrame, classes: DataFrame) -> DataFrame:
                     "root": root.take(pa.array(at[part])),
                 })
 
-    own = classes.select("set_id", "doc", "n", "cid", F.nullif("root", F.col("cid")).alias("other_root"))
-    rows = sets.select("set_id", "doc", "early").join(own, ["set_id", "doc"])
+    key = ["set_id", "doc", "row"]
+    own = classes.select(*key, "n", "cid", F.nullif("root", F.col("cid")).alias("other_root"))
+    # A row that is repeated gives its class's tokens once.
+    rows = sets.where("set_id is not null").select(*key, "early").dropDuplicates(key).join(own, key)
     return rows.select("n", "cid", "other_root", "early").mapInArrow(
         explode, "token long, n int, cid long, root long"
     )
@@ -437,7 +444,7 @@ def _later_groups(sets: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
     )
     frequent = stored(known.unionAll(many), "frequent")
     members = stars.unionAll(_block_groups(frequent, join)).distinct()
-    return members.join(classes.select("cid", "doc", "set_id", "root"), "cid")
+    return members.join(classes.select("cid", "doc", "row", "set_id", "root"), "cid")
 
 
 _BAND = 4  # a band of sizes spans the threshold's ratio so many times
@@ -476,11 +483,11 @@ def class_components(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame,
     """(sets, classes, roots): the set of each row, the distinct sets, and (node, root) of linked classes."""
     sets = stored(shingle_sets(docs, frequency_classes(docs, join), join), "shingle-sets")
     classes = shingle_classes(sets)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE))).alias("doc"), "text")
+    texts = keyed(docs)
     first = group_links(_first_token_groups(classes, join), texts, join)
     roots = stored(connected_components(first), "roots")
     known = classes.join(roots, classes["cid"] == roots["node"], "left").select(
-        "cid", "doc", "set_id", "n", F.coalesce("root", "cid").alias("root")
+        "cid", "doc", "row", "set_id", "n", F.coalesce("root", "cid").alias("root")
     )
     later = group_links(_later_groups(sets, stored(known, "known-classes"), join), texts, join)
     return sets, classes, connected_components(first.unionAll(later))
@@ -501,7 +508,7 @@ def linked_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:
     least = placed.groupBy("root").agg(F.min("doc").alias("component"))
     component = placed.join(least, "root").select("set_id", "component")
     none = F.lit(int(_NONE))
-    return sets.drop("early").join(component, "set_id", "left").select(
+    return sets.drop("early", "row").join(component, "set_id", "left").select(
         F.nullif("doc", none).alias("doc_id"), F.col("n").alias("n_shingles"),
         F.nullif(F.coalesce("component", "doc"), none).alias("component_id"),
     )
@@ -510,7 +517,10 @@ def linked_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:
 def keep_one_each(docs: DataFrame, join: Join = Join(words=5, percent=80)) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id, then the longest set.
 
-    Rows without words are in no group and stay.
+    A null id counts as the largest. Of rows that repeat the kept id and set, the one whose text
+    has the smallest hash stays, then the one whose other columns come first as JSON. Rows without
+    words, with an empty or a null text, are in no group and all stay. An empty table gives an
+    empty one.
     """
     sets, classes, roots = class_components(docs, join)
     placed = classes.join(roots, classes["cid"] == roots["node"], "left").select(
@@ -535,6 +545,10 @@ def keep_one_each(docs: DataFrame, join: Join = Join(words=5, percent=80)) -> Da
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     marked = rows.mapInArrow(mark, f"{schema}, _set binary")
     wordless = marked.where("_set is null")
-    # Of rows that repeat the kept id and set, any is as good as another.
-    kept = marked.where("_set is not null").join(chosen, ["_doc", "_set"]).dropDuplicates(["_doc", "_set"])
+    whole = F.struct(*rows.columns)
+    order = F.struct(F.xxhash64("text"), F.to_json(F.struct(*[c for c in rows.columns if c != "text"])))
+    kept = (
+        marked.where("_set is not null").join(chosen, ["_doc", "_set"])
+        .groupBy("_doc", "_set").agg(F.min_by(whole, order).alias("kept")).select("kept.*")
+    )
     return kept.select(*restored).unionAll(wordless.select(*restored))

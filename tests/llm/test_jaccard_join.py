@@ -132,3 +132,23 @@ def test_components(spark):
 def test_empty(spark):
     assert J.linked_documents(samples.empty(spark)).collect() == []
     assert J.keep_one_each(samples.empty(spark)).collect() == []
+
+
+def test_many_rows_without_an_id(spark):
+    rows = [(None, *r[1:]) for r in variants(10, 60, 60, 3, 0) + variants(11, 60, 60, 40, 0)]
+    rows += variants(12, 20, 60, 3, 100) + [(7, "one row of six words here", None, None, 0)] * 40
+    rows += [rows[0]] * 30 + [(7, f"clashing id {k} " + rows[0][1], None, None, 0) for k in range(20)]
+    docs = samples.frame(spark, rows)
+    assert samples.plain(J.linked_documents(docs).collect()) == expected(rows)
+    # Each row meets the class of its own text alone.
+    sets = J.shingle_sets(docs, J.frequency_classes(docs, J.Join()), J.Join())
+    met = J.keyed(docs).join(J.shingle_classes(sets), ["doc", "row"])
+    assert met.count() <= len(rows)
+
+
+def test_of_equal_rows_the_same_one_stays(spark):
+    rows = [(None, "Five or six words of it", lang, s, 1) for lang in ("xb", "xa", None) for s in ("s2", None, "s1")]
+    rows += [(3, "five OR six words  of the", "xa", s, 1) for s in ("b", "a")]
+    kept = {tuple(map(tuple, J.keep_one_each(samples.frame(spark, x, parts=p)).select("doc_id", "text", "lang", "source").orderBy("text").collect()))
+            for x in (rows, rows[::-1]) for p in (1, 4)}
+    assert len(kept) == 1
