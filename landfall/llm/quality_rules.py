@@ -2,8 +2,9 @@
 
 The statistics are native expressions over each whole text. Rules are learned from a
 bounded sample of labelled statistics by sequential covering: a rule grows by the threshold
-condition that raises its gain most, is pruned on the part of the sample kept aside, and
-the rows it covers leave before the next one. The list becomes one ordered ``CASE WHEN``.
+condition that raises its gain most, is pruned to the length that does best on the folds it was
+not grown on, and the rows it covers leave before the next one. The list becomes one ordered
+``CASE WHEN``.
 """
 
 from __future__ import annotations
@@ -37,8 +38,10 @@ class Learning:
     max_rules: int = 8
     max_conditions: int = 3
     thresholds: int = 48  # candidate thresholds of a feature
-    min_precision: float = 0.9  # of a rule, on rows kept aside
-    min_covered: int = 5
+    folds: int = 5  # parts of the sample, each judged by rules grown on the others
+    min_precision: float = 0.9  # of a rule's length, on folds its rules were not grown on
+    min_covered: int = 5  # rows that these cover at least
+    min_share: float = 0.001  # and the same as a share of the sample
     seed: int = 5
 
 
@@ -149,8 +152,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learning: Learning) -> l
     )
     # At most max_sample rows of two numbers, which bounds the broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = add_statistics(rows).select("doc_id", "quality", *COUNTS)
-    return sorted(rows.limit(2 * learning.max_sample).collect())
+    # Of rows that repeat an id one counts, so the labels bound the rows as well.
+    rows = add_statistics(rows).groupBy("doc_id", "quality").agg(F.min(F.struct(*COUNTS)).alias("c"))
+    return sorted(rows.select("doc_id", "quality", "c.*").collect())
 
 
 def _gain(bad: np.ndarray, good: np.ndarray, bad0: int, good0: int) -> np.ndarray:
@@ -183,22 +187,58 @@ def learn(rows: list, learning: Learning) -> list[Rule]:
     bad = np.array([r["quality"] == 0 for r in rows])
     # The fixed rules decide first, so the list learns from what they leave.
     failed = (raw["n_words"] < 50) | (100 * raw["n_repeat_words"] > 50 * raw["n_words"])
-    aside = np.random.default_rng(learning.seed).random(len(rows)) < 1 / 3
+    fold = _folds(bad, ~failed, learning)
+    fewest = max(learning.min_covered, learning.min_share * len(rows))
     left, rules = ~failed, []
-    while len(rules) < learning.max_rules and (bad & left & ~aside).any():
-        rule = _grow(values, bad, left & ~aside, learning)
-        rule = _prune(rule, values, bad, left & aside)
-        covers = left.copy()
-        for condition in rule:
-            covers &= condition.holds(values)
-        b, g = (covers & aside & bad).sum(), (covers & aside & ~bad).sum()
-        if not rule or b + g < learning.min_covered or b / (b + g) < learning.min_precision:
+    while len(rules) < learning.max_rules and (bad & left).any():
+        rule = _grow(values, bad, left, learning)
+        length = _pruned_length(values, bad, left, fold, fewest, learning)
+        if not rule or not length:
             break
-        rules.append(rule)
-        left &= ~covers
+        rules.append(rule[:length])
+        left &= ~_covered(rule[:length], values, left)
     return rules
 
 
+def _folds(bad: np.ndarray, rows: np.ndarray, learning: Learning) -> np.ndarray:
+    """A fold per row; each fold gets its part of either label."""
+    fold, rng = np.zeros(len(bad), int), np.random.default_rng(learning.seed)
+    for label in (True, False):
+        at = rng.permutation(np.flatnonzero(rows & (bad == label)))
+        fold[at] = np.arange(len(at)) % learning.folds
+    return fold
+
+
+def _covered(rule: Rule, values: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
+    covers = rows.copy()
+    for condition in rule:
+        covers &= condition.holds(values)
+    return covers
+
+
+def _pruned_length(
+    values: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray, fold: np.ndarray, fewest: float, learning: Learning
+) -> int:
+    """How many conditions the next rule keeps, 0 for no rule.
+
+    For each fold a rule is grown on the others. The length whose rules together have the best
+    value (b - g) / (b + g) on the folds they did not see is taken, the shortest of equals, if it
+    is precise enough there and covers enough rows.
+    """
+    b, g = np.zeros(learning.max_conditions + 1, int), np.zeros(learning.max_conditions + 1, int)
+    for f in range(learning.folds):
+        rule = _grow(values, bad, rows & (fold != f), learning)
+        for length in range(1, learning.max_conditions + 1):
+            # A rule that stops growing earlier stays as it is.
+            covers = _covered(rule[:length], values, rows & (fold == f)) if rule else np.zeros(len(bad), bool)
+            b[length] += (covers & bad).sum()
+            g[length] += (covers & ~bad).sum()
+    covered = b + g
+    fit = (covered >= fewest) & (b >= learning.min_precision * covered) & (covered > 0)
+    value = np.where(fit, (b - g) / np.maximum(covered, 1), -np.inf)
+    return int(value.argmax()) if fit.any() else 0
+
+
 def _grow(values: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray, learning: Learning) -> Rule:
     rule: list[Condition] = []
     while len(rule) < learning.max_conditions and (rows & ~bad).any():
@@ -216,21 +256,6 @@ def _grow(values: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray, lear
     return tuple(rule)
 
 
-def _prune(rule: Rule, values: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray) -> Rule:
-    """Drop last conditions while that does not lower the value (b - g) / (b + g) aside."""
-
-    def value(part: Rule) -> float:
-        covers = rows.copy()
-        for condition in part:
-            covers &= condition.holds(values)
-        b, g = (covers & bad).sum(), (covers & ~bad).sum()
-        return float((b - g) / (b + g)) if b + g else -1.0
-
-    while len(rule) > 1 and value(rule[:-1]) >= value(rule):
-        rule = rule[:-1]
-    return rule
-
-
 def verdict(rules: list[Rule]) -> Column:
     """The list as one conditional expression: the number of the first rule that fires, else null."""
     fired = F.lit(None).cast("int")
