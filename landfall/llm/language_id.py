@@ -4,8 +4,10 @@ A text's subwords are the byte n-grams of its words, hashed into a fixed number
 buckets. Each bucket has an embedding; a text is the mean of its subwords' embeddings and
 a linear softmax names the language. Embeddings and softmax are trained together by
 stochastic gradient descent in numpy on a bounded sample. A temperature fitted on a part
-of the sample kept aside calibrates the probabilities, and a text whose probability lies
-below what nearly all calibration texts reach is rejected.
+of the sample kept aside calibrates the probabilities. A text's confidence is its probability,
+weighed by the share of its subwords that training has seen, and a text whose confidence lies
+below what nearly all calibration texts reach is rejected. How much the share weighs is what
+tells each learned language best from the others when it is left out in turn.
 
 As mean and softmax are linear, the trained model folds into one score per bucket and
 language; scoring is a table lookup over the bytes of an Arrow batch.
@@ -48,7 +50,7 @@ class Training:
     snippet_bytes: int = 48  # each text also trains as one short snippet
     calibration_share: int = 4  # one in so many sampled texts calibrates
     reject_share: float = 0.002  # calibration texts that may fall below the threshold
-    reject_below: float = 0.4  # and the threshold at most: a text this likely is never rejected
+    weights: tuple[float, ...] = (1.0, 2.0, 4.0, 8.0)  # powers of the known share that are tried
     seed: int = 17
 
 
@@ -58,7 +60,9 @@ class LanguageModel:
     scores: np.ndarray  # buckets x languages: embedding times softmax weights
     bias: np.ndarray
     temperature: float
-    threshold: float
+    known: np.ndarray  # buckets that the training has seen
+    weight: float  # power of the known share in a confidence
+    threshold: float  # texts of a lower confidence are rejected
 
 
 def has_letter(data: np.ndarray) -> bool:
@@ -110,18 +114,19 @@ def subword_counts(data: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarr
     return at, total[at]
 
 
-def text_score(data: np.ndarray, model: LanguageModel) -> np.ndarray:
-    """Mean of the folded scores of a whole text's subwords."""
+def text_score(data: np.ndarray, model: LanguageModel) -> tuple[np.ndarray, float]:
+    """Mean of the folded scores of a whole text's subwords, and the share of known ones."""
     buckets = len(model.scores)
-    total, n = np.zeros(len(model.languages)), 0
+    total, n, known = np.zeros(len(model.languages)), 0, 0
     for start in range(0, len(data), _PIECE):
         at = subwords(data[start : start + _PIECE], buckets)
         if len(at) > 4 * buckets:
             total += np.bincount(at, minlength=buckets) @ model.scores
         else:
             total += model.scores[at].sum(axis=0, dtype=np.float64)
+        known += int(np.count_nonzero(model.known[at]))
         n += len(at)
-    return total / max(n, 1) + model.bias
+    return total / max(n, 1) + model.bias, known / max(n, 1)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -193,7 +198,8 @@ def train(rows: list, training: Training) -> LanguageModel:
     embedding = rng.normal(0, 0.1, (training.buckets, training.dimensions))
     weights, bias = np.zeros((training.dimensions, max(k, 1))), np.zeros(max(k, 1))
     if k == 0:
-        return LanguageModel((), np.zeros((training.buckets, 1), np.float32), bias, 1.0, 0.0)
+        none = np.zeros(training.buckets, bool)
+        return LanguageModel((), np.zeros((training.buckets, 1), np.float32), bias, 1.0, none, 1.0, 0.0)
     weights = rng.normal(0, 0.1, (training.dimensions, k))
     code = {lang: i for i, lang in enumerate(languages)}
     data = [
@@ -220,18 +226,61 @@ def train(rows: list, training: Training) -> LanguageModel:
             # The mean shares a step among all subwords; scaled up so that each learns.
             embedding[at] -= rate * np.minimum(share * 50, 1.0)[:, None] * back
             steps += 1
-    scores = embedding @ weights
+    # How many languages' texts hold a bucket, and one of them.
+    holders, holder = np.zeros(training.buckets, int), np.full(training.buckets, -1)
+    for label in range(k):
+        at = np.unique(np.concatenate([at for at, _, own, _ in fit if own == label]))
+        holders[at] += 1
+        holder[at] = label
+    known = holders > 0
+    # What was never trained still has its random start and says nothing.
+    scores = np.where(known[:, None], embedding @ weights, 0.0)
     logits = np.array([share @ scores[at] + bias for at, share, _, _ in aside])
     labels = np.array([label for _, _, label, _ in aside])
+    temperature = _fitted_temperature(logits, labels)
+    own = np.array([share @ known[at] for at, share, _, _ in aside])
+    # Left out: subwords that only the text's own language has count as unknown.
+    others = np.array([share @ ((holders[at] > 1) | (known[at] & (holder[at] != label))) for at, share, label, _ in aside])
+    weight, threshold = _fitted_rejection(logits / temperature, labels, own, others, training)
+    return LanguageModel(languages, scores.astype(np.float32), bias, temperature, known, weight, threshold)
+
+
+def _fitted_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
+    """The temperature of the least loss. A label is held for true in n + 1 of n + 2 cases, so
+    that texts which the model parts without an error don't ask for endless certainty."""
+    n, k = logits.shape
+    target = np.full((n, k), 1 / ((n + 2) * max(k - 1, 1)))
+    target[np.arange(n), labels] = (n + 1) / (n + 2)
 
     def loss(t: float) -> float:
-        p = _softmax(logits / t)[np.arange(len(labels)), labels]
-        return -np.log(np.maximum(p, 1e-12)).mean()
+        z = logits / t
+        z = z - z.max(axis=1, keepdims=True)
+        return float((target * (np.log(np.exp(z).sum(axis=1, keepdims=True)) - z)).sum() / n)
+
+    return float(min(np.geomspace(1e-3, 1e3, 481), key=loss))
 
-    temperature = min(np.geomspace(0.05, 20, 121), key=loss)
-    top = np.sort(_softmax(logits / temperature).max(axis=1))
-    threshold = min(top[int(training.reject_share * len(top))], training.reject_below)
-    return LanguageModel(languages, scores.astype(np.float32), bias, float(temperature), float(threshold))
+
+def _fitted_rejection(
+    logits: np.ndarray, labels: np.ndarray, own: np.ndarray, others: np.ndarray, training: Training
+) -> tuple[float, float]:
+    """Power of the known share and threshold that reject most texts whose language is left out.
+
+    ``own`` is the share of known subwords of each text, ``others`` the same without its language.
+    For any power the threshold is what all but ``reject_share`` of the texts reach; with a single
+    language nothing can be left out, and the first power stands.
+    """
+    top = _softmax(logits).max(axis=1)
+    without = logits.copy()
+    without[np.arange(len(labels)), labels] = -np.inf
+    foreign = _softmax(without).max(axis=1) if logits.shape[1] > 1 else np.zeros(0)
+    best = (-1, 1.0, 0.0)
+    for weight in training.weights:
+        confidence = np.sort(top * own**weight)
+        threshold = float(confidence[int(training.reject_share * len(confidence))])
+        caught = int((foreign * others[: len(foreign)] ** weight < threshold).sum())
+        if caught > best[0]:
+            best = (caught, weight, threshold)
+    return best[1], best[2]
 
 
 def fit(labelled: DataFrame, training: Training = Training()) -> LanguageModel:
@@ -250,11 +299,12 @@ def scorer(model: LanguageModel, columns: pa.Schema) -> Callable:
                     probabilities.append(0.0)
                     rejected.append(True)
                     continue
-                p = _softmax(text_score(data, model) / model.temperature)
+                z, known = text_score(data, model)
+                p = _softmax(z / model.temperature)
                 best = int(p.argmax())
                 names.append(model.languages[best])
                 probabilities.append(float(p[best]))
-                rejected.append(bool(p[best] < model.threshold))
+                rejected.append(bool(p[best] * known**model.weight < model.threshold))
             kept = [batch[c] for c in columns.names]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(names, pa.string()), pa.array(probabilities, pa.float64()),
@@ -271,7 +321,7 @@ def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("do
     A null text and one without a letter of any script are ``und`` with score 0, and
     rejected; so is every text if nothing could be learned. Other texts get the likeliest
     learned language and its calibrated probability, and ``rejected`` tells that the
-    probability is below the calibrated threshold. Every row gives one row: repeated rows
+    confidence, which also counts unknown subwords, is below the calibrated threshold. Every row gives one row: repeated rows
     and ids are scored on their own, empty tables give empty ones, and other columns take
     no part.
     """
