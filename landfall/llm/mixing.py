@@ -190,7 +190,9 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(block_words=1024)) -> DataFram
     """The mix as whole documents: each goes with the block in which it starts.
 
     A document stands as often as its block is taken, possibly never; documents without
-    words leave.
+    words, so null and empty texts too, leave. Null sources are one source, the last. Null ids
+    and repeated rows take part row by row. An empty table gives an empty one; other columns
+    are kept, also those named like columns used here.
     """
     rows, restored = shielded(docs, "doc_id", "source", "text")
     rows = rows.withColumns({"size": word_count(), "order_key": F.xxhash64("text")})
