@@ -10,6 +10,7 @@ from landfall import schemas
 from landfall.operators import fact as facts
 from landfall.operators.clean import clean_arrivals
 from landfall.operators.keys import fixed, scratch_removed
+from landfall.operators.lookup import MAX_BROADCAST_ROWS
 from landfall.plans.pipeline import write_date_dimension
 from landfall.sources.readers import conform
 from landfall.sources.versions import Store
@@ -26,6 +27,9 @@ def merge_batch(store: Store, raw: DataFrame, codebook: DataFrame, stream: str,
     records of are written anew, each whole. The batch's number becomes visible together
     with its rows, by the same write, so a batch that is tried again after a failure counts
     once. Copies of a record within a batch all stay, as in a batch load.
+
+    A large batch and the stored rows are joined by sorting, which spills. Ids in a row take
+    little room in files, so Catalyst, which goes by that, would broadcast many millions.
     """
     noted = store.version().notes.get(_BATCHES, {})
     if noted.get(stream, -1) >= batch:
@@ -35,7 +39,9 @@ def merge_batch(store: Store, raw: DataFrame, codebook: DataFrame, stream: str,
         year, month = (F.col(c).try_cast("int") for c in ("i94yr", "i94mon"))
         keyed = raw.select(F.col("cicid").try_cast("long").alias("_id"), year.alias("_year"), month.alias("_month")).distinct()
         # A few hundred months at most.
-        touched = {tuple(r) for r in keyed.select("_year", "_month").distinct().collect()}
+        touched = {(r["_year"], r["_month"]): r["count"] for r in keyed.groupBy("_year", "_month").count().collect()}
+        if sum(touched.values()) > MAX_BROADCAST_ROWS:
+            keyed = keyed.hint("merge")
         stored = store.table("immigration_fact", months=[m for m in load.base.months if m.month in touched])
         same = (
             (stored["immigration_id"] == keyed["_id"])

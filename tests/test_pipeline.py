@@ -278,6 +278,35 @@ def test_a_batch_tried_again_counts_once(spark, tmp_path):
     assert store.table("immigration_fact").where("arrival_month = 4").count() == 4
 
 
+@pytest.mark.parametrize("bound, joined", [(6, "BroadcastHashJoin"), (5, "SortMergeJoin")])
+def test_a_large_batch_is_not_broadcast(spark, tmp_path, monkeypatch, bound, joined):
+    from landfall.sources.versions import Load
+    from landfall.streaming import arrivals as streaming
+    from tests.test_fact import codebook
+
+    plans, write_fact = [], Load.write_fact
+
+    def noted(load, fact):
+        plans.append(fact._jdf.queryExecution().executedPlan().toString())
+        write_fact(load, fact)
+
+    monkeypatch.setattr(Load, "write_fact", noted)
+    monkeypatch.setattr(streaming, "MAX_BROADCAST_ROWS", bound, raising=False)
+    store = Store(spark, Warehouse(str(tmp_path)))
+    stored = arrivals(spark, *[{"cicid": float(i)} for i in range(8)], {"cicid": None}, {"cicid": None}, {**MAY, "cicid": 1.0})
+    # Six keys: copies of an id count once, and a missing id is one key a month.
+    batch = arrivals(
+        spark, *[{"cicid": 0.0, "visatype": "ZZ"}] * 3, {"cicid": 1.0, "gender": None}, {"cicid": 2.0}, {"cicid": None}, {"cicid": None},
+        {**MAY, "cicid": 2.0}, {**MAY, "i94mon": None, "cicid": 1.0},
+    )
+    assert streaming.merge_batch(store, stored, codebook(spark), "s", 0)
+    assert streaming.merge_batch(store, batch, codebook(spark), "s", 1)
+    assert [joined in line for line in plans[-1].splitlines() if "LeftAnti" in line] == [True]
+    found = sorted(((r["arrival_month"], r["immigration_id"], r["visatype"]) for r in store.table("immigration_fact").collect()), key=repr)
+    april = [(4, 0, "ZZ")] * 3 + [(4, i, "B1") for i in range(2, 8)] + [(4, None, "B1")] * 4
+    assert found == sorted([*april, (5, 1, "B1"), (5, 2, "B1"), (None, 1, "B1")], key=repr)
+
+
 def test_rebalanced_write_equals_plain_write(spark, tmp_path):
     from tests.test_fact import codebook
     from landfall.operators.fact import build_fact
